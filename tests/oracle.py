@@ -1,0 +1,64 @@
+"""Compare a Spark query with its DuckDB oracle: row count, column names and an
+order-insensitive multiset of rows (floats compared after rounding to 9 significant digits)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return (0, "")
+    if isinstance(v, bool):
+        return (1, str(v))
+    if isinstance(v, (int,)):
+        return (2, repr(float(v)) if abs(v) < 2**53 else str(v))
+    if isinstance(v, (float, decimal.Decimal)):
+        f = float(v)
+        if math.isnan(f):
+            return (2, "nan")
+        return (2, repr(float(f"{f:.9g}")))
+    if isinstance(v, dt.datetime):
+        return (3, v.replace(tzinfo=None).isoformat())
+    if isinstance(v, dt.date):
+        return (3, v.isoformat())
+    return (4, str(v))
+
+
+def canon(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return [cols[i] for i in order], sorted(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark_df, con, sql):
+    s_cols = spark_df.columns
+    s_rows = [tuple(r) for r in spark_df.collect()]
+    res = con.execute(sql)
+    d_cols = [c[0] for c in res.description]
+    d_rows = res.fetchall()
+    sc, sr = canon(s_cols, s_rows)
+    dc, dr = canon(d_cols, d_rows)
+    problems = []
+    if sc != dc:
+        problems.append(f"columns differ: spark={sc} duck={dc}")
+    if len(sr) != len(dr):
+        problems.append(f"row count: spark={len(sr)} duck={len(dr)}")
+    elif sr != dr:
+        bad = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
+        problems.append(f"values differ, e.g. {bad}")
+    return problems, len(sr)
