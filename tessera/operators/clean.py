@@ -92,10 +92,12 @@ class CleanSpec:
 
 def apply_clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """Run the plan lazily and return the cleaned rows."""
-    out = drop_rows(df, spec.pre)
-    if spec.keys:
-        out = dedupe(out, list(spec.keys), list(spec.order) if spec.order else None)
-    out = drop_rows(out, spec.post)
+    out = drop_rows(survivors_of(df, spec), spec.post)
+    return null_columns(out, spec)
+
+
+def null_columns(out: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Apply the ``nulling`` of ``spec`` (predicates read the original values)."""
     if spec.nulling:
         # evaluate every predicate on the original values before any column is nulled
         preds = {f"_nl_{i}": valid(p) for i, (_, p) in enumerate(spec.nulling)}
@@ -106,61 +108,60 @@ def apply_clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     return out
 
 
-def audit(df: DataFrame, spec: CleanSpec, flags: Mapping[str, Column] | None = None) -> DataFrame:
+def survivors_of(df: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Rows left after the ``pre`` rules and the dedupe (before the ``post`` rules)."""
+    out = drop_rows(df, spec.pre)
+    if spec.keys:
+        out = dedupe(out, list(spec.keys), list(spec.order) if spec.order else None)
+    return out
+
+
+def audit(df: DataFrame, spec: CleanSpec, flags: Mapping[str, Column] | None = None,
+          survivors: DataFrame | None = None) -> DataFrame:
     """Drop audit of :func:`apply_clean`: one row per step with ``table, step_order, step,
-    before, removed, after``; ``flags`` adds rows that count rows changed but kept
-    (e.g. coordinates nulled), with ``removed = 0``.
+    before, removed, after, flagged``; ``flags`` adds rows that count rows changed but kept
+    (e.g. coordinates nulled) in ``flagged``.
 
-    Cost: one aggregate over the input (count, first failed ``pre`` rule, distinct keys) and
-    one over the dedupe survivors; both use map-side partial aggregation.
+    Cost: one aggregate over the input (count and first failed ``pre`` rule) and one over
+    the dedupe survivors (pass ``survivors`` when they are already materialized, e.g. by
+    a checkpoint, to avoid a second dedupe shuffle). The two one-row results are combined
+    by a union and a ``max``, never by a join.
     """
+    flags = dict(flags or {})
     pre_reason = first_failed(spec.pre)
-    kept = valid(pre_reason.isNull())
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count_if(pre_reason == F.lit(r.name)).alias(f"pre{i}") for i, r in enumerate(spec.pre)]
-    if spec.keys:
-        kcol = F.struct(*[F.col(k) for k in spec.keys])
-        aggs.append(F.count_if(kept).alias("kept"))
-        aggs.append(F.count_distinct(F.when(kept, kcol)).alias("dkeys"))
-    head = df.agg(*aggs)
-
-    survivors = drop_rows(df, spec.pre)
-    if spec.keys:
-        survivors = dedupe(survivors, list(spec.keys), list(spec.order) if spec.order else None)
+    head = df.agg(F.count(F.lit(1)).alias("n"),
+                  *[F.count_if(pre_reason == F.lit(r.name)).alias(f"pre{i}")
+                    for i, r in enumerate(spec.pre)],
+                  F.count_if(pre_reason.isNull()).alias("kept"))
+    surv = survivors if survivors is not None else survivors_of(df, spec)
     post_reason = first_failed(spec.post)
-    post_ok = valid(post_reason.isNull())
-    saggs = [F.count(F.lit(1)).alias("n")]
-    saggs += [F.count_if(post_reason == F.lit(r.name)).alias(f"post{i}")
-              for i, r in enumerate(spec.post)]
-    for j, (name, pred) in enumerate((flags or {}).items()):
-        saggs.append(F.count_if(post_ok & ~valid(pred)).alias(f"flag{j}"))
-    tail = survivors.agg(*saggs)
-
-    # each aggregate is stacked to (step_order, step, signed delta); a running sum gives `after`
-    head_rows = [("0", "'input'", "n")]
-    head_rows += [(str(i + 1), _lit(r.name), f"-pre{i}") for i, r in enumerate(spec.pre)]
+    post_ok = post_reason.isNull()
+    tail = surv.agg(F.count(F.lit(1)).alias("surv"),
+                    *[F.count_if(post_reason == F.lit(r.name)).alias(f"post{i}")
+                      for i, r in enumerate(spec.post)],
+                    *[F.count_if(post_ok & ~valid(pred)).alias(f"flag{j}")
+                      for j, pred in enumerate(flags.values())])
+    both = head.unionByName(tail, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+    # stacked to (step_order, step, signed delta); a running sum over steps gives `after`
+    rows = [("0", "'input'", "n")]
+    rows += [(str(i + 1), _lit(r.name), f"-pre{i}") for i, r in enumerate(spec.pre)]
     base = len(spec.pre) + 1
     if spec.keys:
-        head_rows.append((str(base), _lit(spec.dedupe_step), "-(kept - dkeys)"))
-    tail_rows = [(str(base + 1 + i), _lit(r.name), f"-post{i}") for i, r in enumerate(spec.post)]
-    flag_rows = [(str(base + 1 + len(spec.post) + j), _lit(name), f"flag{j}")
-                 for j, name in enumerate((flags or {}))]
-
-    def stacked(agg: DataFrame, rows: list[tuple[str, str, str]], kind: str) -> DataFrame:
-        body = ", ".join(f"{o}, {s}, CAST({v} AS BIGINT)" for o, s, v in rows)
-        return agg.selectExpr(f"stack({len(rows)}, {body}) AS (step_order, step, delta)") \
-                  .withColumn("kind", F.lit(kind))
-
-    parts = stacked(head, head_rows, "step")
-    if tail_rows:
-        parts = parts.unionByName(stacked(tail, tail_rows, "step"))
-    if flag_rows:
-        parts = parts.unionByName(stacked(tail, flag_rows, "flag"))
-    # a handful of rows: the un-partitioned window is over steps, not data
+        rows.append((str(base), _lit(spec.dedupe_step), "-(kept - surv)"))
+    rows += [(str(base + 1 + i), _lit(r.name), f"-post{i}") for i, r in enumerate(spec.post)]
+    nsteps = len(rows)
+    rows += [(str(base + 1 + len(spec.post) + j), _lit(name), f"flag{j}")
+             for j, name in enumerate(flags)]
+    body = ", ".join(f"{o}, {s}, CAST({v} AS BIGINT)" for o, s, v in rows)
+    parts = one.selectExpr(f"stack({len(rows)}, {body}) AS (step_order, step, delta)")
+    parts = parts.withColumn("kind", F.when(F.col("step_order") < nsteps, "step").otherwise("flag"))
+    # a handful of rows: the un-partitioned window runs over steps, not data
     w = Window.orderBy("step_order").rowsBetween(Window.unboundedPreceding, 0)
     is_step = F.col("kind") == "step"
     running = F.sum(F.when(is_step, F.col("delta")).otherwise(0)).over(w)
-    out = parts.select(
+    return parts.select(
         F.lit(spec.table).alias("table"), F.col("step_order").cast("int").alias("step_order"),
         "step",
         F.when(F.col("step_order") == 0, F.lit(None).cast("bigint"))
@@ -170,7 +171,6 @@ def audit(df: DataFrame, spec: CleanSpec, flags: Mapping[str, Column] | None = N
         running.alias("after"),
         F.when(is_step, F.lit(None).cast("bigint")).otherwise(F.col("delta")).alias("flagged"),
     )
-    return out
 
 
 def _lit(s: str) -> str:

@@ -65,8 +65,11 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
 
 
 def _safe_corr(x: str, y: str) -> Column:
-    """Pearson r; null when either side has no variance (instead of a divide-by-zero)."""
-    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+    """Pearson r over the rows where both values exist; null (not a divide-by-zero error
+    under ANSI) when either side has no variance."""
+    xs = F.when(F.col(y).isNotNull(), F.col(x))
+    ys = F.when(F.col(x).isNotNull(), F.col(y))
+    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
 def group_corr(df: DataFrame, by: str, measures: Mapping[str, Column],
