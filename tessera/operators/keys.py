@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from tessera.session import ensure_checkpoint_dir
+from pyspark.storagelevel import StorageLevel
 
 _PID, _LOCAL, _OFF, _N = "_tp_pid", "_tp_local", "_tp_off", "_tp_n"
 
@@ -29,22 +28,22 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_po
     names), and optionally ``total`` = number of rows.
 
     ``order`` must be a total order (append a unique key as last tie-breaker) for the
-    positions to be reproducible. The ranged, locally numbered rows are checkpointed to the
-    shared checkpoint folder so that a re-run (or a lost executor) sees the same range
-    bounds; the offsets table has one row per partition and is broadcast.
+    positions to be reproducible. Rows are range-partitioned (AQE may merge small adjacent
+    ranges; partition ids stay in range order), sorted inside each partition and numbered
+    locally. The numbered rows are persisted so the offsets and the final join read the
+    same partitioning: the range bounds live in the persisted RDD, so blocks recomputed
+    after a lost executor land in the same partitions with the same local numbers. The
+    offsets table has one row per partition and is broadcast.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = _order_cols(order)
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn(_PID, F.spark_partition_id()))
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id())
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     ranged = ranged.withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy(_PID)  # over one row per partition: bounded by `n`, not by data
+    w = Window.orderBy(_PID)  # over one row per partition: bounded by the partition count
     offsets = counts.select(
         _PID,
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
