@@ -15,15 +15,23 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_long(c: ColumnOrName) -> Column:
-    """Text -> bigint. ``'10'`` and ``'10.0'`` give 10; ``'10.5'``, ``'abc'``, ``''`` give null.
+# Integral text with a zero fraction, e.g. "10.0", "-3.", "+7.000" (fixed grammar).
+INTEGRAL_TEXT = r"^ *[+-]?[0-9]+(\.0*)? *$"
+
 
-    A plain ``try_cast(x AS BIGINT)`` turns ``'10.0'`` into null, so integral decimals
-    are accepted through an exact decimal parse (no double rounding of large ids).
+def to_long(c: ColumnOrName) -> Column:
+    """Text -> bigint. Accepted: an optional sign and digits, optionally followed by a point
+    and zeros only (``'10'``, ``'10.0'``, ``'-3.'`` -> 10, 10, -3); anything else
+    (``'10.5'``, ``'1e3'``, ``'abc'``, ``''``) gives null.
+
+    A plain ``try_cast(x AS BIGINT)`` turns ``'10.0'`` into null (and pays for a failed
+    parse on every such row); going through double would round ids above 2^53. Here the
+    text is matched first and only the integer part of admitted texts is cast (exact;
+    out-of-range -> null).
     """
     x = _c(c)
-    d = x.try_cast("decimal(38,6)")
-    return F.coalesce(x.try_cast("bigint"), F.when(d == F.floor(d), d.try_cast("bigint")))
+    whole = F.substring_index(F.trim(x), ".", 1)
+    return F.when(x.rlike(INTEGRAL_TEXT), whole.try_cast("bigint"))
 
 
 def to_int(c: ColumnOrName) -> Column:

@@ -15,28 +15,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-_PID, _LOCAL, _OFF, _N = "_tp_pid", "_tp_local", "_tp_off", "_tp_n"
+_PID, _LOCAL, _OFF = "_tp_pid", "_tp_local", "_tp_off"
 
 
 def _order_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
+# Inputs with at most this many rows are numbered by one ordered window (a single task
+# over a checked, bounded row count); larger inputs use range partitions and offsets.
+SMALL_ROWS = 100_000
+
+
 def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_pos",
-                  total: str | None = None, partitions: int | None = None) -> DataFrame:
+                  total: str | None = None, partitions: int | None = None,
+                  small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``name`` = 1-based position in the total order ``order`` (nulls first for plain
     names), and optionally ``total`` = number of rows.
 
     ``order`` must be a total order (append a unique key as last tie-breaker) for the
-    positions to be reproducible. Rows are range-partitioned (AQE may merge small adjacent
-    ranges; partition ids stay in range order), sorted inside each partition and numbered
-    locally. The numbered rows are persisted so the offsets and the final join read the
-    same partitioning: the range bounds live in the persisted RDD, so blocks recomputed
-    after a lost executor land in the same partitions with the same local numbers. The
-    offsets table has one row per partition and is broadcast.
+    positions to be reproducible. The input is persisted and counted once. Up to
+    ``small_rows`` rows, ``row_number()`` over the order runs in one task (bounded by the
+    check). Above it, rows are range-partitioned (AQE may merge adjacent ranges; partition
+    ids stay in range order), sorted inside each partition and numbered locally; the
+    numbered rows are persisted so offsets and the final join read the same partitioning
+    (range bounds live in the persisted RDD, so blocks recomputed after a lost executor
+    land in the same partitions with the same numbers). The offsets table has one row per
+    partition and is broadcast.
     """
     cols = _order_cols(order)
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = base.count()
+    if n <= small_rows:
+        out = base.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("long"))
+        return out.withColumn(total, F.lit(n)) if total else out
+    ranged = (base.repartitionByRange(partitions, *cols) if partitions
+              else base.repartitionByRange(*cols))
     ranged = ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id())
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     ranged = ranged.withColumn(
@@ -45,15 +59,13 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_po
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy(_PID)  # over one row per partition: bounded by the partition count
     offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(_OFF),
-        F.sum("_cnt").over(Window.partitionBy()).alias(_N))
+        _PID, F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                         F.lit(0)).alias(_OFF))
     out = ranged.join(F.broadcast(offsets), _PID, "inner")
     out = out.withColumn(name, F.col(_OFF) + F.col(_LOCAL) + 1)
     if total:
-        out = out.withColumn(total, F.col(_N))
-    return out.drop(_PID, _LOCAL, _OFF, _N)
+        out = out.withColumn(total, F.lit(n))
+    return out.drop(_PID, _LOCAL, _OFF)
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[Column | str], name: str,
