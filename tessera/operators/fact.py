@@ -72,31 +72,33 @@ def build_fact(occ: DataFrame, *, type_dim: DataFrame, location_dim: DataFrame,
 def integrity(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str]],
               grain: Sequence[str] = ("id",), flag: str | None = "is_arrest") -> DataFrame:
     """Star checks as rows ``(check, value, ok)``: fact rows, distinct grain keys, grain
-    violations, orphans of every foreign key (``fks = {fact_col: (dim, dim_key)}``), and
-    the share of flagged facts.
+    violations, share of flagged facts, and orphans of every foreign key
+    (``fks = {fact_col: (dim, dim_key)}``).
 
-    Orphans use ``left_anti`` joins against the dimension keys (broadcast, size-checked);
-    the counts come from one aggregate per check, nothing is collected.
+    Orphans take one pass over the fact: each dimension's keys are broadcast (size-checked)
+    with a marker column, left-joined, and all missing markers are counted in the same
+    aggregate as the row count. Distinct grain keys need one shuffle of the grain columns.
     """
     g = F.struct(*[F.col(c) for c in grain]) if len(grain) > 1 else F.col(grain[0])
-    head = fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(g).alias("keys"),
-                    *([F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("flag_avg")] if flag else []))
-    parts = [head.select(F.lit("fact_rows").alias("check"), F.col("rows").cast("double").alias("value"),
-                         F.lit(True).alias("ok")),
-             head.select(F.lit("distinct_grain").alias("check"), F.col("keys").cast("double"),
-                         F.lit(True)),
-             head.select(F.lit("grain_violations").alias("check"),
-                         (F.col("rows") - F.col("keys")).cast("double"),
-                         F.col("rows") == F.col("keys"))]
+    cols = list(dict.fromkeys([*grain, *fks, *([flag] if flag else [])]))
+    probe = fact.select(*cols)
+    for i, (col, (dim, dkey)) in enumerate(fks.items()):
+        keys = dim.select(F.col(dkey).alias(col)).distinct().withColumn(f"_in{i}", F.lit(True))
+        probe = probe.join(broadcast_checked(keys), col, "left")
+    aggs = [F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(f"_in{i}").isNull()).alias(f"orph{i}") for i in range(len(fks))]]
     if flag:
-        parts.append(head.select(F.lit(f"{flag}_pct").alias("check"),
-                                 F.round(F.col("flag_avg") * 100, 2), F.lit(True)))
-    for col, (dim, dkey) in fks.items():
-        keys = broadcast_checked(dim.select(F.col(dkey).alias(col)))
-        o = fact.select(col).join(keys, col, "left_anti").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(o.select(F.lit(f"orphans_{col}").alias("check"), F.col("n").cast("double"),
-                              F.col("n") == 0))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.toDF("check", "value", "ok")
+        aggs.append(F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("flag_avg"))
+    head = probe.agg(*aggs)
+    keys_n = fact.select(g.alias("_g")).agg(F.count_distinct("_g").alias("keys"))
+    one = head.unionByName(keys_n, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in one.columns])
+    rows = [("'fact_rows'", "CAST(rows AS DOUBLE)", "true"),
+            ("'distinct_grain'", "CAST(keys AS DOUBLE)", "true"),
+            ("'grain_violations'", "CAST(rows - keys AS DOUBLE)", "rows = keys")]
+    if flag:
+        rows.append((f"'{flag}_pct'", "ROUND(flag_avg * 100, 2)", "true"))
+    rows += [(f"'orphans_{col}'", f"CAST(orph{i} AS DOUBLE)", f"orph{i} = 0")
+             for i, col in enumerate(fks)]
+    body = ", ".join(", ".join(r) for r in rows)
+    return one.selectExpr(f"stack({len(rows)}, {body}) AS (check, value, ok)")
