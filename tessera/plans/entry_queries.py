@@ -33,7 +33,12 @@ LINE_PARTIAL_YEAR = 2001
 
 def register(name: str, sql: str | None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tpch.prepare(spark)  # UTC session zone, shared checkpoint folder
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
