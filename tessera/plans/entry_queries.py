@@ -367,7 +367,7 @@ def _dup_keys(spark, d):
 
 @register("try_cast_num", """
 SELECT l_orderkey, l_linenumber, raw,
-  CASE WHEN regexp_matches(raw, '^ *[+-]?[0-9]+(\.0*)? *$')
+  CASE WHEN regexp_matches(raw, '^ *[+-]?[0-9]+(\\.0*)? *$')
        THEN try_cast(split_part(trim(raw), '.', 1) AS BIGINT) END AS as_long,
   try_cast(trunc(try_cast(raw AS DOUBLE)) AS INTEGER) AS as_int,
   try_cast(raw AS DOUBLE) AS as_double
@@ -471,7 +471,7 @@ raw AS (
          strftime(o_orderdate + INTERVAL 1 DAY, '{S.TS_FMT}')
   FROM orders WHERE o_orderkey % 10 = 0),
 typed AS (
-  SELECT CASE WHEN regexp_matches(id, '^ *[+-]?[0-9]+(\.0*)? *$')
+  SELECT CASE WHEN regexp_matches(id, '^ *[+-]?[0-9]+(\\.0*)? *$')
               THEN try_cast(split_part(trim(id), '.', 1) AS BIGINT) END AS id,
          try_strptime(date, '{S.TS_FMT}') AS occurred_at,
          try_cast(trunc(try_cast(year AS DOUBLE)) AS INTEGER) AS year, status,

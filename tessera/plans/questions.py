@@ -166,21 +166,29 @@ def mart_bq7(s: Star) -> DataFrame:
                     MART_RATE)
 
 
-def widget_all(s: Star, time_star: Star | None = None, before_year: int = 2017) -> DataFrame:
-    """The eight dashboard series as ``series, x, y`` (x as text)."""
+def marts(s: Star, time_star: Star | None = None, before_year: int = 2017) -> dict[str, DataFrame]:
+    """The seven dashboard datasets by name."""
     ts = time_star or s
-    m1, m4, m5, m6 = mart_bq1(s), mart_bq4(s, before_year), mart_bq5(s), mart_bq6(s)
-    m7, m2, m3 = mart_bq7(s), mart_bq2(s), mart_bq3(ts)
+    return {"mart_bq1": mart_bq1(s), "mart_bq2": mart_bq2(s), "mart_bq3": mart_bq3(ts),
+            "mart_bq4": mart_bq4(s, before_year), "mart_bq5": mart_bq5(s), "mart_bq6": mart_bq6(s),
+            "mart_bq7": mart_bq7(s)}
+
+
+def widget_all(s: Star, time_star: Star | None = None, before_year: int = 2017,
+               written: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The eight dashboard series as ``series, x, y`` (x as text). Pass ``written`` marts
+    (e.g. read back from tables) to chart them without touching the fact again."""
+    m = written or marts(s, time_star, before_year)
     rate = ("prisoes", "total")
     parts = [
-        widget_series(m1, "primary_type", "total", series="w1"),
-        widget_series(m1, "primary_type", MART_RATE, series="w1b", rate_of=rate),
-        widget_series(m4, "year", "total", series="w4"),
-        widget_series(m5, "bairro", "total", series="w5"),
-        widget_series(m6, "quartil", MART_RATE, series="w6", rate_of=rate),
-        widget_series(m7, "tipo", MART_RATE, series="w7", rate_of=rate),
-        widget_series(m2, "tipo", MART_RATE, series="w2", rate_of=rate),
-        widget_series(m3, "turno", MART_RATE, series="w3", rate_of=rate),
+        widget_series(m["mart_bq1"], "primary_type", "total", series="w1"),
+        widget_series(m["mart_bq1"], "primary_type", MART_RATE, series="w1b", rate_of=rate),
+        widget_series(m["mart_bq4"], "year", "total", series="w4"),
+        widget_series(m["mart_bq5"], "bairro", "total", series="w5"),
+        widget_series(m["mart_bq6"], "quartil", MART_RATE, series="w6", rate_of=rate),
+        widget_series(m["mart_bq7"], "tipo", MART_RATE, series="w7", rate_of=rate),
+        widget_series(m["mart_bq2"], "tipo", MART_RATE, series="w2", rate_of=rate),
+        widget_series(m["mart_bq3"], "turno", MART_RATE, series="w3", rate_of=rate),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -98,3 +98,18 @@ def test_rerun_is_deterministic(spark, landing, built):
     again = C.build(spark, landing)
     assert sorted(again["gold.fact_crime"].collect()) == before
     assert sorted(again["gold.dim_crime_type"].collect()) == keys
+
+
+def test_marts_dictionary_and_catalog(spark, built):
+    from tessera.sources.catalog import list_tables
+    names = {r.tableName for r in list_tables(spark, "gold").collect()}
+    assert {"fact_crime", "dim_date", "mart_bq1", "mart_bq7", "data_dictionary"} <= names
+    assert {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()} >= {"bronze", "silver", "gold"}
+    d = {(r.table, r.column): r for r in spark.table("gold.data_dictionary").collect()}
+    assert d[("dim_time", "hour")].domain == "0 - 23"
+    assert d[("fact_crime", "is_arrest")].description == "An arrest was made."
+    m7 = {r.tipo: r.total for r in spark.table("gold.mart_bq7").collect()}
+    assert sum(m7.values()) == spark.table("gold.fact_crime").count()
+    written = {f"mart_bq{i}": spark.table(f"gold.mart_bq{i}") for i in range(1, 8)}
+    w = Q.widget_all(None, written=written)
+    assert w.select("series").distinct().count() == 8
