@@ -21,7 +21,7 @@ from tessera.plans import questions as Q
 from tessera.plans import tpch
 from tessera.plans import tpch_sql as S
 from tessera.sources.catalog import data_dictionary
-from tessera.sources.files import normalize_columns, read_raw_csv, write_csv
+from tessera.sources.files import normalize_columns, read_raw_csv, stamp, write_csv
 from tessera.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -629,3 +629,20 @@ def _dictionary(spark, d):
                            {"p_partkey": "part number", "p_name": "part name",
                             "p_brand": "brand code", "p_type": "part type", "p_size": "size",
                             "p_retailprice": "list price"})
+
+
+@register("lineage_stamp", """
+SELECT n_nationkey, n_name, n_regionkey, 'driver:nation' AS _source FROM nation""")
+def _lineage_stamp(spark, d):
+    # the ingest time is one literal per run; it is left out of the comparison
+    return stamp(tpch.table(spark, d, "nation"), "driver:nation").drop("_ingested_at")
+
+
+@register("indicators_csv", S.line("\nSELECT * FROM socio"))
+def _indicators_csv(spark, d):
+    from tessera.plans import crimes as C
+    landed = tpch.indicators_raw(spark, d).select(
+        *[F.col(k).alias(v) for k, v in C.SOCIO.items()])
+    path = scratch_path(spark, "indicators-csv")
+    write_csv(landed, path)
+    return C.clean_socio(normalize_columns(read_raw_csv(spark, path)))
