@@ -344,7 +344,7 @@ SELECT 'community_area', COUNT(*),
        COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM socio s WHERE s.community_area = v.community_area))
 FROM (SELECT DISTINCT community_area FROM occ WHERE community_area IS NOT NULL) v"""))
 def _orphans(spark, d):
-    occ = tpch.line_occurrences(spark, d)
+    occ = tpch.silver_lines(spark, d)
     ref = tpch.clean_codes(tpch.codes_raw(spark, d))
     socio = tpch.clean_indicators(tpch.indicators_raw(spark, d))
     return QL.coverage(occ, ref, "iucr").unionByName(QL.coverage(occ, socio, "community_area"))
@@ -525,7 +525,7 @@ PROFILE_SQL = S.line("\n" + "\nUNION ALL\n".join(
 
 @register("profile", PROFILE_SQL)
 def _profile(spark, d):
-    return QL.profile(tpch.line_occurrences(spark, d))
+    return QL.profile(tpch.silver_lines(spark, d))
 
 
 DOMAIN_COLS = ["beat", "district", "ward", "community_area", "year", "latitude", "longitude"]
@@ -535,7 +535,7 @@ DOMAIN_COLS = ["beat", "district", "ward", "community_area", "year", "latitude",
     [f"MIN({c}) AS {c}_min, MAX({c}) AS {c}_max" for c in DOMAIN_COLS]
     + [f"ROUND(AVG({c}), 6) AS {c}_mean" for c in DOMAIN_COLS]) + " FROM occ"))
 def _domains(spark, d):
-    return QL.numeric_domains(tpch.line_occurrences(spark, d), DOMAIN_COLS)
+    return QL.numeric_domains(tpch.silver_lines(spark, d), DOMAIN_COLS)
 
 
 @register("value_counts", S.line(""",
@@ -545,7 +545,7 @@ SELECT CAST(valor AS VARCHAR) AS valor, contagem,
        (SELECT COUNT(*) FROM vc) AS categorias
 FROM vc ORDER BY contagem DESC, valor NULLS FIRST LIMIT 15"""))
 def _value_counts(spark, d):
-    return QL.value_counts(tpch.line_occurrences(spark, d), "location_description", 15)
+    return QL.value_counts(tpch.silver_lines(spark, d), "location_description", 15)
 
 
 REPORT_ROWS = [

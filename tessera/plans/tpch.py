@@ -187,11 +187,26 @@ def _memo(spark: SparkSession, sf_dir: str, kind: str, make):
     return _MEMO[key]
 
 
+def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line-item occurrences materialized once per session, as the silver layer is:
+    ``checkpoint()`` writes them to the shared checkpoint folder and cuts the lineage, so
+    every consumer (star, profile, coverage) scans them instead of re-running the dedupe."""
+    prepare(spark)
+    return _memo(spark, sf_dir, "silver_lines",
+                 lambda: line_occurrences(spark, sf_dir).checkpoint(eager=True))
+
+
+def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return _memo(spark, sf_dir, "silver_events",
+                 lambda: event_occurrences(spark, sf_dir).checkpoint(eager=True))
+
+
 def line_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Star over deduplicated line items (dims are checkpointed once per session)."""
+    """Star over deduplicated line items (built once per session)."""
     prepare(spark)
     return _memo(spark, sf_dir, "line", lambda: build_star(
-        spark, line_occurrences(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
+        spark, silver_lines(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
         clean_indicators(indicators_raw(spark, sf_dir))))
 
 
@@ -199,12 +214,12 @@ def event_star(spark: SparkSession, sf_dir: str) -> Star:
     """Star over events (hour-level timestamps) for the hour and shift questions."""
     prepare(spark)
     return _memo(spark, sf_dir, "event", lambda: build_star(
-        spark, event_occurrences(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
+        spark, silver_events(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
         clean_indicators(indicators_raw(spark, sf_dir))))
 
 
 def line_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return representative(line_occurrences(spark, sf_dir), "iucr",
+    return representative(silver_lines(spark, sf_dir), "iucr",
                           ["primary_type", "description", "fbi_code"])
 
 
