@@ -3,6 +3,7 @@ the integrity report of the star."""
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,21 +16,34 @@ from tessera.functions.dates import date_key
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_checked(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after checking its size: ``limit(max_rows + 1).count()`` stops
-    as soon as the bound is passed. Above it the dimension is returned unhinted and Spark
-    plans a shuffle join (with AQE runtime re-planning)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows: ``limit(max_rows + 1).count()`` stops as
+    soon as the bound is passed. The answer is remembered per DataFrame object, and a check
+    on a dimension also bounds any filter or projection of it."""
+    if dim not in _CHECKED:
+        _CHECKED[dim] = dim.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[dim]
+
+
+def broadcast_checked(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      basis: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``dim`` only after checking the size of ``basis`` (default ``dim`` itself;
+    pass the unfiltered dimension when ``dim`` is derived from it). Above the bound the
+    dimension is returned unhinted and Spark plans a shuffle join (AQE re-plans at runtime
+    and splits skewed partitions)."""
+    return F.broadcast(dim) if fits_broadcast(basis if basis is not None else dim, max_rows) else dim
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, natural: str, key: str, unknown: int = -1,
-               broadcast: bool = True) -> DataFrame:
+               broadcast: bool = True, basis: DataFrame | None = None) -> DataFrame:
     """Add ``key`` by a left join of ``df`` to ``dim`` on ``natural``; no match (and any null
     natural value) -> ``unknown``. ``dim`` must be unique on ``natural`` and must not hold the
     unknown member (a real value equal to its label would otherwise double facts)."""
     side = dim.select(natural, key)
-    side = broadcast_checked(side) if broadcast else side
+    side = broadcast_checked(side, basis=basis if basis is not None else dim) if broadcast else side
     return (df.join(side, natural, "left")
             .withColumn(key, F.coalesce(F.col(key), F.lit(unknown)).cast("int")))
 
@@ -52,12 +66,12 @@ def build_fact(occ: DataFrame, *, type_dim: DataFrame, location_dim: DataFrame,
     member of the area dimension, else ``unknown``. No shuffle of the fact."""
     out = occ.withColumns({"date_key": date_key(F.col(ts)), "time_key": F.hour(F.col(ts))})
     out = lookup_key(out, known(type_dim, "crime_type_key", unknown), "iucr", "crime_type_key",
-                     unknown)
+                     unknown, basis=type_dim)
     out = lookup_key(out, known(location_dim, "location_key", unknown), "location_description",
-                     "location_key", unknown)
+                     "location_key", unknown, basis=location_dim)
     areas = known(area_dim, "community_area_key", unknown).select(
         F.col("community_area").alias("_area"), F.col("community_area_key").alias("_ak"))
-    out = (out.join(broadcast_checked(areas), out["community_area"] == F.col("_area"), "left")
+    out = (out.join(broadcast_checked(areas, basis=area_dim), out["community_area"] == F.col("_area"), "left")
            .withColumn("community_area_key", F.coalesce(F.col("_ak"), F.lit(unknown)).cast("int"))
            .drop("_area", "_ak"))
     spec = columns or {
@@ -84,7 +98,7 @@ def integrity(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str]],
     probe = fact.select(*cols)
     for i, (col, (dim, dkey)) in enumerate(fks.items()):
         keys = dim.select(F.col(dkey).alias(col)).distinct().withColumn(f"_in{i}", F.lit(True))
-        probe = probe.join(broadcast_checked(keys), col, "left")
+        probe = probe.join(broadcast_checked(keys, basis=dim), col, "left")
     aggs = [F.count(F.lit(1)).alias("rows"),
             *[F.count_if(F.col(f"_in{i}").isNull()).alias(f"orph{i}") for i in range(len(fks))]]
     if flag:

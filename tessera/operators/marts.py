@@ -18,7 +18,7 @@ def star_join(fact: DataFrame, dim: DataFrame, key: str, known_only: bool = Fals
     non-positive key are left out); the filter reaches both scans."""
     d = dim.where(F.col(key) > 0) if known_only else dim
     f = fact.where(F.col(key) > 0) if known_only else fact
-    return f.join(broadcast_checked(d) if checked else F.broadcast(d), key, "inner")
+    return f.join(broadcast_checked(d, basis=dim) if checked else F.broadcast(d), key, "inner")
 
 
 def as_count(flag: Column) -> Column:
