@@ -19,10 +19,23 @@ BROADCAST_MAX_ROWS = 2_000_000
 _CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
 
 
+_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def remember_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record an exact row count already computed for ``df`` (e.g. while numbering a
+    dimension), so a later size check needs no job."""
+    _ROWS[df] = n
+    return df
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows: ``limit(max_rows + 1).count()`` stops as
-    soon as the bound is passed. The answer is remembered per DataFrame object, and a check
-    on a dimension also bounds any filter or projection of it."""
+    """Whether ``dim`` has at most ``max_rows`` rows: a recorded count, else
+    ``limit(max_rows + 1).count()`` (stops as soon as the bound is passed). The answer is
+    remembered per DataFrame object; a check on a dimension also bounds any filter or
+    projection of it."""
+    if dim in _ROWS:
+        return _ROWS[dim] <= max_rows
     if dim not in _CHECKED:
         _CHECKED[dim] = dim.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[dim]

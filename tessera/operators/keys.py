@@ -48,7 +48,7 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_po
     n = base.count()
     if n <= small_rows:
         out = base.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("long"))
-        return out.withColumn(total, F.lit(n)) if total else out
+        return _counted(out.withColumn(total, F.lit(n)) if total else out, n)
     ranged = (base.repartitionByRange(partitions, *cols) if partitions
               else base.repartitionByRange(*cols))
     ranged = ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id())
@@ -65,13 +65,27 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_po
     out = out.withColumn(name, F.col(_OFF) + F.col(_LOCAL) + 1)
     if total:
         out = out.withColumn(total, F.lit(n))
-    return out.drop(_PID, _LOCAL, _OFF)
+    return _counted(out.drop(_PID, _LOCAL, _OFF), n)
+
+
+def _counted(df: DataFrame, n: int) -> DataFrame:
+    from tessera.operators.fact import remember_rows
+    return remember_rows(df, n)
+
+
+def rows_of(df: DataFrame) -> int | None:
+    """Row count recorded for ``df`` by a numbering pass, if any."""
+    from tessera.operators.fact import _ROWS
+    return _ROWS.get(df)
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[Column | str], name: str,
                        key_type: str = "int") -> DataFrame:
     """Surrogate key = ``row_number()`` over the global order, computed at scale."""
-    return with_position(df, order, name).withColumn(name, F.col(name).cast(key_type))
+    out = with_position(df, order, name)
+    n = rows_of(out)
+    out = out.withColumn(name, F.col(name).cast(key_type))
+    return _counted(out, n) if n is not None else out
 
 
 def ntile_of(pos: Column, total: Column, n: int) -> Column:
@@ -84,15 +98,24 @@ def ntile_of(pos: Column, total: Column, n: int) -> Column:
             .otherwise(r + F.floor((pos - big - 1) / q) + 1)).cast("int")
 
 
-def with_ntiles(df: DataFrame, specs: dict[str, tuple[int, Sequence[Column | str]]]) -> DataFrame:
+def with_ntiles(df: DataFrame, specs: dict[str, tuple[int, Sequence[Column | str]]],
+                small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add one ntile column per spec ``name -> (n, order)``; nulls sort first, as in
-    ``ntile(n) OVER (ORDER BY x)``. Each spec costs one ranged pass."""
-    out = df
+    ``ntile(n) OVER (ORDER BY x)``. The input is counted once: up to ``small_rows`` rows all
+    tiles come from ordered windows in one pass; above it each spec is one ranged pass
+    (global position, then ``ntile_of``)."""
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    total = base.count()
+    if total <= small_rows:
+        out = base.withColumns({name: F.ntile(n).over(Window.orderBy(*_order_cols(order)))
+                                for name, (n, order) in specs.items()})
+        return _counted(out, total)
+    out = base
     for name, (n, order) in specs.items():
-        out = with_position(out, order, "_nt_pos", total="_nt_total")
+        out = with_position(out, order, "_nt_pos", total="_nt_total", small_rows=small_rows)
         out = out.withColumn(name, ntile_of(F.col("_nt_pos"), F.col("_nt_total"), n))
         out = out.drop("_nt_pos", "_nt_total")
-    return out
+    return _counted(out, total)
 
 
 def with_ntile(df: DataFrame, n: int, order: Sequence[Column | str], name: str) -> DataFrame:
@@ -105,4 +128,6 @@ def with_unknown(df: DataFrame, values: dict[str, object]) -> DataFrame:
     row = tuple(values.get(f.name) for f in df.schema.fields)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
     unknown = spark.createDataFrame([row], schema)
-    return df.unionByName(unknown)
+    out = df.unionByName(unknown)
+    n = rows_of(df)
+    return _counted(out, n + 1) if n is not None else out
