@@ -52,9 +52,11 @@ def group_rate(df: DataFrame, by: Sequence[str | Column], flag: str = "is_arrest
 
 def with_share(df: DataFrame, total: str = "total", name: str = "pct_do_total",
                decimals: int = 1) -> DataFrame:
-    """``ROUND(100 * total / SUM(total) OVER (), decimals)`` as double. Meant for grouped
-    rows: the un-partitioned window runs over the groups, not over the facts."""
-    share = F.lit(100.0) * F.col(total) / F.sum(total).over(Window.partitionBy())
+    """``ROUND(100 * total / SUM(total), decimals)`` as double. The grand total is a scalar
+    subquery (a partial/final aggregate that reuses the grouping's exchange), so no single
+    task ever holds the grouped rows."""
+    grand = df.agg(F.sum(total)).scalar()
+    share = F.lit(100.0) * F.col(total) / grand
     return df.withColumn(name, F.round(share, decimals).cast("double"))
 
 
