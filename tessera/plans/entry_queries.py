@@ -468,8 +468,9 @@ raw AS (
               ELSE CAST(o_orderkey AS VARCHAR) || '.0' END,
          CASE WHEN o_orderkey % 89 = 0 THEN 'bad' ELSE strftime(o_orderdate, '{S.TS_FMT}') END,
          CAST(year(o_orderdate) AS VARCHAR) || '.0', 'X',
-         strftime(o_orderdate + INTERVAL 1 DAY, '{S.TS_FMT}')
-  FROM orders WHERE o_orderkey % 10 = 0),
+         strftime(o_orderdate + (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END) * INTERVAL 1 DAY,
+                  '{S.TS_FMT}')
+  FROM orders),
 typed AS (
   SELECT CASE WHEN regexp_matches(id, '^ *[+-]?[0-9]+(\\.0*)? *$')
               THEN try_cast(split_part(trim(id), '.', 1) AS BIGINT) END AS id,

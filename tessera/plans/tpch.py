@@ -231,12 +231,14 @@ TS_FMT = "MM/dd/yyyy hh:mm:ss a"
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text orders as a landing file would hold them, with faults built by expression:
     ids as ``'123.0'`` (some with a trailing ``x``), unparseable dates, years as ``'1996.0'``,
-    and a later re-sent copy of every tenth order (status ``X``, updated a day later)."""
+    and a re-sent copy of every order (status ``X``) updated one day later for even keys
+    and one day earlier for odd keys, so the dedupe keeps the copy for half the keys."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
 
     def rows(copy: bool) -> DataFrame:
-        upd = F.col("o_orderdate") + F.expr("INTERVAL 1 DAY") if copy else F.col("o_orderdate")
+        shift = F.when(k % 2 == 0, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL -1 DAY"))
+        upd = F.col("o_orderdate") + shift if copy else F.col("o_orderdate")
         return o.select(
             F.when(k % 101 == 0, F.concat(k.cast("string"), F.lit("x")))
              .otherwise(F.concat(k.cast("string"), F.lit(".0"))).alias("id"),
@@ -246,7 +248,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.lit("X") if copy else F.col("o_orderstatus")).alias("status"),
             F.date_format(upd, TS_FMT).alias("updated_on"))
 
-    return rows(False).unionByName(rows(True).where(k % 10 == 0))
+    return rows(False).unionByName(rows(True))
 
 
 def orders_clean_spec(window: tuple[int, int] = (1996, 2000)) -> CleanSpec:
