@@ -113,3 +113,17 @@ def test_marts_dictionary_and_catalog(spark, built):
     written = {f"mart_bq{i}": spark.table(f"gold.mart_bq{i}") for i in range(1, 8)}
     w = Q.widget_all(None, written=written)
     assert w.select("series").distinct().count() == 8
+
+
+def test_quality_tables(spark, built):
+    prof = {r.coluna: r for r in spark.table("silver.profile_crimes").collect()}
+    assert prof["latitude"].nulos == 4 and prof["id"].distintos == 33
+    assert spark.table("silver.profile_socioeconomic").count() == 9
+    dom = spark.table("silver.domains_crimes").first()
+    assert (dom.beat_min, dom.beat_max, dom.year_min, dom.year_max) == (6, 1234, 2016, 2016)
+    dist = spark.table("silver.distributions_crimes")
+    arrest = {r.valor: r.contagem for r in dist.where("coluna = 'arrest'").collect()}
+    assert arrest == {None: 1, "false": 31, "true": 1}
+    cov = {r.chave: (r.distintos, r.sem_match) for r in spark.table("gold.join_coverage").collect()}
+    assert cov["community_area"] == (1, 0)      # area 25 only (0 and 78 are outside 1..77)
+    assert cov["iucr"] == (7, 2)                # 9999 and 12345 are not in the reference
