@@ -7,10 +7,10 @@ check; the others go through the size check. Every top-k has a tie-breaker on th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.marts import (group_corr, group_rate, label, star_join, top_k,
+from tessera.operators.marts import (group_corr, group_rate, label, rate, star_join, top_k,
                                      widget_series, with_share)
 from tessera.plans.star import Star
 
@@ -79,8 +79,7 @@ def bq6a(s: Star) -> DataFrame:
     j = star_join(s.fact, s.dim_area, "community_area_key", known_only=True)
     return group_rate(j, ["hardship_quartile"], total="total_crimes", rate_name=None,
                       extra={"renda_media": F.round(F.avg("per_capita_income")),
-                             RATE: F.round(F.lit(100.0) * F.avg(F.when(F.col("is_arrest"), 1)
-                                                                 .otherwise(0)), 1)})
+                             RATE: rate(F.col("is_arrest"))})
 
 
 def bq6b(s: Star) -> DataFrame:
@@ -107,7 +106,7 @@ def rate_extremes(s: Star, min_total: int = 500, k: int = 3) -> DataFrame:
                    rate_name=RATE, min_total=min_total)
     top = top_k(g, [F.desc(RATE), F.desc("total"), F.asc_nulls_first("primary_type")], k)
     bot = top_k(g, [F.asc(RATE), F.desc("total"), F.asc_nulls_first("primary_type")], k)
-    from pyspark.sql import Window
+    # positions inside the k rows of each side (bounded by k)
     wt = Window.orderBy(F.desc(RATE), F.desc("total"), F.asc_nulls_first("primary_type"))
     wb = Window.orderBy(F.asc(RATE), F.desc("total"), F.asc_nulls_first("primary_type"))
     cols = ["lado", "posicao", "primary_type", "total", RATE]

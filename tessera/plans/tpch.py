@@ -21,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.parse import clean_text, pad_code, upper_flag
-from tessera.operators.clean import Rule, dedupe, drop_rows, project, total_order
+from tessera.functions.parse import clean_text, pad_code, to_int, to_long, to_ts, upper_flag
+from tessera.operators.clean import (CleanSpec, Rule, apply_clean, dedupe, drop_rows, project,
+                                     total_order)
 from tessera.operators.dims import area_dim, date_dim, place_dim, representative, time_dim, type_dim
 from tessera.operators.fact import build_fact
-from tessera.operators.clean import CleanSpec, apply_clean
 from tessera.plans.star import Star
 from tessera.session import ensure_checkpoint_dir, pin_utc
 
@@ -267,7 +267,6 @@ def orders_clean_spec(window: tuple[int, int] = (1996, 2000)) -> CleanSpec:
 
 
 def orders_typed(raw: DataFrame) -> DataFrame:
-    from tessera.functions.parse import to_int, to_long, to_ts
     return project(raw, {
         "id": to_long("id"),
         "occurred_at": to_ts("date", TS_FMT).cast("timestamp_ntz"),
