@@ -45,7 +45,23 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-def compare(spark_df, con, sql):
+SPARK_CLASS = {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8",
+               "double": "float64", "float": "float32", "string": "string", "boolean": "bool",
+               "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}
+DUCK_CLASS = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8",
+              "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool",
+              "DATE": "date", "TIMESTAMP": "timestamp", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+
+
+def type_classes(spark_df, con, sql):
+    """Column -> (spark class, duck class) for columns whose classes differ."""
+    s = {n: SPARK_CLASS.get(t, t) for n, t in spark_df.dtypes}
+    rel = con.sql(sql)
+    d = {n: DUCK_CLASS.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+    return {n: (s.get(n), d.get(n)) for n in set(s) | set(d) if s.get(n) != d.get(n)}
+
+
+def compare(spark_df, con, sql, types=False):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
@@ -61,4 +77,8 @@ def compare(spark_df, con, sql):
     elif sr != dr:
         bad = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
         problems.append(f"values differ, e.g. {bad}")
+    if types:
+        diff = type_classes(spark_df, con, sql)
+        if diff:
+            problems.append(f"types differ: {diff}")
     return problems, len(sr)

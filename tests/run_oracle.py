@@ -29,7 +29,7 @@ def main():
         try:
             df = qs[n](spark, sf)
             if n in sql:
-                probs, rows = compare(df, con, sql[n])
+                probs, rows = compare(df, con, sql[n], types=True)
             else:
                 probs, rows = ["(no oracle)"], df.count()
         except Exception as e:  # report and go on
