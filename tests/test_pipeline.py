@@ -127,3 +127,11 @@ def test_quality_tables(spark, built):
     cov = {r.chave: (r.distintos, r.sem_match) for r in spark.table("gold.join_coverage").collect()}
     assert cov["community_area"] == (1, 0)      # area 25 only (0 and 78 are outside 1..77)
     assert cov["iucr"] == (7, 2)                # 9999 and 12345 are not in the reference
+
+
+def test_quarantine_and_partition_pruning(spark, built):
+    checked = spark.table("silver.crimes_checked")
+    reasons = {r._reason: r["count"] for r in checked.groupBy("_reason").count().collect()}
+    assert reasons == {None: 33, "data nula ou malformada": 1, "ano fora de 2012-2017": 3}
+    plan = spark.table("silver.crimes")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnull(_reason" in plan
