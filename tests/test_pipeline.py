@@ -44,7 +44,8 @@ def test_audit(built):
     assert a["data nula ou malformada"].removed == 1
     assert a["ano fora de 2012-2017"].removed == 3
     assert a["coordenadas ausentes"].flagged == 2
-    assert a["coordenadas fora da caixa ou (0,0)"].flagged == 2
+    assert a["coordenadas (0,0)"].flagged == 1
+    assert a["coordenadas fora da caixa"].flagged == 1
     assert a["ano fora de 2012-2017"].after == 33
 
 
@@ -70,6 +71,9 @@ def test_integrity_and_report(built):
     rep = {r.verificacao: r.linhas_afetadas for r in built["gold.data_quality_report"].collect()}
     assert rep["ids repetidos"] == 1 and rep["linha agregada (area nula)"] == 1
     assert rep["community area 0/nula/fora da dimensao"] == 3
+    assert rep["codigo IUCR com mais de 4 caracteres"] == 1       # 12345 kept whole
+    t = built["gold.dim_crime_type"].collect()
+    assert all(r.iucr is not None for r in t)                      # null code: no dim row
 
 
 def test_questions_invariants(spark, built):
@@ -135,3 +139,14 @@ def test_quarantine_and_partition_pruning(spark, built):
     assert reasons == {None: 33, "data nula ou malformada": 1, "ano fora de 2012-2017": 3}
     plan = spark.table("silver.crimes")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnull(_reason" in plan
+
+
+def test_lazy_and_staged_coordinate_flags_agree(spark, built):
+    from tessera.operators.clean import audit
+    typed = C.typed_crimes(spark.table("bronze.crimes"))
+    lazy = {r.step: r.flagged for r in audit(typed, C.crimes_spec(), C.coordinate_flags()).collect()
+            if r.flagged is not None}
+    staged = {r.step: r.flagged for r in spark.table("silver.clean_audit").collect()
+              if r.flagged is not None}
+    assert lazy == staged == {"coordenadas ausentes": 2, "coordenadas (0,0)": 1,
+                              "coordenadas fora da caixa": 1}
