@@ -66,6 +66,11 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows in no particular order (a look at a table, not a ranking)."""
+    return df.limit(n)
+
+
 def _safe_corr(x: str, y: str) -> Column:
     """Pearson r over the rows where both values exist; null (not a divide-by-zero error
     under ANSI) when either side has no variance."""

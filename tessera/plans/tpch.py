@@ -29,10 +29,7 @@ from tessera.operators.fact import build_fact
 from tessera.plans.star import Star
 from tessera.session import ensure_checkpoint_dir, pin_utc
 
-UNKNOWN_TYPE = {"crime_type_key": -1, "iucr": "XXXX", "primary_type": "DESCONHECIDO",
-                "is_index": False}
-UNKNOWN_PLACE = {"location_key": -1, "location_description": "DESCONHECIDO"}
-UNKNOWN_AREA = {"community_area_key": -1, "community_area_name": "Desconhecido"}
+from tessera.plans.crimes import UNKNOWN_AREA, UNKNOWN_PLACE, UNKNOWN_TYPE  # noqa: E402
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 

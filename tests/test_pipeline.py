@@ -150,3 +150,10 @@ def test_lazy_and_staged_coordinate_flags_agree(spark, built):
               if r.flagged is not None}
     assert lazy == staged == {"coordenadas ausentes": 2, "coordenadas (0,0)": 1,
                               "coordenadas fora da caixa": 1}
+
+
+def test_layer_comment_and_preview(spark, built):
+    from tessera.operators.marts import preview
+    desc = {r[0]: r[1] for r in spark.sql("DESCRIBE SCHEMA EXTENDED gold").collect()}
+    assert any("Star schema" in str(v) for v in desc.values())
+    assert preview(spark.table("gold.fact_crime"), 5).count() == 5
