@@ -26,11 +26,10 @@ from tessera.operators.clean import (CleanSpec, Rule, apply_clean, dedupe, drop_
                                      total_order)
 from tessera.operators.dims import area_dim, date_dim, place_dim, representative, time_dim, type_dim
 from tessera.operators.fact import build_fact
+from tessera.plans.crimes import UNKNOWN_AREA, UNKNOWN_PLACE, UNKNOWN_TYPE
 from tessera.plans.star import Star
 from tessera.session import ensure_checkpoint_dir, pin_utc
 
-from tessera.plans.crimes import UNKNOWN_AREA, UNKNOWN_PLACE, UNKNOWN_TYPE  # noqa: E402
-
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 

@@ -26,3 +26,13 @@ def test_incremental_ingest_is_exactly_once(spark, tmp_path):
     rows = spark.read.parquet(str(target)).collect()
     assert sorted(r.id for r in rows) == ["1", "2", "3"]
     assert [r.block for r in rows if r.id == "2"] == ['1 "Q" ST\nAPT 2']
+
+
+def test_cli_ingest(spark, tmp_path):
+    from tessera.__main__ import main
+    landing, target = tmp_path / "l", tmp_path / "t"
+    landing.mkdir()
+    _write(landing / "a.csv", [["7", "HX7", "G ST"]])
+    main(["ingest", "--landing", str(landing), "--target", str(target), "--source", "cli",
+          "--checkpoint", str(tmp_path / "ck")])
+    assert [r.id for r in spark.read.parquet(str(target)).collect()] == ["7"]
