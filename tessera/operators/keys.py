@@ -56,6 +56,8 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_po
     ranged = ranged.withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged.count()        # materialize the numbered ranges, then drop the input copy
+    base.unpersist()
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy(_PID)  # over one row per partition: bounded by the partition count
     offsets = counts.select(
