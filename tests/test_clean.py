@@ -82,3 +82,11 @@ def test_csv_roundtrip_and_stamp(spark, tmp_path):
     assert sorted((r.k, r.t) for r in back.collect()) == [("1", "a b"), ("2", "x,y")]
     assert back.select("_source").distinct().count() == 1
     assert back.select("_ingested_at").distinct().count() == 1
+
+
+def test_stamp_uses_given_time_in_session_zone(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1,)], "k int")
+    t = dt.datetime(2024, 1, 2, 3, 4, 5)
+    got = stamp(df, "x", t).select(F.col("_ingested_at").cast("string").alias("s")).first().s
+    assert got == "2024-01-02 03:04:05"
