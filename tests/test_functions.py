@@ -68,3 +68,13 @@ def test_date_parts(spark):
     assert r[0]["k"] == 20160103 and r[0]["day_of_week"] == "Sunday" and r[0]["is_weekend"]
     assert r[0]["month_name"] == "January" and r[0]["quarter"] == 1
     assert r[1]["k"] == 20170118 and r[1]["day_of_week"] == "Wednesday" and not r[1]["is_weekend"]
+
+
+def test_size_for_sets_partitions(spark):
+    from tessera.session import size_for
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    conf = size_for(spark, 100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    small = size_for(spark, 1 << 20, 4)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    spark.conf.set("spark.sql.shuffle.partitions", old)
