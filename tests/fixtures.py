@@ -116,8 +116,10 @@ def _write(path, header, rows):
             w.writerow(r)
 
 
-def write_landing(d: str) -> dict[str, str]:
+def write_landing(d: str, reverse: bool = False) -> dict[str, str]:
     crimes = [[str(i)] + [r[h] for h in HEADER[1:]] for i, r in enumerate(crimes_rows())]
+    if reverse:  # same records, opposite file order (and index column)
+        crimes = crimes[::-1]
     paths = {"crimes": os.path.join(d, "crimes.csv"),
              "socioeconomic": os.path.join(d, "socioeconomic.csv"),
              "iucr_codes": os.path.join(d, "iucr_codes.csv")}

@@ -96,12 +96,16 @@ def test_comments_applied(spark, built):
     assert comments["crime_type_key"].startswith("FK to dim_crime_type")
 
 
-def test_rerun_is_deterministic(spark, landing, built):
-    before = sorted(built["gold.fact_crime"].collect())
-    keys = sorted(built["gold.dim_crime_type"].collect())
-    again = C.build(spark, landing)
+def test_rerun_is_deterministic(spark, landing, built, tmp_path):
+    before = sorted(spark.table("gold.fact_crime").collect())
+    keys = sorted(spark.table("gold.dim_crime_type").collect())
+    places = sorted(spark.table("gold.dim_location").collect())
+    from fixtures import write_landing
+    again = C.build(spark, write_landing(str(tmp_path), reverse=True))
     assert sorted(again["gold.fact_crime"].collect()) == before
     assert sorted(again["gold.dim_crime_type"].collect()) == keys
+    assert sorted(again["gold.dim_location"].collect()) == places
+    C.build(spark, landing)  # leave the original build in place for later tests
 
 
 def test_marts_dictionary_and_catalog(spark, built):
