@@ -24,6 +24,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.operators import quality as QL  # noqa: E402
 from tessera.operators.clean import apply_clean, audit  # noqa: E402
+from tessera.operators.fact import build_fact  # noqa: E402
+from tessera.plans.crimes import _with_rows  # noqa: E402
 from tessera.operators.keys import with_surrogate_key  # noqa: E402
 from tessera.plans import questions as Q  # noqa: E402
 from tessera.plans import tpch  # noqa: E402
@@ -95,10 +97,16 @@ def main():
     occ = spark.read.parquet(silver)
 
     def build():
+        # dimensions first, then the fact against the written dimensions (as the pipeline does)
         s = tpch.build_star(spark, occ, tpch.clean_codes(tpch.codes_raw(spark, sf_dir)),
                             tpch.clean_indicators(tpch.indicators_raw(spark, sf_dir)))
-        for name, df in s.tables().items():
+        dims = {n: df for n, df in s.tables().items() if n != "fact_crime"}
+        for name, df in dims.items():
             df.write.mode("overwrite").parquet(f"{gold}/{name}")
+        back = {n: _with_rows(spark.read.parquet(f"{gold}/{n}"), dims[n]) for n in dims}
+        fact = build_fact(occ, type_dim=back["dim_crime_type"], location_dim=back["dim_location"],
+                          area_dim=back["dim_community_area"])
+        fact.write.mode("overwrite").parquet(f"{gold}/fact_crime")
     q["gold_build"] = timed(build)
     t = {n: spark.read.parquet(f"{gold}/{n}") for n in Star.TABLES}
     star = Star(fact=t["fact_crime"], dim_date=t["dim_date"], dim_time=t["dim_time"],
