@@ -123,8 +123,8 @@ def audit(df: DataFrame, spec: CleanSpec, flags: Mapping[str, Column] | None = N
     (e.g. coordinates nulled) in ``flagged``.
 
     Cost: one aggregate over the input (count and first failed ``pre`` rule) and one over
-    the dedupe survivors (pass ``survivors`` when they are already materialized, e.g. by
-    a checkpoint, to avoid a second dedupe shuffle). The two one-row results are combined
+    the dedupe survivors (pass ``survivors`` when they are already materialized, e.g. as a
+    written table, to avoid a second dedupe shuffle). The two one-row results are combined
     by a union and a ``max``, never by a join.
     """
     flags = dict(flags or {})
