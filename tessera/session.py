@@ -74,7 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.checkpoint.dir", None))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
