@@ -84,6 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A machine-local folder is only acceptable in local mode, where driver and executors
     share one file system.
     """
+    active = spark.sparkContext.getCheckpointDir()
+    if active:
+        return active
     d = checkpoint_dir(spark)
     if not d:
         if not spark.sparkContext.master.startswith("local"):
