@@ -16,6 +16,7 @@ import re
 import sys
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tessera.operators import quality as QL  # noqa: E402
 from tessera.operators.clean import audit, first_failed, survivors_of  # noqa: E402
 from tessera.operators.fact import build_fact  # noqa: E402
-from tessera.plans.crimes import _with_rows  # noqa: E402
+from tessera.plans.crimes import _with_rows, gold_dim_builders  # noqa: E402
 from tessera.operators.keys import with_surrogate_key  # noqa: E402
 from tessera.plans import questions as Q  # noqa: E402
 from tessera.plans import tpch  # noqa: E402
@@ -104,11 +105,17 @@ def main():
 
     def build():
         # dimensions first, then the fact against the written dimensions (as the pipeline does)
-        s = tpch.build_star(spark, occ, tpch.clean_codes(tpch.codes_raw(spark, sf_dir)),
-                            tpch.clean_indicators(tpch.indicators_raw(spark, sf_dir)))
-        dims = {n: df for n, df in s.tables().items() if n != "fact_crime"}
-        for name, df in dims.items():
+        builders = gold_dim_builders(spark, occ,
+                                     tpch.clean_indicators(tpch.indicators_raw(spark, sf_dir)),
+                                     tpch.clean_codes(tpch.codes_raw(spark, sf_dir)))
+
+        def write(item):   # independent dimensions are built and written side by side
+            name, make = item
+            df = make()
             df.write.mode("overwrite").parquet(f"{gold}/{name}")
+            return name, df
+        with ThreadPoolExecutor(max_workers=len(builders)) as ex:
+            dims = dict(ex.map(write, builders.items()))
         back = {n: _with_rows(spark.read.parquet(f"{gold}/{n}"), dims[n]) for n in dims}
         fact = build_fact(occ, type_dim=back["dim_crime_type"], location_dim=back["dim_location"],
                           area_dim=back["dim_community_area"])
@@ -137,8 +144,11 @@ def main():
     mart_dir = f"{scratch}/marts"
 
     def write_marts():
-        for name, df in Q.marts(star, before_year=2001).items():
+        def write(item):
+            name, df = item
             df.write.mode("overwrite").parquet(f"{mart_dir}/{name}")
+        with ThreadPoolExecutor(max_workers=7) as ex:
+            list(ex.map(write, Q.marts(star, before_year=2001).items()))
     q["marts_build"] = timed(write_marts)
     written = {f"mart_bq{i}": spark.read.parquet(f"{mart_dir}/mart_bq{i}") for i in range(1, 8)}
     q["widget_series"] = timed(lambda: Q.widget_all(star, written=written).collect())

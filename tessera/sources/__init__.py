@@ -2,7 +2,7 @@
 
 from tessera.sources.files import normalize_columns, normalize_name, read_raw_csv, stamp, write_csv
 from tessera.sources.catalog import (apply_comments, data_dictionary, ensure_layers, list_tables,
-                                     save)
+                                     save, save_all)
 
 __all__ = ["normalize_columns", "normalize_name", "read_raw_csv", "stamp", "write_csv",
-           "apply_comments", "data_dictionary", "ensure_layers", "list_tables", "save"]
+           "apply_comments", "data_dictionary", "ensure_layers", "list_tables", "save", "save_all"]
