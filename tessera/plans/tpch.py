@@ -18,15 +18,17 @@ questions. Dimensions and fact are built with the library operators, never with
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import clean_text, pad_code, to_int, to_long, to_ts, upper_flag
 from tessera.operators.clean import (CleanSpec, Rule, apply_clean, dedupe, drop_rows, project,
                                      total_order)
-from tessera.operators.dims import area_dim, date_dim, place_dim, representative, time_dim, type_dim
+from tessera.operators.dims import representative
 from tessera.operators.fact import build_fact
-from tessera.plans.crimes import UNKNOWN_AREA, UNKNOWN_PLACE, UNKNOWN_TYPE
+from tessera.plans.crimes import gold_dim_builders
 from tessera.plans.star import Star
 from tessera.session import ensure_checkpoint_dir, pin_utc
 
@@ -163,14 +165,16 @@ def clean_codes(raw: DataFrame, width: int = 4) -> DataFrame:
 # ---- stars ---------------------------------------------------------------------------
 
 def build_star(spark: SparkSession, occ: DataFrame, ref: DataFrame, indicators: DataFrame) -> Star:
-    d_type = type_dim(occ, ref, unknown=UNKNOWN_TYPE)
-    d_place = place_dim(occ, unknown=UNKNOWN_PLACE)
-    d_area = area_dim(indicators, quartiles={"income_quartile": "per_capita_income",
-                                             "hardship_quartile": "hardship_index"},
-                      unknown=UNKNOWN_AREA)
-    fact = build_fact(occ, type_dim=d_type, location_dim=d_place, area_dim=d_area)
-    return Star(fact=fact, dim_date=date_dim(occ, "occurred_at"), dim_time=time_dim(spark),
-                dim_type=d_type, dim_area=d_area, dim_location=d_place)
+    """The same star as the crime preset's gold layer; the independent dimensions are
+    constructed side by side (their counting jobs overlap), then the fact."""
+    builders = gold_dim_builders(spark, occ, indicators, ref)
+    with ThreadPoolExecutor(max_workers=len(builders)) as ex:
+        dims = dict(zip(builders, ex.map(lambda f: f(), builders.values())))
+    fact = build_fact(occ, type_dim=dims["dim_crime_type"], location_dim=dims["dim_location"],
+                      area_dim=dims["dim_community_area"])
+    return Star(fact=fact, dim_date=dims["dim_date"], dim_time=dims["dim_time"],
+                dim_type=dims["dim_crime_type"], dim_area=dims["dim_community_area"],
+                dim_location=dims["dim_location"])
 
 
 _MEMO: dict = {}
