@@ -90,3 +90,14 @@ def test_stamp_uses_given_time_in_session_zone(spark):
     t = dt.datetime(2024, 1, 2, 3, 4, 5)
     got = stamp(df, "x", t).select(F.col("_ingested_at").cast("string").alias("s")).first().s
     assert got == "2024-01-02 03:04:05"
+
+
+def test_save_all_writes_side_by_side_and_raises(spark):
+    import pytest as _pt
+    from tessera.sources.catalog import ensure_layers, save_all
+    ensure_layers(spark, ["scratch_t"])
+    out = save_all({"scratch_t.a": spark.range(3), "scratch_t.b": lambda: spark.range(5)})
+    assert spark.table("scratch_t.a").count() == 3 and spark.table("scratch_t.b").count() == 5
+    assert set(out) == {"scratch_t.a", "scratch_t.b"}
+    with _pt.raises(Exception):
+        save_all({"scratch_t.c": lambda: spark.range(1).selectExpr("missing_column")})
