@@ -66,3 +66,10 @@ def test_profile_job_count(spark):
     # the reference runs 1 + 2 * ncols jobs; ours is a few stages per chunk of 8 columns
     assert jobs <= 3 * math.ceil(ncols / 8) + 1 < 1 + 2 * ncols
     occ.unpersist()
+
+
+def test_no_python_evaluation_in_any_query(spark):
+    import __spark_entry__ as E
+    for name, fn in E.queries().items():
+        text = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in text and "PythonUDF" not in text, name
