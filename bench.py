@@ -70,11 +70,17 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="tessera-bench-")
+    extra = {"spark.sql.warehouse.dir": f"{scratch}/wh",
+             "spark.driver.memory": "16g",
+             "spark.sql.files.maxPartitionBytes": str(64 << 20),
+             "spark.driver.extraJavaOptions": f"-Dderby.system.home={scratch}"}
+    if os.environ.get("BENCH_EVENTLOG"):
+        # stage and task times for later reading, written to this run's scratch folder
+        os.makedirs(f"{scratch}/events", exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"{scratch}/events"})
+        print(f"event log: {scratch}/events", file=sys.stderr)
     spark = get_session(f"local[{cpus}]", app="tessera-bench", shuffle_partitions=max(8, 2 * cpus),
-                        extra={"spark.sql.warehouse.dir": f"{scratch}/wh",
-                               "spark.driver.memory": "16g",
-                               "spark.sql.files.maxPartitionBytes": str(64 << 20),
-                               "spark.driver.extraJavaOptions": f"-Dderby.system.home={scratch}"})
+                        extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(f"{scratch}/ckpt")
     global SPARK
