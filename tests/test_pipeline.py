@@ -91,9 +91,11 @@ def test_questions_invariants(spark, built):
 
 
 def test_comments_applied(spark, built):
+    from tessera.sources.catalog import table_comment
     rows = spark.sql("DESCRIBE TABLE gold.fact_crime").collect()
     comments = {r.col_name: r.comment for r in rows}
     assert comments["crime_type_key"].startswith("FK to dim_crime_type")
+    assert table_comment(spark, "gold.fact_crime") == "Fact: one row per occurrence (grain = id)."
 
 
 def test_rerun_is_deterministic(spark, landing, built, tmp_path):
