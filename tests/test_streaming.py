@@ -36,3 +36,12 @@ def test_cli_ingest(spark, tmp_path):
     main(["ingest", "--landing", str(landing), "--target", str(target), "--source", "cli",
           "--checkpoint", str(tmp_path / "ck")])
     assert [r.id for r in spark.read.parquet(str(target)).collect()] == ["7"]
+
+
+def test_cli_build(spark, landing, capsys):
+    from tessera.__main__ import main
+    main(["build", "--crimes", landing["crimes"], "--socioeconomic", landing["socioeconomic"],
+          "--iucr-codes", landing["iucr_codes"], "--no-comments"])
+    printed = capsys.readouterr().out.split()
+    assert "gold.fact_crime" in printed and "silver.clean_audit" in printed
+    assert spark.table("gold.fact_crime").count() == 33
