@@ -89,7 +89,7 @@ def socio_rows():
             hardship = 98 - 20             # tie with area 20
         rows.append([str(ca), f"Area {ca}", "4.5", f"{10 + ca % 40}.5", "9.1", "12.0", "30.2",
                      str(income), str(hardship)])
-    rows.append(["", "CHICAGO", "4.7", "19.7", "12.9", "19.5", "33.5", "28202", ""])
+    rows.append(["", "CITY TOTAL", "4.7", "19.7", "12.9", "19.5", "33.5", "28202", ""])
     return rows
 
 

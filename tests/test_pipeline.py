@@ -168,6 +168,6 @@ def test_layer_comment_and_preview(spark, built):
 def test_socio_one_row_per_area(spark):
     raw = spark.createDataFrame(
         [("1", "A", "1", "2", "3", "4", "5", "9000", "90"), ("1", "A", "1", "2", "3", "4", "5", "9000", "90"),
-         ("", "CHICAGO", "1", "2", "3", "4", "5", "9000", "")], ",".join(f"{c} string" for c in C.SOCIO.values()))
+         ("", "CITY TOTAL", "1", "2", "3", "4", "5", "9000", "")], ",".join(f"{c} string" for c in C.SOCIO.values()))
     out = C.clean_socio(raw).collect()
     assert len(out) == 1 and out[0].community_area == 1 and out[0].per_capita_income == 9000
