@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from oracle import compare, duck
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TESSERA_ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
