@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate
+from tessera.llm import decontaminate, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,16 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   keep=["doc_id"])
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document without the 50-word spans of earlier documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substrings.remove_repeats(docs, joined=True)
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_decontaminate,)}
+    f.__name__: f for f in (
+        op4_decontaminate, op5_substring_dedup)}
 
 ORACLE: dict[str, str] = {}
