@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, near, substrings
+from tessera.llm import decontaminate, mixing, near, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucket(n: int):
+    """crc32(doc_id as text) mod n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents replicated to equal source weights, in a global random order."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of every document with the benchmark."""
     return decontaminate.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
@@ -33,8 +43,18 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of crc32 remainder 0 are held out."""
+    docs, held_out = _table(spark, sf_dir, "documents"), _bucket(5) == 0
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard)}
+        op2_mix_sources, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
+        op10_toxicity)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_mix_sources": mixing.ORACLE_SQL,
+}
