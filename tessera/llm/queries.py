@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, mixing, near, substrings, toxicity
+from tessera.llm import decontaminate, languages, mixing, near, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def _bucket(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows of crc32 remainder 2 are held out from learning."""
+    docs, held_out = _table(spark, sf_dir, "documents"), _bucket(4) == 2
+    profiles = languages.train(docs.where(~held_out))
+    return languages.predict(docs, profiles, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents replicated to equal source weights, in a global random order."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
@@ -43,6 +50,13 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of crc32 remainder 2 are held out."""
+    docs, held_out = _table(spark, sf_dir, "documents"), _bucket(4) == 2
+    model = quality.train(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of crc32 remainder 0 are held out."""
     docs, held_out = _table(spark, sf_dir, "documents"), _bucket(5) == 0
@@ -52,8 +66,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_mix_sources, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
-        op10_toxicity)}
+        op1_language, op2_mix_sources, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
+        op8_quality, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE_SQL,
