@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Ids (8 bytes each) that may be broadcast to filter a wide table; beyond it both sides are shuffled.
 BROADCAST_IDS = 2_000_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir`` that all executors share.
 
-    The folder is read from the session; one is set here only where none is, on a local master.
+    It is read from the session; a temporary one is set only where none is, on a local master.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="tessera-checkpoint-")
-        context.setCheckpointDir(folder)
+    context = spark.sparkContext
+    now = context._jsc.sc().getCheckpointDir()
+    if now.isDefined():
+        return now.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-checkpoint-")
+    context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
