@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, languages, mixing, near, quality, substrings, toxicity
+from tessera.llm import ann, decontaminate, languages, mixing, near, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every hundredth vector."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of every document with the benchmark."""
     return decontaminate.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
@@ -66,7 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language, op2_mix_sources, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
+        op1_language, op2_mix_sources, op3_inverted_multi_index, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
         op8_quality, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
