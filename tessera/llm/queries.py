@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, decontaminate, languages, mixing, near, quality, substrings, toxicity
+from tessera.llm import ann, decontaminate, languages, mixing, near, pages, quality, substrings, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of crc32 remainder 2 are held out."""
     docs, held_out = _table(spark, sf_dir, "documents"), _bucket(4) == 2
@@ -63,6 +68,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of crc32 remainder 0 are held out."""
     docs, held_out = _table(spark, sf_dir, "documents"), _bucket(5) == 0
@@ -73,7 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language, op2_mix_sources, op3_inverted_multi_index, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
-        op8_quality, op10_toxicity)}
+        op7_token_counts, op8_quality, op9_page_text, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE_SQL,
