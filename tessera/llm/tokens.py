@@ -49,8 +49,8 @@ class Vocabulary:
 def load(path: str = DEFAULT_FILE) -> Vocabulary:
     """Vocabulary of a sentencepiece model file.
 
-    The scores of a unigram model are used as they are. Those of a merge-ranked model (0, -1,
-    -2, ...) are no probabilities: rank r gets Zipf's log(1 / (r + 2.7)), normalized.
+    The scores of a unigram model are used as they are. Those of a merge-ranked model (whole
+    numbers 0, -1, -2, ...) are no probabilities: rank r gets Zipf's log(1 / (r + 2.7)), normalized.
     """
     import sentencepiece
 
@@ -58,7 +58,7 @@ def load(path: str = DEFAULT_FILE) -> Vocabulary:
     rows = [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
     values = [s for _, s in rows]
-    if all(float(s).is_integer() for s in values) and len(set(values)) == len(values):
+    if values and all(float(s).is_integer() for s in values):
         weight = {p: 1 / (k + 2.7) for k, (p, _) in enumerate(sorted(rows, key=lambda r: -r[1]))}
         total = math.fsum(weight.values())
         scores = {p: math.log(w / total) for p, w in weight.items()}
