@@ -28,6 +28,8 @@ from tessera.llm.words import ALNUM, add_columns, column, find_words
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
+#: Text of a shard: larger ones share a search among more suffixes, and take 40 times as much memory.
+SHARD_BYTES = 4 << 20
 
 RESULT = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
           T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
@@ -234,7 +236,7 @@ def annotate(docs: DataFrame, bench: DataFrame, width: int = WINDOW, text: str =
         digest = pa.array([digests.get(r) for r in range(part.num_rows)], pa.string()).fill_null(clean)
         return [pa.array(n_words), pa.array(hit), pa.array(n_items), digest, pa.array(hit > 0), pa.array(longest)]
 
-    return add_columns(docs, rows_of, [] if drop else RESULT, keep, text)
+    return add_columns(docs, rows_of, [] if drop else RESULT, keep, text, SHARD_BYTES)
 
 
 def matches(docs: DataFrame, bench: DataFrame, width: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
@@ -264,7 +266,8 @@ def _block_spans(docs, block, width, text, keep):
                                    ("item_begin", pa.int64()), ("n_words", pa.int64())]))
         return [pa.array(spans, kind), pa.array(np.diff(words.first))]
 
-    return add_columns(docs, rows_of, [T.StructField("spans", SPANS), T.StructField("n_words", T.LongType())], keep, text)
+    return add_columns(docs, rows_of, [T.StructField("spans", SPANS), T.StructField("n_words", T.LongType())], keep, text,
+                       SHARD_BYTES)
 
 
 def _annotate_blocks(docs, blocks, width, text, keep, drop):
@@ -303,7 +306,7 @@ def _clean_of(docs, block, width, text):
         *_, row = _spans(shipped.value, part, text)
         return [pa.array(np.bincount(row, minlength=part.num_rows) == 0)]
 
-    return add_columns(docs, rows_of, [], None, text)
+    return add_columns(docs, rows_of, [], None, text, SHARD_BYTES)
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:

@@ -119,7 +119,7 @@ def _shared(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     member, gram = member[use], number[gram[use]]
     by = np.argsort(gram, kind="stable")
     member, gram = member[by], gram[by]
-    both = np.zeros((len(sets), len(sets)), np.float32)
+    both = np.zeros((len(sets), len(sets)))
     for begin in range(0, int(often.sum()), width):
         i, j = np.searchsorted(gram, [begin, begin + width])
         m = np.zeros((len(sets), width), np.float32)
@@ -128,36 +128,31 @@ def _shared(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return both
 
 
-def _block_links(frame, threshold: float):
+def _block_links(frame: pa.Table, threshold: float) -> pa.Table:
     """Links within one pair of blocks of one large bucket: a row per member."""
-    import pandas as pd
-
-    left, right = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    bucket = int(frame["bucket"].iloc[0])
-    frame = frame.drop_duplicates(["doc", "grams_key"])
-    sets = [np.asarray(g, np.int64) for g in frame["grams"]]
-    size = np.array([len(s) for s in sets], np.float32)
+    frame = frame.combine_chunks()
+    bucket = frame["bucket"][0].as_py()
+    doc = frame["doc"].to_numpy()
+    grams = frame["grams"].combine_chunks()
+    flat, offsets = grams.flatten().to_numpy(), np.append(0, np.cumsum(grams.value_lengths().to_numpy()))
+    sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    size = np.diff(offsets)
     both = _shared(sets)
-    link = both >= np.float32(threshold) * (size[:, None] + size[None, :] - both) - np.float32(1e-3)
-    # exact where the bound is near: counts are whole numbers, so compare as integers
-    near = np.abs(both - np.float32(threshold) * (size[:, None] + size[None, :] - both)) < 0.5
-    exact = both.astype(np.float64) / np.maximum(size[:, None] + size[None, :] - both, 1) >= threshold
-    link = np.where(near, exact, link)
-    np.fill_diagonal(link, False)
-    if left != right:  # pairs across the two blocks only
+    link = both / np.maximum(size[:, None] + size[None, :] - both, 1.0) >= threshold
+    link &= doc[:, None] != doc[None, :]
+    if frame["i"][0] != frame["j"][0]:  # pairs across the two blocks only
         block = frame["block"].to_numpy()
         link &= block[:, None] != block[None, :]
     # a pair counts in the first large bucket that it shares
     earlier: dict[int, list[int]] = {}
-    for m, buckets in enumerate(frame["large"]):
+    for m, buckets in enumerate(frame["large"].to_pylist()):
         for x in buckets:
             if x < bucket:
-                earlier.setdefault(int(x), []).append(m)
+                earlier.setdefault(x, []).append(m)
     for members in earlier.values():
         if len(members) > 1:
             link[np.ix_(members, members)] = False
-    copies = frame["copies"].to_numpy(np.int64)
-    doc = frame["doc"].to_numpy(np.int64)
+    copies = frame["copies"].to_numpy()
     root = doc.copy()
     while True:  # smallest document that hangs together with each
         new = np.minimum(root, np.where(link, root[None, :], np.iinfo(np.int64).max).min(axis=1))
@@ -165,7 +160,7 @@ def _block_links(frame, threshold: float):
             break
         root = new
     linked = link.any(axis=1)
-    return pd.DataFrame({"doc": doc, "n": link @ copies, "root": root})[linked]
+    return pa.table({"doc": doc[linked], "n": (link @ copies)[linked], "root": root[linked]})
 
 
 def links(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
@@ -224,8 +219,8 @@ def links(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall:
         mine = F.pmod(F.xxhash64("doc"), n_blocks).cast("int")
         dealt = large.select("doc", "bucket", mine.alias("block"), F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
         dealt = dealt.select("doc", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        full = dealt.join(sets, "doc").withColumn("grams_key", F.xxhash64("grams"))
-        found = checkpointed(full.groupBy("bucket", "i", "j").applyInPandas(
+        full = dealt.join(sets, "doc")
+        found = checkpointed(full.groupBy("bucket", "i", "j").applyInArrow(
             lambda frame: _block_links(frame, threshold), "doc long, n long, root long"))
         degree = degree.unionByName(found.select("doc", "n"))
         edges = edges.unionByName(found.select(F.col("doc").alias("a"), F.col("root").alias("b")))

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from tessera.llm.ship import ship
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _POSITIONS = 64
 _TABLE = np.random.Generator(np.random.PCG64(20240521)).integers(
@@ -105,7 +105,7 @@ def _hashes(data: np.ndarray, length: np.ndarray, fold: np.ndarray) -> np.ndarra
     if len(length) == 0:
         return np.zeros(0, _U)
     begin = np.cumsum(length) - length
-    at = np.arange(len(data)) - np.repeat(begin, length)
+    at = np.arange(len(data), dtype=np.int32) - np.repeat(begin.astype(np.int32), length)
     value = _TABLE[(at & (_POSITIONS - 1)) * 256 + fold[data]]
     if length.max() > _POSITIONS:
         far = np.flatnonzero(at >= _POSITIONS)
@@ -167,18 +167,18 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def add_columns(df: DataFrame, rows_of, fields: list, keep: list[str] | None = None, text: str = "text",
-                max_bytes: int = SLICE_BYTES) -> DataFrame:
+                max_bytes: int = SLICE_BYTES, use: tuple[str, ...] = ()) -> DataFrame:
     """Append computed columns to ``df`` in one map pass.
 
     ``rows_of(batch)`` returns one Arrow array per field of ``fields`` for a slice of rows,
     and may return a boolean array as an extra last element: rows to keep. A column of
     ``df`` with the name of a new one gives way to it. ``keep`` are the columns passed on
-    (all by default).
+    (all by default), ``use`` columns that only ``rows_of`` sees.
     """
     ship(df.sparkSession)
     named = {f.name.lower() for f in fields}
     keep = [c for c in (keep or df.columns) if c.lower() not in named]
-    need = [c for c in df.columns if c in keep or c == text or c.lower() in named]
+    need = [c for c in df.columns if c in keep or c == text or c in use or c.lower() in named]
     source = df.select(*[column(c) for c in need])
     schema = StructType([source.schema[c] for c in keep] + list(fields))
 
