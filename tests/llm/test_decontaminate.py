@@ -1,0 +1,85 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from tessera.llm import decontaminate as D
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def brute(text, items, width):
+    w = words(text)
+    hit, found = [False] * len(w), set()
+    for item, body in items:
+        v = words(body)
+        k = min(width, len(v))
+        windows = {tuple(v[i:i + k]) for i in range(len(v) - k + 1)} if k else set()
+        for i in range(len(w) - k + 1 if k else 0):
+            if tuple(w[i:i + k]) in windows:
+                found.add(str(item))
+                hit[i:i + k] = [True] * k
+    return len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit)
+
+
+def check(docs, bench, width, **options):
+    items = [tuple(r) for r in bench.select("item_id", "text").collect()]
+    got = D.annotate(docs, bench, width, keep=["doc_id", "text"], **options).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == brute(r.text, items, width)
+
+
+@pytest.mark.parametrize("block", [D.BLOCK_BYTES, 600])
+def test_matches_brute_force(frame, block):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(list("abcd"), rng.integers(0, 60))) for _ in range(60)]
+    docs = frame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = frame([(i, " ".join(rng.choice(list("abcd"), rng.integers(0, 14)))) for i in range(9)], "item_id long, text string")
+    check(docs, bench, 5, block_bytes=block)
+
+
+def test_registered_query_table(spark, documents):
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    check(documents, bench, 10)
+
+
+def test_nulls_empty_long_repeated(hard_docs, frame):
+    bench = frame([(1, None), (2, ""), (3, "Some  words, here"), (3, "some words here"), (None, "same row")], "item_id long, text string")
+    got = D.annotate(hard_docs, bench).collect()
+    assert len(got) == 9 and {r.doc_id for r in got if r.contaminated} == {None, 5}
+    assert all(r.n_words == 0 and not r.contaminated for r in got if not (r.text or "").strip())
+    assert D.remove_contaminated(hard_docs, bench).columns == hard_docs.columns
+    assert D.remove_contaminated(hard_docs, bench).count() == 6
+
+
+def test_empty_tables_and_clashing_names(spark, frame, hard_docs):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert not any(r.contaminated for r in D.annotate(hard_docs, none).collect())
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert D.annotate(empty, none).count() == 0
+    docs = frame([(1, "a b", "old")], "doc_id long, text string, N_HIT string")
+    assert D.annotate(docs, frame([(1, "a b")], "item_id long, text string")).collect()[0]["n_hit"] == 2
+
+
+def test_maximal_matches_and_places(frame):
+    docs = frame([(1, "x y one two three four z one two")], "doc_id long, text string")
+    bench = frame([(7, "zero one two three four five")], "item_id long, text string")
+    got = {tuple(r) for r in D.matches(docs, bench, 2).collect()}
+    assert got == {(1, "7", 2, 1, 4), (1, "7", 7, 1, 2)}
+
+
+def test_suffix_array_is_sorted():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(1, 4, n) for n in (50, 0, 200, 200, 7)] + [np.ones(120, int)]
+    texts[3] = texts[2].copy()
+    ids = np.concatenate([np.append(t, 0) for t in texts])
+    end = np.concatenate([np.full(len(t) + 1, e) for t, e in zip(texts, np.cumsum([len(t) + 1 for t in texts]) - 1)])
+    order = D.suffix_array(ids, end)
+    suffixes = [tuple(ids[i:end[i]]) for i in order]
+    assert sorted(order) == list(range(len(ids))) and suffixes == sorted(suffixes)
