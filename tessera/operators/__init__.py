@@ -6,7 +6,7 @@ from tessera.operators.clean import (CleanSpec, Rule, apply_clean, audit, dedupe
 from tessera.operators.dims import (area_dim, date_dim, keyed_dim, place_dim, representative,
                                     shift_of, time_dim, type_dim)
 from tessera.operators.fact import (broadcast_checked, build_fact, fits_broadcast, integrity,
-                                    known, lookup_key, remember_rows)
+                                    known, lookup_key, measured)
 from tessera.operators.keys import (ntile_of, with_ntile, with_ntiles, with_position,
                                     with_surrogate_key, with_unknown)
 from tessera.operators.marts import (as_count, group_corr, group_rate, label, preview, rate,
@@ -20,7 +20,7 @@ __all__ = [
     "area_dim", "date_dim", "keyed_dim", "place_dim", "representative", "shift_of", "time_dim",
     "type_dim",
     "broadcast_checked", "build_fact", "fits_broadcast", "integrity", "known", "lookup_key",
-    "remember_rows",
+    "measured",
     "ntile_of", "with_ntile", "with_ntiles", "with_position", "with_surrogate_key",
     "with_unknown",
     "as_count", "group_corr", "group_rate", "label", "preview", "rate", "star_join", "top_k",

@@ -33,10 +33,10 @@ def project(df: DataFrame, spec: Mapping[str, Column | str]) -> DataFrame:
 
 
 def drop_index_column(df: DataFrame) -> DataFrame:
-    """Drop the first column when it is an unnamed CSV index (``_c0``, empty, ``Unnamed: 0``);
-    checked on the raw names."""
+    """Drop the first column when it is an unnamed CSV index (``_c0``, empty, ``Unnamed: 0``),
+    under its raw or its normalized name."""
     first = df.columns[0]
-    if first.lower().startswith("_c0") or first.strip() == "" or first.lower() == "unnamed: 0":
+    if first.strip().lower() in ("_c0", "", "unnamed: 0", "unnamed:_0"):
         return df.drop(first)
     return df
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import date_parts
 from tessera.functions.parse import ColumnOrName, _c
-from tessera.operators.fact import remember_rows
-from tessera.operators.keys import rows_of, with_ntiles, with_surrogate_key, with_unknown
+from tessera.operators.keys import _sized_like, with_ntiles, with_surrogate_key, with_unknown
 
 # Shift bands of the hour dimension: (first hour, last hour, label); hours not covered get
 # the fallback label. Fixed values, they are the published answer's group names.
@@ -63,7 +62,7 @@ def keyed_dim(df: DataFrame, natural: str, key: str, unknown: Mapping[str, objec
               columns: Sequence[str]) -> DataFrame:
     """Surrogate ``key`` = position of ``natural`` in ascending order; optional unknown row."""
     keyed = with_surrogate_key(df, [natural], key)
-    out = _keep_count(keyed, keyed.select(*columns))
+    out = _sized_like(keyed, keyed.select(*columns))
     return with_unknown(out, dict(unknown)) if unknown is not None else out
 
 
@@ -104,11 +103,5 @@ def area_dim(indicators: DataFrame, *, area: str = "community_area",
     out = indicators.withColumn(key, F.col(area))
     tiled = with_ntiles(out, {name: (n, [src, area]) for name, src in quartiles.items()})
     cols = [key] + [c for c in indicators.columns] + list(quartiles)
-    out = _keep_count(tiled, tiled.select(*cols))
+    out = _sized_like(tiled, tiled.select(*cols))
     return with_unknown(out, dict(unknown)) if unknown is not None else out
-
-
-def _keep_count(src: DataFrame, projected: DataFrame) -> DataFrame:
-    """A projection keeps the row count recorded for its source."""
-    n = rows_of(src)
-    return remember_rows(projected, n) if n is not None else projected

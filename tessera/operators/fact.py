@@ -8,46 +8,64 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.dates import date_key
 
-# A dimension above this many rows is joined by shuffle (sort-merge, AQE skew handling)
-# instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
+# A side of at most this many bytes may be broadcast; a larger or unknown one is joined as
+# Spark plans it (by its own threshold, at run time from measured sizes).
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+_SIZES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
 
 
-_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: lengths of texts, 8 for any other value, and 16 of overhead."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        is_text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        total = total + (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8 if is_text else F.lit(8))
+    return total.cast("long")
 
 
-def remember_rows(df: DataFrame, n: int) -> DataFrame:
-    """Record an exact row count already computed for ``df`` (e.g. while numbering a
-    dimension), so a later size check needs no job."""
-    _ROWS[df] = n
+def remember_size(df: DataFrame, rows: int, size: int) -> DataFrame:
+    """Record rows and bytes already computed for ``df`` (e.g. while numbering a dimension)."""
+    _SIZES[df] = (rows, size)
     return df
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows: a recorded count, else
-    ``limit(max_rows + 1).count()`` (stops as soon as the bound is passed). The answer is
-    remembered per DataFrame object; a check on a dimension also bounds any filter or
-    projection of it."""
-    if dim in _ROWS:
-        return _ROWS[dim] <= max_rows
-    if dim not in _CHECKED:
-        _CHECKED[dim] = dim.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[dim]
+def size_of(df: DataFrame) -> tuple[int, int] | None:
+    """(rows, bytes) recorded for ``df``, if any."""
+    return _SIZES.get(df)
 
 
-def broadcast_checked(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def measured(df: DataFrame) -> DataFrame:
+    """Measure and record the size of a written or checkpointed ``df`` (one small job)."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return remember_size(df, n, size)
+
+
+def bytes_of(df: DataFrame) -> int:
+    """Recorded bytes, else the plan's own statistics (file sizes for a table): no job."""
+    size = size_of(df)
+    if size is not None:
+        return size[1]
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``dim`` is known to take at most ``max_bytes``."""
+    return bytes_of(dim) <= max_bytes
+
+
+def broadcast_checked(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
                       basis: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``dim`` only after checking the size of ``basis`` (default ``dim`` itself;
-    pass the unfiltered dimension when ``dim`` is derived from it). Above the bound the
-    dimension is returned unhinted and Spark plans a shuffle join (AQE re-plans at runtime
-    and splits skewed partitions)."""
-    return F.broadcast(dim) if fits_broadcast(basis if basis is not None else dim, max_rows) else dim
+    """Broadcast ``dim`` only if ``basis`` (default ``dim`` itself; pass the unfiltered
+    dimension when ``dim`` is derived from it) is known to be small. Else the dimension is
+    returned unhinted: Spark plans a shuffle join, and AQE re-plans it from measured sizes
+    and splits skewed partitions."""
+    return F.broadcast(dim) if fits_broadcast(basis if basis is not None else dim, max_bytes) else dim
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, natural: str, key: str, unknown: int = -1,
@@ -102,24 +120,24 @@ def integrity(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str]],
     violations, share of flagged facts, and orphans of every foreign key
     (``fks = {fact_col: (dim, dim_key)}``).
 
-    Orphans take one pass over the fact: each dimension's keys are broadcast (size-checked)
-    with a marker column, left-joined, and all missing markers are counted in the same
-    aggregate as the row count. Distinct grain keys need one shuffle of the grain columns.
+    One pass over the fact: each dimension's keys carry a marker column and are left-joined
+    (broadcast if small), missing markers and flags are summed per grain key, and those
+    sums are added up. The only shuffle of the fact is the one on its grain. A null in a
+    single grain column is no key.
     """
-    g = F.struct(*[F.col(c) for c in grain]) if len(grain) > 1 else F.col(grain[0])
     cols = list(dict.fromkeys([*grain, *fks, *([flag] if flag else [])]))
     probe = fact.select(*cols)
     for i, (col, (dim, dkey)) in enumerate(fks.items()):
         keys = dim.select(F.col(dkey).alias(col)).distinct().withColumn(f"_in{i}", F.lit(True))
         probe = probe.join(broadcast_checked(keys, basis=dim), col, "left")
-    aggs = [F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(F.col(f"_in{i}").isNull()).alias(f"orph{i}") for i in range(len(fks))]]
-    if flag:
-        aggs.append(F.avg(F.when(F.col(flag), 1).otherwise(0)).alias("flag_avg"))
-    head = probe.agg(*aggs)
-    keys_n = fact.select(g.alias("_g")).agg(F.count_distinct("_g").alias("keys"))
-    one = head.unionByName(keys_n, allowMissingColumns=True)
-    one = one.agg(*[F.max(c).alias(c) for c in one.columns])
+    per = probe.groupBy(*grain).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col(flag), 1).otherwise(0) if flag else F.lit(0)).alias("hits"),
+        *[F.count_if(F.col(f"_in{i}").isNull()).alias(f"orph{i}") for i in range(len(fks))])
+    is_key = F.col(grain[0]).isNotNull() if len(grain) == 1 else F.lit(True)
+    one = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(is_key).alias("keys"),
+                  (F.try_divide(F.sum("hits"), F.sum("n"))).alias("flag_avg"),
+                  *[F.coalesce(F.sum(f"orph{i}"), F.lit(0)).alias(f"orph{i}") for i in range(len(fks))])
     rows = [("'fact_rows'", "CAST(rows AS DOUBLE)", "true"),
             ("'distinct_grain'", "CAST(keys AS DOUBLE)", "true"),
             ("'grain_violations'", "CAST(rows - keys AS DOUBLE)", "rows = keys")]

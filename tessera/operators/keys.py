@@ -1,21 +1,22 @@
-"""Global positions without a single-partition window over unbounded data.
+"""Global positions without a single-partition window over the data.
 
 ``row_number() OVER (ORDER BY k)`` and ``ntile(n) OVER (ORDER BY k)`` move the whole table
-into one task. Here the input is counted first: up to a checked bound one ordered window is
-used (one task over bounded rows); above it the rows are range-partitioned on the order,
-each partition numbers its rows locally, and a per-partition offset (one row per partition,
-never per data row) turns local numbers into global ones. Both paths equal the global
-window exactly (tested on random inputs).
+into one task. Here rows are range-partitioned on the order, each partition numbers its
+rows locally, and a per-partition offset (one row per partition, never per data row) turns
+local numbers into global ones. The result equals the global window exactly, at any size
+(tested on random inputs).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
+
+from tessera.operators.fact import remember_size, row_bytes, size_of
+from tessera.session import ensure_checkpoint_dir
 
 _PID, _LOCAL, _OFF = "_tp_pid", "_tp_local", "_tp_off"
 
@@ -24,72 +25,56 @@ def _order_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-# Inputs with at most this many rows are numbered by one ordered window (a single task
-# over a checked, bounded row count); larger inputs use range partitions and offsets.
-SMALL_ROWS = 100_000
-
-
 def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "_pos",
-                  total: str | None = None, partitions: int | None = None,
-                  small_rows: int = SMALL_ROWS) -> DataFrame:
+                  total: str | None = None, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position in the total order ``order`` (nulls first for plain
     names), and optionally ``total`` = number of rows.
 
     ``order`` must be a total order (append a unique key as last tie-breaker) for the
-    positions to be reproducible. The input is persisted and counted once. Up to
-    ``small_rows`` rows, ``row_number()`` over the order runs in one task (bounded by the
-    check). Above it, rows are range-partitioned (AQE may merge adjacent ranges; partition
-    ids stay in range order), sorted inside each partition and numbered locally; the
-    numbered rows are persisted so offsets and the final join read the same partitioning
-    (range bounds live in the persisted RDD, so blocks recomputed after a lost executor
-    land in the same partitions with the same numbers). The offsets table has one row per
-    partition and is broadcast.
+    positions to be reproducible. Rows are range-partitioned (AQE may merge adjacent ranges;
+    partition ids stay in range order), sorted inside each partition, numbered locally and
+    checkpointed to the shared folder: offsets and the final join read the same written
+    partitions, whatever executor is lost, and nothing stays cached. The offsets table has
+    one row per partition; the job that counts it also records the size of the result, so a
+    later broadcast check needs no job.
     """
     cols = _order_cols(order)
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = base.count()
-    if n <= small_rows:
-        out = base.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("long"))
-        return _counted(out.withColumn(total, F.lit(n)) if total else out, n)
-    ranged = (base.repartitionByRange(partitions, *cols) if partitions
-              else base.repartitionByRange(*cols))
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols))
     ranged = ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id())
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     ranged = ranged.withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged.count()        # materialize the numbered ranges, then drop the input copy
-    base.unpersist()
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy(_PID)  # over one row per partition: bounded by the partition count
-    offsets = counts.select(
-        _PID, F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0)).alias(_OFF))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint()
+    parts = sorted(ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"),
+                                            F.sum(row_bytes(df)).alias("b")).collect())
+    rows, size, starts = 0, 0, []
+    for p in parts:
+        starts.append((p[_PID], rows))
+        rows, size = rows + p["n"], size + p["b"]
+    offsets = df.sparkSession.createDataFrame(starts, f"{_PID} int, {_OFF} long")
     out = ranged.join(F.broadcast(offsets), _PID, "inner")
     out = out.withColumn(name, F.col(_OFF) + F.col(_LOCAL) + 1)
     if total:
-        out = out.withColumn(total, F.lit(n))
-    return _counted(out.drop(_PID, _LOCAL, _OFF), n)
-
+        out = out.withColumn(total, F.lit(rows).cast("long"))
+    return remember_size(out.drop(_PID, _LOCAL, _OFF), rows, size + 16 * rows)
 
-def _counted(df: DataFrame, n: int) -> DataFrame:
-    from tessera.operators.fact import remember_rows
-    return remember_rows(df, n)
 
-
-def rows_of(df: DataFrame) -> int | None:
-    """Row count recorded for ``df`` by a numbering pass, if any."""
-    from tessera.operators.fact import _ROWS
-    return _ROWS.get(df)
+def _sized_like(src: DataFrame, out: DataFrame, more: int = 0) -> DataFrame:
+    """A projection, or a few more rows, keeps the size recorded for its source."""
+    size = size_of(src)
+    return remember_size(out, size[0] + more, size[1] + 256 * more) if size else out
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[Column | str], name: str,
                        key_type: str = "int") -> DataFrame:
-    """Surrogate key = ``row_number()`` over the global order, computed at scale."""
+    """Surrogate key = ``row_number()`` over the global order, computed at scale.
+
+    More members than ``key_type`` can number raise an error (ANSI cast): pass ``long``.
+    """
     out = with_position(df, order, name)
-    n = rows_of(out)
-    out = out.withColumn(name, F.col(name).cast(key_type))
-    return _counted(out, n) if n is not None else out
+    return _sized_like(out, out.withColumn(name, F.col(name).cast(key_type)))
 
 
 def ntile_of(pos: Column, total: Column, n: int) -> Column:
@@ -102,24 +87,16 @@ def ntile_of(pos: Column, total: Column, n: int) -> Column:
             .otherwise(r + F.floor((pos - big - 1) / q) + 1)).cast("int")
 
 
-def with_ntiles(df: DataFrame, specs: dict[str, tuple[int, Sequence[Column | str]]],
-                small_rows: int = SMALL_ROWS) -> DataFrame:
+def with_ntiles(df: DataFrame, specs: dict[str, tuple[int, Sequence[Column | str]]]) -> DataFrame:
     """Add one ntile column per spec ``name -> (n, order)``; nulls sort first, as in
-    ``ntile(n) OVER (ORDER BY x)``. The input is counted once: up to ``small_rows`` rows all
-    tiles come from ordered windows in one pass; above it each spec is one ranged pass
-    (global position, then ``ntile_of``)."""
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    total = base.count()
-    if total <= small_rows:
-        out = base.withColumns({name: F.ntile(n).over(Window.orderBy(*_order_cols(order)))
-                                for name, (n, order) in specs.items()})
-        return _counted(out, total)
-    out = base
+    ``ntile(n) OVER (ORDER BY x)``. Each spec is one ranged pass (position, then
+    ``ntile_of``)."""
+    out = df
     for name, (n, order) in specs.items():
-        out = with_position(out, order, "_nt_pos", total="_nt_total", small_rows=small_rows)
-        out = out.withColumn(name, ntile_of(F.col("_nt_pos"), F.col("_nt_total"), n))
-        out = out.drop("_nt_pos", "_nt_total")
-    return _counted(out, total)
+        at = with_position(out, order, "_nt_pos", total="_nt_total")
+        tiled = at.withColumn(name, ntile_of(F.col("_nt_pos"), F.col("_nt_total"), n))
+        out = _sized_like(at, tiled.drop("_nt_pos", "_nt_total"))
+    return out
 
 
 def with_ntile(df: DataFrame, n: int, order: Sequence[Column | str], name: str) -> DataFrame:
@@ -132,6 +109,4 @@ def with_unknown(df: DataFrame, values: dict[str, object]) -> DataFrame:
     row = tuple(values.get(f.name) for f in df.schema.fields)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
     unknown = spark.createDataFrame([row], schema)
-    out = df.unionByName(unknown)
-    n = rows_of(df)
-    return _counted(out, n + 1) if n is not None else out
+    return _sized_like(df, df.unionByName(unknown), more=1)

@@ -5,20 +5,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.fact import broadcast_checked
 
 
 def star_join(fact: DataFrame, dim: DataFrame, key: str, known_only: bool = False,
-              unknown: int = -1, checked: bool = True) -> DataFrame:
-    """Inner join of the fact to one dimension on ``key`` (dimension broadcast after a size
-    check). ``known_only`` keeps only real members (``key > 0``: the unknown member and any
+              unknown: int = -1) -> DataFrame:
+    """Inner join of the fact to one dimension on ``key`` (dimension broadcast if it is
+    known to be small). ``known_only`` keeps only real members (``key > 0``: the unknown member and any
     non-positive key are left out); the filter reaches both scans."""
     d = dim.where(F.col(key) > 0) if known_only else dim
     f = fact.where(F.col(key) > 0) if known_only else fact
-    return f.join(broadcast_checked(d, basis=dim) if checked else F.broadcast(d), key, "inner")
+    return f.join(broadcast_checked(d, basis=dim), key, "inner")
 
 
 def as_count(flag: Column) -> Column:
@@ -52,12 +52,10 @@ def group_rate(df: DataFrame, by: Sequence[str | Column], flag: str = "is_arrest
 
 def with_share(df: DataFrame, total: str = "total", name: str = "pct_do_total",
                decimals: int = 1) -> DataFrame:
-    """``ROUND(100 * total / SUM(total), decimals)`` as double. The grand total is a scalar
-    subquery (a partial/final aggregate that reuses the grouping's exchange), so no single
-    task ever holds the grouped rows."""
-    grand = df.agg(F.sum(total)).scalar()
-    share = F.lit(100.0) * F.col(total) / grand
-    return df.withColumn(name, F.round(share, decimals).cast("double"))
+    """``ROUND(100 * total / SUM(total), decimals)`` as double. ``df`` holds one row a group,
+    so the grand total is a window over those few rows; the data are read once."""
+    grand = F.sum(total).over(Window.partitionBy())
+    return df.withColumn(name, F.round(F.lit(100.0) * F.col(total) / grand, decimals).cast("double"))
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:

@@ -16,7 +16,9 @@ from tessera.functions import (clean_text, flag, in_box, null_unless, pad_code,
 from tessera.operators import quality as QL
 from tessera.operators.clean import audit
 from tessera.operators.fact import integrity
-from tessera.operators.keys import with_surrogate_key
+from tessera.operators.keys import with_ntiles, with_surrogate_key
+from tessera.operators.marts import star_join
+from tessera.plans import crimes as C
 from tessera.plans import questions as Q
 from tessera.plans import tpch
 from tessera.plans import tpch_sql as S
@@ -45,14 +47,6 @@ def register(name: str, sql: str | None):
     return deco
 
 
-R = S.RATE
-JT = "JOIN dim_type ct ON f.crime_type_key = ct.crime_type_key"
-JA = "JOIN dim_area ca ON f.community_area_key = ca.community_area_key"
-JD = "JOIN dim_date d ON f.date_key = d.date_key"
-JH = "JOIN dim_time t ON f.time_key = t.time_key"
-HITS = "CAST(SUM(CASE WHEN f.is_arrest THEN 1 ELSE 0 END) AS BIGINT)"
-
-
 def line(spark, d):
     return tpch.line_star(spark, d)
 
@@ -63,181 +57,103 @@ def event(spark, d):
 
 # ---- business questions ----------------------------------------------------------------
 
-@register("bq1", S.line(f"""
-SELECT ct.primary_type, COUNT(*) AS total, {HITS} AS prisoes, {R} AS taxa_prisao_pct
-FROM fact f {JT}
-GROUP BY ct.primary_type ORDER BY total DESC, ct.primary_type NULLS FIRST LIMIT 20"""))
-def _bq1(spark, d):
-    return Q.bq1(line(spark, d))
-
-
-@register("bq2", S.line(f"""
-SELECT f.is_domestic, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f GROUP BY f.is_domestic"""))
-def _bq2(spark, d):
-    return Q.bq2(line(spark, d))
-
-
-@register("bq3a", S.event(f"""
-SELECT t.shift, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f {JH} GROUP BY t.shift"""))
-def _bq3a(spark, d):
-    return Q.bq3a(event(spark, d))
+PCT, HITS = f"{S.RATE} AS taxa_prisao_pct", f"{S.HITS} AS prisoes"
+KNOWN = "WHERE community_area_key > 0"
 
 
-@register("bq3b", S.event(f"""
-SELECT d.day_of_week, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f {JD}
-GROUP BY d.day_of_week"""))
-def _bq3b(spark, d):
-    return Q.bq3b(event(spark, d))
+def _question(name: str, oracle: str, star, question) -> None:
+    """A question over a star, with its statement."""
+    @register(name, oracle)
+    def run(spark, d):
+        return question(star(spark, d))
 
 
-@register("bq3c", S.event(f"""
-SELECT f.time_key AS hour, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f GROUP BY f.time_key"""))
-def _bq3c(spark, d):
-    return Q.bq3c(event(spark, d))
+_question("bq1", S.line(S.by("primary_type", HITS, PCT, tail="ORDER BY total DESC, primary_type LIMIT 20")), line, Q.bq1)
+_question("bq2", S.line(S.by("is_domestic", PCT)), line, Q.bq2)
+_question("bq3a", S.event(S.by("shift", PCT)), event, Q.bq3a)
+_question("bq3b", S.event(S.by("day_of_week", PCT)), event, Q.bq3b)
+_question("bq3c", S.event(S.by("time_key AS hour", PCT)), event, Q.bq3c)
+_question("bq4a", S.line(S.by("year", PCT)), line, Q.bq4a)
+_question("bq4b", S.line(S.by("month, month_name")), line, Q.bq4b)
+_question("bq5", S.line(S.by("community_area, community_area_name", where=KNOWN,
+                             tail="ORDER BY total DESC, community_area LIMIT 15")), line, Q.bq5)
+_question("bq6a", S.line("SELECT total AS total_crimes, * EXCLUDE (total) FROM (" + S.by(
+    "hardship_quartile", "round(avg(per_capita_income)) AS renda_media", PCT, where=KNOWN) + ")"), line, Q.bq6a)
 
 
-@register("bq4a", S.line(f"""
-SELECT d.year, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f {JD} GROUP BY d.year"""))
-def _bq4a(spark, d):
-    return Q.bq4a(line(spark, d))
+def _pearson(x: str, y: str) -> str:
+    """Correlation from its sums; null where a side does not vary."""
+    cov = f"avg({x} * {y}) - avg({x}) * avg({y})"
+    return f"round(CASE WHEN var_pop({x}) * var_pop({y}) > 0 THEN ({cov}) / sqrt(var_pop({x}) * var_pop({y})) END, 3)"
 
 
-@register("bq4b", S.line(f"""
-SELECT d.month, d.month_name, COUNT(*) AS total FROM fact f {JD} GROUP BY d.month, d.month_name"""))
-def _bq4b(spark, d):
-    return Q.bq4b(line(spark, d))
+_question("bq6b", S.line("SELECT " + ", ".join(
+    f"{_pearson('total', c)} AS corr_crimes_{name}" for c, name in
+    (("income", "renda"), ("hardship", "hardship"), ("poverty", "pobreza"))) + " FROM (" + S.by(
+        "community_area", "any_value(per_capita_income)::DOUBLE AS income", "any_value(hardship_index)::DOUBLE AS hardship",
+        "any_value(pct_below_poverty) AS poverty", where=KNOWN) + ")"), line, Q.bq6b)
+_question("bq7", S.line(S.by(
+    "is_index", "round(100.0 * count(*) / (SELECT count(*) FROM fact), 1) AS pct_do_total", PCT)), line, Q.bq7)
 
 
-@register("bq5", S.line(f"""
-SELECT ca.community_area, ca.community_area_name, COUNT(*) AS total FROM fact f {JA}
-WHERE ca.community_area_key > 0 GROUP BY ca.community_area, ca.community_area_name
-ORDER BY total DESC, ca.community_area NULLS FIRST LIMIT 15"""))
-def _bq5(spark, d):
-    return Q.bq5(line(spark, d))
+def _extremes(by: str, least: int, k: int) -> str:
+    rank = "row_number() OVER (ORDER BY taxa_prisao_pct {0}, total DESC, {1})::INTEGER"
+    sides = " UNION ALL ".join(
+        f"SELECT '{side}' AS lado, {rank.format(way, by)} AS posicao, * FROM g QUALIFY posicao <= {k}"
+        for side, way in (("top", "DESC"), ("bottom", "ASC")))
+    return f", g AS ({S.by(by, PCT, tail=f'HAVING count(*) >= {least}')}) {sides}"
 
 
-@register("bq6a", S.line(f"""
-SELECT ca.hardship_quartile, COUNT(*) AS total_crimes, ROUND(AVG(ca.per_capita_income)) AS renda_media,
-       {R} AS taxa_prisao_pct
-FROM fact f {JA} WHERE ca.community_area_key > 0 GROUP BY ca.hardship_quartile"""))
-def _bq6a(spark, d):
-    return Q.bq6a(line(spark, d))
+_question("rate_extremes", S.line(_extremes("primary_type", 500, 3)), line, Q.rate_extremes)
 
 
-@register("bq6b", S.line(f""",
-por_area AS (
-  SELECT ca.community_area, COUNT(*) AS crimes, MAX(ca.per_capita_income) AS renda,
-         MAX(ca.hardship_index) AS hardship, MAX(ca.pct_below_poverty) AS pobreza
-  FROM fact f {JA} WHERE ca.community_area_key > 0 GROUP BY ca.community_area)
-SELECT ROUND(CASE WHEN stddev_pop(crimes) > 0 AND stddev_pop(renda) > 0 THEN corr(crimes, renda) END, 3) AS corr_crimes_renda,
-       ROUND(CASE WHEN stddev_pop(crimes) > 0 AND stddev_pop(hardship) > 0 THEN corr(crimes, hardship) END, 3) AS corr_crimes_hardship,
-       ROUND(CASE WHEN stddev_pop(crimes) > 0 AND stddev_pop(pobreza) > 0 THEN corr(crimes, pobreza) END, 3) AS corr_crimes_pobreza
-FROM por_area""".replace("\n,\n", ",\n", 1)))
-def _bq6b(spark, d):
-    return Q.bq6b(line(spark, d))
-
-
-@register("bq7", S.line(f"""
-SELECT ct.is_index, COUNT(*) AS total,
-       CAST(ROUND(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 1) AS DOUBLE) AS pct_do_total,
-       {R} AS taxa_prisao_pct
-FROM fact f {JT} GROUP BY ct.is_index"""))
-def _bq7(spark, d):
-    return Q.bq7(line(spark, d))
+@register("rate_extremes_places", S.line(_extremes("location_description", 120, 3)))
+def _rate_extremes_places(spark, d):
+    """The same over places: more groups, some of them too small."""
+    s = line(spark, d)
+    return Q.extremes(star_join(s.fact, s.dim_location, "location_key"), "location_description", 120, 3)
 
 
-@register("rate_extremes", S.line(f""",
-g AS (SELECT ct.primary_type, COUNT(*) AS total, {R} AS taxa_prisao_pct FROM fact f {JT}
-      GROUP BY ct.primary_type HAVING COUNT(*) >= 500)
-(SELECT 'top' AS lado, CAST(row_number() OVER (ORDER BY taxa_prisao_pct DESC, total DESC,
-        primary_type NULLS FIRST) AS INTEGER) AS posicao, primary_type, total, taxa_prisao_pct
- FROM g ORDER BY taxa_prisao_pct DESC, total DESC, primary_type NULLS FIRST LIMIT 3)
-UNION ALL
-(SELECT 'bottom', CAST(row_number() OVER (ORDER BY taxa_prisao_pct ASC, total DESC,
-        primary_type NULLS FIRST) AS INTEGER), primary_type, total, taxa_prisao_pct
- FROM g ORDER BY taxa_prisao_pct ASC, total DESC, primary_type NULLS FIRST LIMIT 3)"""))
-def _rate_extremes(spark, d):
-    return Q.rate_extremes(line(spark, d))
+@register("top_places", S.line(S.by("location_description", HITS, PCT,
+                                    tail="ORDER BY total DESC, location_description LIMIT 20")))
+def _top_places(spark, d):
+    s = line(spark, d)
+    return Q.most_frequent(star_join(s.fact, s.dim_location, "location_key"), "location_description", 20)
 
 
 # ---- dashboard marts --------------------------------------------------------------------
 
-M1 = f"""SELECT ct.primary_type, COUNT(*) AS total, {HITS} AS prisoes, {R} AS taxa_prisao
-FROM fact f {JT} GROUP BY ct.primary_type ORDER BY total DESC, ct.primary_type NULLS FIRST LIMIT 10"""
-M2 = f"""SELECT CASE WHEN f.is_domestic THEN 'Domestico' ELSE 'Nao domestico' END AS tipo, COUNT(*) AS total,
-{HITS} AS prisoes, {R} AS taxa_prisao FROM fact f GROUP BY f.is_domestic"""
-M3 = f"""SELECT t.shift AS turno, COUNT(*) AS total, {HITS} AS prisoes, {R} AS taxa_prisao
-FROM fact f {JH} GROUP BY t.shift"""
-M4 = f"""SELECT d.year, COUNT(*) AS total, {HITS} AS prisoes, {R} AS taxa_prisao
-FROM fact f {JD} WHERE d.year < {LINE_PARTIAL_YEAR} GROUP BY d.year"""
-M5 = f"""SELECT ca.community_area_name AS bairro, COUNT(*) AS total FROM fact f {JA}
-WHERE ca.community_area_key > 0 GROUP BY ca.community_area_name ORDER BY total DESC, bairro NULLS FIRST LIMIT 10"""
-M6 = f"""SELECT ca.hardship_quartile AS quartil, COUNT(*) AS total, {HITS} AS prisoes, {R} AS taxa_prisao
-FROM fact f {JA} WHERE ca.community_area_key > 0 GROUP BY ca.hardship_quartile"""
-M7 = f"""SELECT CASE WHEN ct.is_index THEN 'Index (graves)' ELSE 'Non-index' END AS tipo, COUNT(*) AS total,
-{HITS} AS prisoes, {R} AS taxa_prisao FROM fact f {JT} GROUP BY ct.is_index"""
-
-
-@register("mart_bq1", S.line("\n" + M1))
-def _m1(spark, d):
-    return Q.mart_bq1(line(spark, d))
-
-
-@register("mart_bq2", S.line("\n" + M2))
-def _m2(spark, d):
-    return Q.mart_bq2(line(spark, d))
-
-
-@register("mart_bq3", S.event("\n" + M3))
-def _m3(spark, d):
-    return Q.mart_bq3(event(spark, d))
-
-
-@register("mart_bq4", S.line("\n" + M4))
-def _m4(spark, d):
-    return Q.mart_bq4(line(spark, d), before_year=LINE_PARTIAL_YEAR)
-
-
-@register("mart_bq5", S.line("\n" + M5))
-def _m5(spark, d):
-    return Q.mart_bq5(line(spark, d))
-
-
-@register("mart_bq6", S.line("\n" + M6))
-def _m6(spark, d):
-    return Q.mart_bq6(line(spark, d))
-
-
-@register("mart_bq7", S.line("\n" + M7))
-def _m7(spark, d):
-    return Q.mart_bq7(line(spark, d))
-
-
-def _series(name, mart, x, y=None):
-    if y is None:  # rate re-derived from numerator and denominator
-        v = "ROUND(100.0 * SUM(prisoes) / SUM(total), 1)"
-    else:
-        v = f"CAST(SUM({y}) AS DOUBLE)"
-    return f"SELECT '{name}' AS series, CAST({x} AS VARCHAR) AS x, {v} AS y FROM ({mart}) GROUP BY {x}"
-
-
-WIDGETS = S.line(",\nm1 AS (" + M1 + "), m4 AS (" + M4 + "), m5 AS (" + M5 + "), m6 AS (" + M6
-                 + "), m7 AS (" + M7 + "), m2 AS (" + M2 + ")\n"
-                 + "\nUNION ALL\n".join([
-                     _series("w1", "SELECT * FROM m1", "primary_type", "total"),
-                     _series("w1b", "SELECT * FROM m1", "primary_type"),
-                     _series("w4", "SELECT * FROM m4", "year", "total"),
-                     _series("w5", "SELECT * FROM m5", "bairro", "total"),
-                     _series("w6", "SELECT * FROM m6", "quartil"),
-                     _series("w7", "SELECT * FROM m7", "tipo"),
-                     _series("w2", "SELECT * FROM m2", "tipo"),
-                     "SELECT * FROM (" + S.event("\n" + _series("w3", M3, "turno")) + ")",
-                 ]))
-
-
-@register("widget_series", WIDGETS)
+_SHARE = f"{S.RATE} AS taxa_prisao"
+MARTS = {
+    "mart_bq1": S.by("primary_type", HITS, _SHARE, tail="ORDER BY total DESC, primary_type LIMIT 10"),
+    "mart_bq2": S.by("if(is_domestic, 'Domestico', 'Nao domestico') AS tipo", HITS, _SHARE),
+    "mart_bq3": S.by("shift AS turno", HITS, _SHARE),
+    "mart_bq4": S.by("year", HITS, _SHARE, where=f"WHERE year < {LINE_PARTIAL_YEAR}"),
+    "mart_bq5": S.by("community_area_name AS bairro", where=KNOWN, tail="ORDER BY total DESC, bairro LIMIT 10"),
+    "mart_bq6": S.by("hardship_quartile AS quartil", HITS, _SHARE, where=KNOWN),
+    "mart_bq7": S.by("if(is_index, 'Index (graves)', 'Non-index') AS tipo", HITS, _SHARE),
+}
+_MART_OF = {"mart_bq1": Q.mart_bq1, "mart_bq2": Q.mart_bq2, "mart_bq3": Q.mart_bq3,
+            "mart_bq4": lambda s: Q.mart_bq4(s, before_year=LINE_PARTIAL_YEAR), "mart_bq5": Q.mart_bq5,
+            "mart_bq6": Q.mart_bq6, "mart_bq7": Q.mart_bq7}
+for _name, _sql in MARTS.items():
+    _timed = _name == "mart_bq3"
+    _question(_name, (S.event if _timed else S.line)(_sql), event if _timed else line, _MART_OF[_name])
+
+
+def _series(series: str, mart: str, x: str, rate: bool) -> str:
+    y = "round(100.0 * sum(prisoes) / sum(total), 1)" if rate else "sum(total)::DOUBLE"
+    star = S.event if mart == "mart_bq3" else S.line
+    return f"SELECT '{series}' AS series, {x}::VARCHAR AS x, {y} AS y FROM ({star(MARTS[mart])}) GROUP BY {x}"
+
+
+@register("widget_series", " UNION ALL ".join(f"({_series(*w)})" for w in (
+    ("w1", "mart_bq1", "primary_type", False), ("w1b", "mart_bq1", "primary_type", True), ("w4", "mart_bq4", "year", False),
+    ("w5", "mart_bq5", "bairro", False), ("w6", "mart_bq6", "quartil", True), ("w7", "mart_bq7", "tipo", True),
+    ("w2", "mart_bq2", "tipo", True), ("w3", "mart_bq3", "turno", True))))
 def _widgets(spark, d):
-    return Q.widget_all(line(spark, d), event(spark, d), before_year=LINE_PARTIAL_YEAR)
+    marts = Q.marts(line(spark, d), event(spark, d), before_year=LINE_PARTIAL_YEAR)
+    return Q.widget_all({n: m.checkpoint() for n, m in marts.items()})
 
 
 # ---- dimensions, keys, fact --------------------------------------------------------------
@@ -247,12 +163,16 @@ def _dim_date(spark, d):
     return line(spark, d).dim_date
 
 
-@register("dim_time", S.line("\nSELECT * FROM dim_time"))
+@register("dim_time", S.event(""", seen AS (SELECT time_key, count(*) AS n FROM fact GROUP BY ALL)
+SELECT time_key, hour, shift, coalesce(n, 0) AS total FROM dim_time LEFT JOIN seen USING (time_key)"""))
 def _dim_time(spark, d):
-    return line(spark, d).dim_time
+    """The hours with their shift and the facts observed in each."""
+    s = event(spark, d)
+    seen = s.fact.groupBy("time_key").agg(F.count(F.lit(1)).alias("total"))
+    return s.dim_time.join(seen, "time_key", "left").na.fill(0, ["total"])
 
 
-@register("representative", S.line("\nSELECT * FROM rep"))
+@register("representative", S.line("\nSELECT * FROM code_texts"))
 def _rep(spark, d):
     return tpch.line_representative(spark, d)
 
@@ -275,24 +195,44 @@ def _surrogate_key(spark, d):
     return with_surrogate_key(names, ["c_name"], "name_key").select("name_key", "c_name")
 
 
+@register("surrogate_key_orders", """
+SELECT dense_rank() OVER (ORDER BY l_orderkey)::BIGINT AS order_number, l_orderkey, count(*) AS lines
+FROM lineitem GROUP BY l_orderkey""")
+def _surrogate_key_orders(spark, d):
+    """A key of as many members as there are orders."""
+    orders = tpch.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
+    return with_surrogate_key(orders, ["l_orderkey"], "order_number", key_type="long")
+
+
+@register("ntile_customers", """
+SELECT c_custkey, ntile(10) OVER (ORDER BY c_acctbal NULLS FIRST, c_custkey)::INTEGER AS decile,
+       ntile(7) OVER (ORDER BY c_mktsegment NULLS FIRST, c_custkey)::INTEGER AS seventh FROM customer""")
+def _ntile_customers(spark, d):
+    c = tpch.table(spark, d, "customer")
+    tiled = with_ntiles(c, {"decile": (10, ["c_acctbal", "c_custkey"]), "seventh": (7, ["c_mktsegment", "c_custkey"])})
+    return tiled.select("c_custkey", "decile", "seventh")
+
+
 @register("unknown_member", S.line("""
-SELECT 'dim_crime_type' AS dimensao, crime_type_key AS chave, iucr AS rotulo FROM dim_type WHERE crime_type_key = -1
-UNION ALL SELECT 'dim_location', location_key, location_description FROM dim_location WHERE location_key = -1
-UNION ALL SELECT 'dim_community_area', community_area_key, community_area_name FROM dim_area WHERE community_area_key = -1"""))
+SELECT 'dim_crime_type' AS dimensao, crime_type_key AS chave, iucr AS rotulo, (SELECT count(*) FROM fact WHERE crime_type_key = -1) AS fatos
+FROM dim_type WHERE crime_type_key = -1
+UNION ALL SELECT 'dim_location', location_key, location_description, (SELECT count(*) FROM fact WHERE location_key = -1)
+FROM dim_location WHERE location_key = -1
+UNION ALL SELECT 'dim_community_area', community_area_key, community_area_name, (SELECT count(*) FROM fact WHERE community_area_key = -1)
+FROM dim_area WHERE community_area_key = -1"""))
 def _unknown(spark, d):
+    """The unknown members and the facts that each holds, counted in one scan of the fact."""
     s = line(spark, d)
-    c = F.col
-    return (s.dim_type.where(c("crime_type_key") == -1)
-            .select(F.lit("dim_crime_type").alias("dimensao"), c("crime_type_key").alias("chave"),
-                    c("iucr").alias("rotulo"))
-            .unionByName(s.dim_location.where(c("location_key") == -1)
-                         .select(F.lit("dim_location").alias("dimensao"),
-                                 c("location_key").alias("chave"),
-                                 c("location_description").alias("rotulo")))
-            .unionByName(s.dim_area.where(c("community_area_key") == -1)
-                         .select(F.lit("dim_community_area").alias("dimensao"),
-                                 c("community_area_key").alias("chave"),
-                                 c("community_area_name").alias("rotulo"))))
+    dims = {"dim_crime_type": (s.dim_type, "crime_type_key", "iucr"),
+            "dim_location": (s.dim_location, "location_key", "location_description"),
+            "dim_community_area": (s.dim_area, "community_area_key", "community_area_name")}
+    held = s.fact.agg(*[F.count_if(F.col(key) == -1).alias(n) for n, (_, key, _) in dims.items()])
+    held = held.selectExpr("stack(3, " + ", ".join(f"'{n}', {n}" for n in dims) + ") AS (dimensao, fatos)")
+    members = None
+    for n, (dim, key, text) in dims.items():
+        one = dim.where(F.col(key) == -1).select(F.lit(n).alias("dimensao"), F.col(key).alias("chave"), F.col(text).alias("rotulo"))
+        members = one if members is None else members.unionByName(one)
+    return members.join(held, "dimensao")
 
 
 @register("quartiles", S.line("\nSELECT * FROM dim_area"))
@@ -300,7 +240,7 @@ def _quartiles(spark, d):
     return line(spark, d).dim_area
 
 
-@register("rollup_row_guard", S.line("\nSELECT * FROM socio"))
+@register("rollup_row_guard", S.line("\nSELECT * FROM areas"))
 def _rollup_guard(spark, d):
     return tpch.clean_indicators(tpch.indicators_raw(spark, d))
 
@@ -310,49 +250,58 @@ def _fact(spark, d):
     return line(spark, d).fact
 
 
-def _orphan_sql(col, dim, key):
-    return (f"SELECT 'orphans_{col}', CAST(COUNT(*) AS DOUBLE), COUNT(*) = 0 FROM fact f "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {dim} x WHERE x.{key} = f.{col})")
+# Dimensions of an earlier load: later days, shifts, codes, areas and places are not in them.
+STALE = {"date_key": ("dim_date", "date_key", "year < 2000"), "time_key": ("dim_time", "time_key", "hour > 0"),
+         "crime_type_key": ("dim_type", "crime_type_key", "is_index"),
+         "community_area_key": ("dim_area", "community_area_key", "community_area_key <> 7"),
+         "location_key": ("dim_location", "location_key", "location_key <> -1")}
+
 
+def _integrity_sql(dims: dict) -> str:
+    heads = {"fact_rows": ("count(*)", "true"), "distinct_grain": ("count(DISTINCT id)", "true"),
+             "grain_violations": ("count(*) - count(DISTINCT id)", "count(*) = count(DISTINCT id)"),
+             "is_arrest_pct": ("round(100 * (count(*) FILTER (is_arrest) / count(*)), 2)", "true")}
+    parts = [f"""SELECT '{n}' AS "check", ({v})::DOUBLE AS value, {ok} AS ok FROM fact""" for n, (v, ok) in heads.items()]
+    parts += [f"SELECT 'orphans_{col}', count(*)::DOUBLE, count(*) = 0 FROM (FROM fact ANTI JOIN (FROM {dim} WHERE {cond}) USING ({key}))"
+              for col, (dim, key, cond) in dims.items()]
+    return "\n" + "\nUNION ALL ".join(parts)
 
-@register("star_integrity", S.line(""",
-h AS (SELECT COUNT(*) AS n, COUNT(DISTINCT id) AS k, AVG(CASE WHEN is_arrest THEN 1 ELSE 0 END) AS fa FROM fact)
-SELECT 'fact_rows' AS "check", CAST(n AS DOUBLE) AS value, true AS ok FROM h
-UNION ALL SELECT 'distinct_grain', CAST(k AS DOUBLE), true FROM h
-UNION ALL SELECT 'grain_violations', CAST(n - k AS DOUBLE), n = k FROM h
-UNION ALL SELECT 'is_arrest_pct', ROUND(fa * 100, 2), true FROM h
-UNION ALL """ + "\nUNION ALL ".join([
-    _orphan_sql("date_key", "dim_date", "date_key"), _orphan_sql("time_key", "dim_time", "time_key"),
-    _orphan_sql("crime_type_key", "dim_type", "crime_type_key"),
-    _orphan_sql("community_area_key", "dim_area", "community_area_key"),
-    _orphan_sql("location_key", "dim_location", "location_key")])))
+
+def _fks(s, stale: bool) -> dict:
+    dims = {"dim_date": s.dim_date, "dim_time": s.dim_time, "dim_type": s.dim_type, "dim_area": s.dim_area,
+            "dim_location": s.dim_location}
+    return {col: (dims[dim].where(cond) if stale else dims[dim], key) for col, (dim, key, cond) in STALE.items()}
+
+
+@register("star_integrity", S.line(_integrity_sql({c: (d, k, "true") for c, (d, k, _) in STALE.items()})))
 def _integrity(spark, d):
     s = line(spark, d)
-    return integrity(s.fact, {"date_key": (s.dim_date, "date_key"),
-                              "time_key": (s.dim_time, "time_key"),
-                              "crime_type_key": (s.dim_type, "crime_type_key"),
-                              "community_area_key": (s.dim_area, "community_area_key"),
-                              "location_key": (s.dim_location, "location_key")})
+    return integrity(s.fact, _fks(s, stale=False))
+
+
+@register("star_integrity_stale", S.line(_integrity_sql(STALE)))
+def _integrity_stale(spark, d):
+    """The same checks against dimensions of an earlier load: every orphan count is above 0."""
+    s = line(spark, d)
+    return integrity(s.fact, _fks(s, stale=True))
 
 
 @register("orphans", S.line("""
-SELECT 'iucr' AS chave, COUNT(*) AS distintos,
-       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM ref r WHERE r.iucr = v.iucr)) AS sem_match
-FROM (SELECT DISTINCT iucr FROM occ WHERE iucr IS NOT NULL) v
+SELECT 'iucr' AS chave, count(DISTINCT o.iucr) AS distintos, count(DISTINCT o.iucr) FILTER (c.iucr IS NULL) AS sem_match
+FROM occ o LEFT JOIN code_list c USING (iucr)
 UNION ALL
-SELECT 'community_area', COUNT(*),
-       COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM socio s WHERE s.community_area = v.community_area))
-FROM (SELECT DISTINCT community_area FROM occ WHERE community_area IS NOT NULL) v"""))
+SELECT 'community_area', count(DISTINCT o.community_area), count(DISTINCT o.community_area) FILTER (a.community_area IS NULL)
+FROM occ o LEFT JOIN areas a USING (community_area)"""))
 def _orphans(spark, d):
     occ = tpch.silver_lines(spark, d)
-    ref = tpch.clean_codes(tpch.codes_raw(spark, d))
+    ref = C.clean_iucr(tpch.codes_raw(spark, d))
     socio = tpch.clean_indicators(tpch.indicators_raw(spark, d))
     return QL.coverage(occ, ref, "iucr").unionByName(QL.coverage(occ, socio, "community_area"))
 
 
 # ---- cleaning ------------------------------------------------------------------------------
 
-@register("dedupe", "WITH" + S.LI_DEDUPE + "\nSELECT * FROM li")
+@register("dedupe", "WITH" + S.LINES + "\nSELECT * FROM line_once")
 def _dedupe(spark, d):
     return tpch.dedupe_lineitem(spark, d)
 
@@ -508,6 +457,95 @@ def _clean_audit(spark, d):
     return audit(tpch.orders_typed(tpch.orders_raw(spark, d)), tpch.orders_clean_spec())
 
 
+# ---- the crime preset over landed text -------------------------------------------------------
+
+_YEARS = tpch.CRIMES_YEARS
+_CFG = C.Config(year_window=_YEARS)
+CRIMES = f"""
+twice AS (SELECT *, unnest([false, true]) AS again FROM lineitem),
+landed AS (
+  SELECT CASE WHEN l_partkey % 97 <> 0 THEN 10 * l_orderkey + l_linenumber END AS id,
+         concat(if(again, 'again ', 'L'), 10 * l_orderkey + l_linenumber) AS case_number,
+         CASE WHEN l_suppkey % 89 <> 0 THEN l_shipdate END AS occurred_at, concat(l_returnflag, '-', l_linestatus) AS block,
+         CASE WHEN p_size <> 1 THEN lpad(substr(p_brand, 7), 4, '0') END AS iucr, p_type AS primary_type,
+         lower(p_type) AS description, {S.PLACE} AS location_description,
+         CASE l_returnflag WHEN 'R' THEN true WHEN 'N' THEN false END AS arrest, l_linestatus = 'F' AS domestic,
+         l_suppkey::INTEGER AS beat, s_nationkey AS district, l_linenumber AS ward,
+         if(s_nationkey = 24, 99, s_nationkey) AS community_area, substr(p_brand, 7) AS fbi_code, year(l_shipdate)::INTEGER AS year,
+         CASE WHEN l_linenumber = 7 THEN 0.0::DOUBLE WHEN l_quantity <> 1 THEN 41.55::DOUBLE + l_tax * 8 END AS latitude,
+         CASE WHEN l_linenumber = 7 THEN 0.0::DOUBLE WHEN l_quantity <> 1 THEN (-87.7)::DOUBLE END AS longitude,
+         l_shipdate + to_days(CASE WHEN NOT again THEN 0 WHEN l_orderkey % 2 = 0 THEN 1 ELSE -1 END) AS updated
+  FROM twice, part, supplier WHERE l_partkey = p_partkey AND l_suppkey = s_suppkey),
+last_of AS (
+  SELECT * FROM landed WHERE id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated DESC, case_number, occurred_at NULLS FIRST, block,
+    iucr NULLS FIRST, primary_type, description, location_description NULLS FIRST, arrest NULLS FIRST, domestic, beat,
+    district, ward, community_area, fbi_code, year, latitude NULLS FIRST, longitude NULLS FIRST) = 1),
+kept AS (FROM last_of WHERE occurred_at IS NOT NULL AND year BETWEEN {_YEARS[0]} AND {_YEARS[1]}),
+boxed AS (SELECT *, coalesce(latitude BETWEEN 41.60 AND 42.05 AND longitude BETWEEN -87.95 AND -87.50, false) AS inside FROM kept)"""
+
+
+@register("clean_crimes", "WITH" + CRIMES + """
+SELECT * EXCLUDE (updated, inside) REPLACE (if(inside, latitude, NULL) AS latitude, if(inside, longitude, NULL) AS longitude)
+FROM boxed""")
+def _clean_crimes(spark, d):
+    out = C.clean_crimes(tpch.crimes_raw(spark, d), _CFG)
+    return out.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
+
+
+def _audit_sql(table: str, counts: list[tuple[str, str, str]], start: str) -> str:
+    """Audit rows from the number of rows left after each step (``flag``: rows changed)."""
+    values = ", ".join(f"({i}, '{step}', {'NULL' if kind == 'flag' else n}, {n if kind == 'flag' else 'NULL'})"
+                       for i, (step, kind, n) in enumerate(counts, 1))
+    return f"""(SELECT '{table}' AS "table", step_order::INTEGER AS step_order, step,
+  CASE WHEN step_order > 0 THEN lag(left_over, 1, left_over) OVER (ORDER BY step_order) END AS before,
+  (lag(left_over, 1, left_over) OVER (ORDER BY step_order) - left_over)::BIGINT AS removed, left_over AS after, flagged
+  FROM (SELECT step_order, step, flagged, last_value(n IGNORE NULLS) OVER (ORDER BY step_order) AS left_over
+        FROM (VALUES (0, 'input', {start}, NULL::BIGINT), {values}) t(step_order, step, n, flagged)))"""
+
+
+@register("crimes_audit", "WITH" + CRIMES + "\nSELECT * FROM " + _audit_sql("crimes", [
+    ("id nulo ou malformado", "", "(SELECT count(id) FROM landed)"),
+    ("duplicidade de id", "", "(SELECT count(DISTINCT id) FROM landed)"),
+    ("data nula ou malformada", "", "(SELECT count(occurred_at) FROM last_of)"),
+    (f"ano fora de {_YEARS[0]}-{_YEARS[1]}", "", "(SELECT count(*) FROM kept)"),
+    ("coordenadas ausentes", "flag", "(SELECT count(*) FILTER (latitude IS NULL OR longitude IS NULL) FROM boxed)"),
+    ("coordenadas (0,0)", "flag", "(SELECT count(*) FILTER (latitude = 0 AND longitude = 0) FROM boxed)"),
+    ("coordenadas fora da caixa", "flag", "(SELECT count(*) FILTER (NOT inside AND latitude <> 0) FROM boxed)")],
+    "(SELECT count(*) FROM landed)"))
+def _crimes_audit(spark, d):
+    return audit(C.typed_crimes(tpch.crimes_raw(spark, d), _CFG), C.crimes_spec(_CFG), C.coordinate_flags(_CFG))
+
+
+@register("clean_iucr", "WITH" + S.CODE_LIST + "\nSELECT * FROM code_list")
+def _clean_iucr(spark, d):
+    return C.clean_iucr(tpch.codes_raw(spark, d))
+
+
+@register("reference_audit", "WITH" + S.INDICATORS + "\nSELECT * FROM " + _audit_sql("socioeconomic", [
+    ("linha agregada (area nula)", "", "(SELECT count(*) FROM areas)"),
+    ("area repetida", "", "(SELECT count(DISTINCT community_area) FROM areas)")], "(SELECT count(*) FROM landed_areas)")
+    + " UNION ALL SELECT * FROM " + _audit_sql("iucr_codes", [
+        ("codigo nulo", "", "(SELECT count(*) FROM part WHERE p_brand NOT LIKE '%5')"),
+        ("codigo repetido", "", "(SELECT count(DISTINCT p_brand) FROM part WHERE p_brand NOT LIKE '%5')")],
+        "(SELECT count(*) FROM part)"))
+def _reference_audit(spark, d):
+    socio = tpch.indicators_raw(spark, d).select(*[F.col(k).cast("string").alias(v) for k, v in C.SOCIO.items()])
+    return C.reference_audit(socio, tpch.codes_raw(spark, d))
+
+
+@register("gold_from_text", "WITH" + CRIMES + """
+SELECT iucr, count(*) AS total, count(*) FILTER (arrest)::BIGINT AS prisoes,
+       round(100.0 * (count(*) FILTER (arrest) / count(*)), 1) AS taxa_prisao_pct
+FROM (SELECT coalesce(iucr, 'XXXX') AS iucr, arrest FROM kept) GROUP BY ALL ORDER BY total DESC, iucr LIMIT 10""")
+def _gold_from_text(spark, d):
+    """Landed text through the preset's cleaning and gold layer to an answer."""
+    crimes = C.clean_crimes(tpch.crimes_raw(spark, d), _CFG).checkpoint()
+    socio = tpch.clean_indicators(tpch.indicators_raw(spark, d))
+    star = C.gold(spark, crimes, socio, C.clean_iucr(tpch.codes_raw(spark, d)))
+    return Q.most_frequent(star_join(star.fact, star.dim_type, "crime_type_key"), "iucr", 10)
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 OCC_TYPES = [("id", "bigint"), ("case_number", "string"), ("occurred_at", "timestamp_ntz"),
@@ -549,43 +587,26 @@ def _value_counts(spark, d):
     return QL.value_counts(tpch.silver_lines(spark, d), "location_description", 15)
 
 
-REPORT_ROWS = [
-    ("fact_crime", "area desconhecida (-1)", "problema real", "community_area_key = -1",
-     "mapeado p/ membro -1 da dimensao de area"),
-    ("fact_crime", "local desconhecido (-1)", "guarda defensiva", "location_key = -1",
-     "mapeado p/ membro -1 da dimensao de local"),
-    ("fact_crime", "tipo desconhecido (-1)", "guarda defensiva", "crime_type_key = -1",
-     "mapeado p/ membro -1 da dimensao de tipo"),
-]
+GUARDS = [("area", "community_area_key"), ("local", "location_key"), ("tipo", "crime_type_key")]
 
 
-@register("quality_report", S.line(""",
-dk AS (SELECT COUNT(*) FILTER (WHERE c > 1) AS rep, CAST(SUM(c - 1) AS BIGINT) AS extra
-       FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber))
+@register("quality_report", S.line(""", dk AS (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
 """ + "\nUNION ALL\n".join(
-    [f"SELECT '{t}' AS tabela, '{n}' AS verificacao, '{k}' AS natureza, "
-     f"COUNT(*) FILTER (WHERE {p}) AS linhas_afetadas, '{tr}' AS tratamento FROM fact"
-     for t, n, k, p, tr in REPORT_ROWS]
-    + ["SELECT 'socioeconomic', 'linha agregada (area nula)', 'problema real', "
-       "COUNT(*) FILTER (WHERE community_area IS NULL), 'excluida antes do join' FROM socio_raw",
-       "SELECT 'lineitem', 'chaves repetidas', 'problema real', rep, "
-       "'dedupe pela chave (mais recente)' FROM dk",
-       "SELECT 'lineitem', 'linhas removidas no dedupe', 'problema real', extra, "
-       "'dedupe pela chave (mais recente)' FROM dk"])))
+    [f"SELECT 'fact_crime' AS tabela, '{n} sem membro' AS verificacao, 'guarda' AS natureza, "
+     f"count(*) FILTER ({k} = -1) AS linhas_afetadas, 'chave -1' AS tratamento FROM fact" for n, k in GUARDS]
+    + ["SELECT 'socioeconomic', 'linha sem area', 'regra', count(*) FILTER (community_area IS NULL), 'sai' FROM landed_areas",
+       "SELECT 'lineitem', 'chaves repetidas', 'regra', count(*) FILTER (c > 1), 'fica uma' FROM dk",
+       "SELECT 'lineitem', 'linhas a mais', 'regra', sum(c - 1)::BIGINT, 'fica uma' FROM dk"])))
 def _quality_report(spark, d):
     s = line(spark, d)
-    checks = [QL.Check(t, n, k, tr, "fact", F.expr(p)) for t, n, k, p, tr in REPORT_ROWS]
-    checks.append(QL.Check("socioeconomic", "linha agregada (area nula)", "problema real",
-                           "excluida antes do join", "socio_raw", F.col("community_area").isNull()))
+    checks = [QL.Check("fact_crime", f"{n} sem membro", "guarda", "chave -1", "fact", F.col(k) == -1) for n, k in GUARDS]
+    checks.append(QL.Check("socioeconomic", "linha sem area", "regra", "sai", "socio_raw", F.col("community_area").isNull()))
     dk = QL.duplicate_keys(tpch.table(spark, d, "lineitem"), tpch.LINE_KEYS)
-    extra = [dk.select(F.lit("lineitem").alias("tabela"), F.lit(v).alias("verificacao"),
-                       F.lit("problema real").alias("natureza"),
-                       F.col(col).alias("linhas_afetadas"),
-                       F.lit("dedupe pela chave (mais recente)").alias("tratamento"))
-             for v, col in (("chaves repetidas", "chaves_repetidas"),
-                            ("linhas removidas no dedupe", "linhas_extras"))]
-    return QL.quality_report({"fact": s.fact, "socio_raw": tpch.indicators_raw(spark, d)},
-                             checks, extra)
+    extra = dk.selectExpr("stack(2, 'chaves repetidas', chaves_repetidas, 'linhas a mais', linhas_extras) "
+                          "AS (verificacao, linhas_afetadas)")
+    extra = extra.select(F.lit("lineitem").alias("tabela"), "verificacao", F.lit("regra").alias("natureza"),
+                         "linhas_afetadas", F.lit("fica uma").alias("tratamento"))
+    return QL.quality_report({"fact": s.fact, "socio_raw": tpch.indicators_raw(spark, d)}, checks, [extra])
 
 
 # ---- sources and catalog -----------------------------------------------------------------------
@@ -599,6 +620,18 @@ def _csv_roundtrip(spark, d):
     return read_raw_csv(spark, path)
 
 
+@register("csv_many_files", """
+SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_orderpriority || ' ' AS o_orderpriority FROM orders""")
+def _csv_many_files(spark, d):
+    """Orders landed as files of two column orders, with blanks at the end of a value."""
+    o = tpch.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.concat("o_orderpriority", F.lit(" ")).alias("o_orderpriority"))
+    path = scratch_path(spark, "orders-csv")
+    odd = F.col("o_orderkey") % 2 == 1
+    write_csv(o.where(odd), f"{path}/a")
+    write_csv(o.where(~odd).select("o_orderpriority", "o_orderkey", "o_orderstatus"), f"{path}/b")
+    return read_raw_csv(spark, path, columns=o.columns, multi_line=False)
+
+
 @register("normalize_columns", """
 SELECT n_nationkey, n_name, n_regionkey AS n_region_key FROM nation""")
 def _normalize(spark, d):
@@ -639,9 +672,8 @@ def _lineage_stamp(spark, d):
     return stamp(tpch.table(spark, d, "nation"), "driver:nation").drop("_ingested_at")
 
 
-@register("indicators_csv", S.line("\nSELECT * FROM socio"))
+@register("indicators_csv", S.line("\nSELECT * FROM areas"))
 def _indicators_csv(spark, d):
-    from tessera.plans import crimes as C
     landed = tpch.indicators_raw(spark, d).select(
         *[F.col(k).alias(v) for k, v in C.SOCIO.items()])
     path = scratch_path(spark, "indicators-csv")

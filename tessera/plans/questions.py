@@ -1,8 +1,8 @@
 """The business questions over a star (BQ1-BQ7), the dashboard marts and chart series.
 
-Every rate is ``ROUND(100 * AVG(CASE WHEN is_arrest THEN 1 ELSE 0 END), 1)``. Dimensions
-bounded by the calendar (date: one row per day; time: 24 rows) are broadcast without a
-check; the others go through the size check. Every top-k has a tie-breaker on the group key.
+Every rate is ``ROUND(100 * AVG(CASE WHEN is_arrest THEN 1 ELSE 0 END), 1)``. Dimensions are
+broadcast if they are known to be small. Answers come ordered (a global sort of one row per
+group), every order and top-k with a tie-breaker on the group key.
 """
 
 from __future__ import annotations
@@ -22,19 +22,22 @@ RATE = "taxa_prisao_pct"
 
 
 def _date(s: Star) -> DataFrame:
-    return star_join(s.fact, s.dim_date, "date_key", checked=False)
+    return star_join(s.fact, s.dim_date, "date_key")
 
 
 def _time(s: Star) -> DataFrame:
-    return star_join(s.fact, s.dim_time, "time_key", checked=False)
+    return star_join(s.fact, s.dim_time, "time_key")
 
 
 def bq1(s: Star, k: int = 20) -> DataFrame:
     """Most frequent types with arrest count and rate (top ``k`` by total)."""
-    g = group_rate(star_join(s.fact, s.dim_type, "crime_type_key"), ["primary_type"],
-                   hits="prisoes", rate_name=RATE)
-    g = g.select("primary_type", "total", "prisoes", RATE)
-    return top_k(g, [F.desc("total"), F.asc_nulls_first("primary_type")], k)
+    return most_frequent(star_join(s.fact, s.dim_type, "crime_type_key"), "primary_type", k)
+
+
+def most_frequent(rows: DataFrame, by: str, k: int, rate_name: str = RATE) -> DataFrame:
+    """The ``k`` most frequent values of ``by`` with arrest count and rate."""
+    g = group_rate(rows, [by], hits="prisoes", rate_name=rate_name)
+    return top_k(g.select(by, "total", "prisoes", rate_name), [F.desc("total"), F.asc_nulls_first(by)], k)
 
 
 def bq2(s: Star) -> DataFrame:
@@ -43,28 +46,28 @@ def bq2(s: Star) -> DataFrame:
 
 
 def bq3a(s: Star) -> DataFrame:
-    """Total and rate by shift."""
-    return group_rate(_time(s), ["shift"], rate_name=RATE)
+    """Total and rate by shift, most facts first."""
+    return group_rate(_time(s), ["shift"], rate_name=RATE).orderBy(F.desc("total"), "shift")
 
 
 def bq3b(s: Star) -> DataFrame:
-    """Total and rate by weekday name."""
-    return group_rate(_date(s), ["day_of_week"], rate_name=RATE)
+    """Total and rate by weekday name, most facts first."""
+    return group_rate(_date(s), ["day_of_week"], rate_name=RATE).orderBy(F.desc("total"), "day_of_week")
 
 
 def bq3c(s: Star) -> DataFrame:
     """Total and rate by hour (the time key is the hour: no join needed)."""
-    return group_rate(s.fact.withColumnRenamed("time_key", "hour"), ["hour"], rate_name=RATE)
+    return group_rate(s.fact.withColumnRenamed("time_key", "hour"), ["hour"], rate_name=RATE).orderBy("hour")
 
 
 def bq4a(s: Star) -> DataFrame:
     """Total and rate by year."""
-    return group_rate(_date(s), ["year"], rate_name=RATE)
+    return group_rate(_date(s), ["year"], rate_name=RATE).orderBy("year")
 
 
 def bq4b(s: Star) -> DataFrame:
     """Total by month."""
-    return group_rate(_date(s), ["month", "month_name"], rate_name=None)
+    return group_rate(_date(s), ["month", "month_name"], rate_name=None).orderBy("month")
 
 
 def bq5(s: Star, k: int = 15) -> DataFrame:
@@ -79,18 +82,17 @@ def bq6a(s: Star) -> DataFrame:
     j = star_join(s.fact, s.dim_area, "community_area_key", known_only=True)
     return group_rate(j, ["hardship_quartile"], total="total_crimes", rate_name=None,
                       extra={"renda_media": F.round(F.avg("per_capita_income")),
-                             RATE: rate(F.col("is_arrest"))})
+                             RATE: rate(F.col("is_arrest"))}).orderBy("hardship_quartile")
 
 
 def bq6b(s: Star) -> DataFrame:
     """Area-by-area correlation of fact counts with income, hardship and poverty."""
     j = star_join(s.fact, s.dim_area, "community_area_key", known_only=True)
+    # an indicator is constant within its area, so any aggregate that returns it will do
+    indicators = {"per_capita_income": "renda", "hardship_index": "hardship", "pct_below_poverty": "pobreza"}
     return group_corr(
-        j, "community_area",
-        {"crimes": F.count(F.lit(1)), "renda": F.max("per_capita_income"),
-         "hardship": F.max("hardship_index"), "pobreza": F.max("pct_below_poverty")},
-        {"corr_crimes_renda": ("crimes", "renda"), "corr_crimes_hardship": ("crimes", "hardship"),
-         "corr_crimes_pobreza": ("crimes", "pobreza")})
+        j, "community_area", {"n": F.count(F.lit(1)), **{c: F.max(c) for c in indicators}},
+        {f"corr_crimes_{name}": ("n", c) for c, name in indicators.items()})
 
 
 def bq7(s: Star) -> DataFrame:
@@ -102,18 +104,18 @@ def bq7(s: Star) -> DataFrame:
 def rate_extremes(s: Star, min_total: int = 500, k: int = 3) -> DataFrame:
     """Highest and lowest rates among types with at least ``min_total`` facts:
     ``lado`` ('top' / 'bottom'), ``posicao``, type, total, rate."""
-    g = group_rate(star_join(s.fact, s.dim_type, "crime_type_key"), ["primary_type"],
-                   rate_name=RATE, min_total=min_total)
-    top = top_k(g, [F.desc(RATE), F.desc("total"), F.asc_nulls_first("primary_type")], k)
-    bot = top_k(g, [F.asc(RATE), F.desc("total"), F.asc_nulls_first("primary_type")], k)
-    # positions inside the k rows of each side (bounded by k)
-    wt = Window.orderBy(F.desc(RATE), F.desc("total"), F.asc_nulls_first("primary_type"))
-    wb = Window.orderBy(F.asc(RATE), F.desc("total"), F.asc_nulls_first("primary_type"))
-    cols = ["lado", "posicao", "primary_type", "total", RATE]
-    return (top.withColumn("lado", F.lit("top")).withColumn("posicao", F.row_number().over(wt))
-            .select(*cols)
-            .unionByName(bot.withColumn("lado", F.lit("bottom"))
-                         .withColumn("posicao", F.row_number().over(wb)).select(*cols)))
+    return extremes(star_join(s.fact, s.dim_type, "crime_type_key"), "primary_type", min_total, k)
+
+
+def extremes(rows: DataFrame, by: str, min_total: int, k: int) -> DataFrame:
+    """The ``k`` groups of ``by`` with the highest and the lowest rate, from one grouping: each
+    side's rank is a window over the groups that have enough rows."""
+    g = group_rate(rows, [by], rate_name=RATE, min_total=min_total)
+    tie = [F.desc("total"), F.asc_nulls_first(by)]
+    sides = g.select("*", F.explode(F.array(F.lit("top"), F.lit("bottom"))).alias("lado"))
+    sign = F.when(F.col("lado") == "top", -F.col(RATE)).otherwise(F.col(RATE))
+    ranked = sides.withColumn("posicao", F.row_number().over(Window.partitionBy("lado").orderBy(sign, *tie)))
+    return ranked.where(F.col("posicao") <= k).select("lado", "posicao", by, "total", RATE)
 
 
 # ---- dashboard marts (each keeps its numerator so a chart can re-aggregate rates) -------
@@ -122,10 +124,7 @@ MART_RATE = "taxa_prisao"
 
 
 def mart_bq1(s: Star, k: int = 10) -> DataFrame:
-    g = group_rate(star_join(s.fact, s.dim_type, "crime_type_key"), ["primary_type"],
-                   hits="prisoes", rate_name=MART_RATE)
-    return top_k(g.select("primary_type", "total", "prisoes", MART_RATE),
-                 [F.desc("total"), F.asc_nulls_first("primary_type")], k)
+    return most_frequent(star_join(s.fact, s.dim_type, "crime_type_key"), "primary_type", k, MART_RATE)
 
 
 def mart_bq2(s: Star) -> DataFrame:
@@ -136,13 +135,13 @@ def mart_bq2(s: Star) -> DataFrame:
 
 def mart_bq3(s: Star) -> DataFrame:
     g = group_rate(_time(s), ["shift"], hits="prisoes", rate_name=MART_RATE)
-    return g.select(F.col("shift").alias("turno"), "total", "prisoes", MART_RATE)
+    return g.select(F.col("shift").alias("turno"), "total", "prisoes", MART_RATE).orderBy(F.desc("total"), "turno")
 
 
 def mart_bq4(s: Star, before_year: int = 2017) -> DataFrame:
     """By year, leaving out the partial last year (``year < before_year``)."""
     j = _date(s).where(F.col("year") < before_year)
-    return group_rate(j, ["year"], hits="prisoes", rate_name=MART_RATE)
+    return group_rate(j, ["year"], hits="prisoes", rate_name=MART_RATE).orderBy("year")
 
 
 def mart_bq5(s: Star, k: int = 10) -> DataFrame:
@@ -155,7 +154,7 @@ def mart_bq5(s: Star, k: int = 10) -> DataFrame:
 def mart_bq6(s: Star) -> DataFrame:
     j = star_join(s.fact, s.dim_area, "community_area_key", known_only=True)
     g = group_rate(j, ["hardship_quartile"], hits="prisoes", rate_name=MART_RATE)
-    return g.select(F.col("hardship_quartile").alias("quartil"), "total", "prisoes", MART_RATE)
+    return g.select(F.col("hardship_quartile").alias("quartil"), "total", "prisoes", MART_RATE).orderBy("quartil")
 
 
 def mart_bq7(s: Star) -> DataFrame:
@@ -173,11 +172,9 @@ def marts(s: Star, time_star: Star | None = None, before_year: int = 2017) -> di
             "mart_bq7": mart_bq7(s)}
 
 
-def widget_all(s: Star, time_star: Star | None = None, before_year: int = 2017,
-               written: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The eight dashboard series as ``series, x, y`` (x as text). Pass ``written`` marts
-    (e.g. read back from tables) to chart them without touching the fact again."""
-    m = written or marts(s, time_star, before_year)
+def widget_all(m: dict[str, DataFrame]) -> DataFrame:
+    """The eight dashboard series as ``series, x, y`` (x as text), from marts that are
+    written (or checkpointed): the fact is not read again."""
     rate = ("prisoes", "total")
     parts = [
         widget_series(m["mart_bq1"], "primary_type", "total", series="w1"),

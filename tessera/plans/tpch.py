@@ -6,11 +6,14 @@ Role mapping (occurrence = one deduplicated line item):
 * id = ``l_orderkey * 10 + l_linenumber`` after a dedupe of (l_orderkey, l_linenumber)
   keeping the latest ship date (then every other column ascending);
 * occurred_at = ``l_shipdate``; arrest = ``l_returnflag = 'R'``; domestic = ``l_linestatus = 'F'``;
-* code (iucr) = ``p_brand``; type attributes = ``p_type``, ``lower(p_type)``, brand number;
-* location text = ``p_name``; area = supplier nation, nation 0 playing "area missing";
+* code (iucr) = ``p_brand``, missing for parts of size 1; type attributes = ``p_type``,
+  ``lower(p_type)``, brand number;
+* location text = ``p_name``, null or blank for parts of size 2 and 3; area = supplier nation,
+  nation 0 playing "area missing" and nation 24 an area number that no reference knows;
 * area indicators = per-nation aggregates of ``customer`` plus one all-nations total row
   (the pre-aggregated row the cleaning must drop);
-* code reference = ``part`` rows (index flag ``p_size > 25``), deduplicated per code.
+* code reference = ``part`` rows (index flag ``p_size > 25``), deduplicated per code; brands that
+  end in 5 are listed without their code, so it is missing there.
 
 A second occurrence set from ``events`` (hour-level timestamps) serves the hour and shift
 questions. Dimensions and fact are built with the library operators, never with SQL text.
@@ -23,12 +26,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.parse import clean_text, pad_code, to_int, to_long, to_ts, upper_flag
+from tessera.functions.parse import to_int, to_long, to_ts
 from tessera.operators.clean import (CleanSpec, Rule, apply_clean, dedupe, drop_rows, project,
                                      total_order)
 from tessera.operators.dims import representative
-from tessera.operators.fact import build_fact
-from tessera.plans.crimes import gold_dim_builders
+from tessera.operators.fact import build_fact, measured
+from tessera.plans.crimes import clean_iucr, gold_dim_builders
 from tessera.plans.star import Star
 from tessera.session import ensure_checkpoint_dir, pin_utc
 
@@ -51,10 +54,15 @@ def dedupe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(li, LINE_KEYS, total_order(li, LINE_KEYS, [F.col("l_shipdate").desc_nulls_last()]))
 
 
+def place_text() -> Column:
+    """The part's name as place text; null for size 2, blank for size 3."""
+    return F.when(F.col("p_size") == 3, "").when(F.col("p_size") != 2, F.col("p_name"))
+
+
 def line_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped occurrences (18 typed columns) from line items."""
     li = dedupe_lineitem(spark, sf_dir)
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = (li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
          .join(s, li["l_suppkey"] == s["s_suppkey"], "inner"))
@@ -64,16 +72,16 @@ def line_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.col("l_linenumber").cast("string")),
         "occurred_at": F.col("l_shipdate"),
         "block": F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")),
-        "iucr": F.col("p_brand"),
+        "iucr": F.when(F.col("p_size") != 1, F.col("p_brand")),
         "primary_type": F.col("p_type"),
         "description": F.lower("p_type"),
-        "location_description": F.col("p_name"),
+        "location_description": place_text(),
         "arrest": F.col("l_returnflag") == "R",
         "domestic": F.col("l_linestatus") == "F",
         "beat": F.col("l_suppkey").cast("int"),
         "district": F.col("s_nationkey"),
         "ward": F.col("l_linenumber"),
-        "community_area": F.nullif(F.col("s_nationkey"), F.lit(0)),
+        "community_area": F.when(F.col("s_nationkey") == 24, 99).otherwise(F.nullif(F.col("s_nationkey"), F.lit(0))),
         "fbi_code": F.expr("substr(p_brand, 7)"),
         "year": F.year("l_shipdate"),
         "latitude": F.col("l_discount"),
@@ -146,44 +154,49 @@ def clean_indicators(raw: DataFrame) -> DataFrame:
 
 def codes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.select(F.col("p_brand").alias("iucr"), F.col("p_type").alias("primary_description"),
-                    F.col("p_name").alias("secondary_description"),
+    return p.select(F.when(~F.col("p_brand").endswith("5"), F.col("p_brand")).alias("iucr"),
+                    F.col("p_type").alias("primary_description"), F.col("p_name").alias("secondary_description"),
                     F.when(F.col("p_size") > 25, "I").otherwise("N").alias("index_code"))
 
 
-def clean_codes(raw: DataFrame, width: int = 4) -> DataFrame:
-    """Code reference: padded code, trimmed descriptions, index flag; one row per code."""
-    typed = project(raw, {
-        "iucr": pad_code("iucr", width),
-        "iucr_primary_description": clean_text("primary_description"),
-        "iucr_secondary_description": clean_text("secondary_description"),
-        "is_index": upper_flag("index_code", "I"),
-    })
-    return dedupe(typed, ["iucr"])
-
-
 # ---- stars ---------------------------------------------------------------------------
 
 def build_star(spark: SparkSession, occ: DataFrame, ref: DataFrame, indicators: DataFrame) -> Star:
-    """The same star as the crime preset's gold layer; the independent dimensions are
-    constructed side by side (their counting jobs overlap), then the fact."""
+    """The same star as the crime preset's gold layer, materialized as that is: the independent
+    dimensions are built and checkpointed side by side, with their sizes, then the fact."""
     builders = gold_dim_builders(spark, occ, indicators, ref)
     with ThreadPoolExecutor(max_workers=len(builders)) as ex:
-        dims = dict(zip(builders, ex.map(lambda f: f(), builders.values())))
+        dims = dict(zip(builders, ex.map(lambda f: measured(f().checkpoint()), builders.values())))
     fact = build_fact(occ, type_dim=dims["dim_crime_type"], location_dim=dims["dim_location"],
-                      area_dim=dims["dim_community_area"])
+                      area_dim=dims["dim_community_area"]).checkpoint()
     return Star(fact=fact, dim_date=dims["dim_date"], dim_time=dims["dim_time"],
                 dim_type=dims["dim_crime_type"], dim_area=dims["dim_community_area"],
                 dim_location=dims["dim_location"])
 
 
 _MEMO: dict = {}
+_KEPT = 6  # materialized results kept at a time
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the tables' files, so changed files are noticed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("lineitem", "part", "supplier", "customer", "nation", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path)
+        out.append((size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
 
 
 def _memo(spark: SparkSession, sf_dir: str, kind: str, make):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, _state(spark, sf_dir))
     if key not in _MEMO:
-        _MEMO[key] = make()
+        made = make()
+        while len(_MEMO) >= _KEPT:
+            _MEMO.pop(next(iter(_MEMO)))
+        _MEMO[key] = made
     return _MEMO[key]
 
 
@@ -206,7 +219,7 @@ def line_star(spark: SparkSession, sf_dir: str) -> Star:
     """Star over deduplicated line items (built once per session)."""
     prepare(spark)
     return _memo(spark, sf_dir, "line", lambda: build_star(
-        spark, silver_lines(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
+        spark, silver_lines(spark, sf_dir), clean_iucr(codes_raw(spark, sf_dir)),
         clean_indicators(indicators_raw(spark, sf_dir))))
 
 
@@ -214,7 +227,7 @@ def event_star(spark: SparkSession, sf_dir: str) -> Star:
     """Star over events (hour-level timestamps) for the hour and shift questions."""
     prepare(spark)
     return _memo(spark, sf_dir, "event", lambda: build_star(
-        spark, silver_events(spark, sf_dir), clean_codes(codes_raw(spark, sf_dir)),
+        spark, silver_events(spark, sf_dir), clean_iucr(codes_raw(spark, sf_dir)),
         clean_indicators(indicators_raw(spark, sf_dir))))
 
 
@@ -278,3 +291,50 @@ def orders_typed(raw: DataFrame) -> DataFrame:
 
 def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_clean(orders_typed(orders_raw(spark, sf_dir)), orders_clean_spec())
+
+
+# ---- landing text of the crime records ----------------------------------------------------
+
+CRIMES_YEARS = (1996, 2000)
+
+
+def crimes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as the crime records land: 22 text columns under their normalized names.
+
+    Every item lands twice, the second time updated a day later (even orders) or earlier. Ids
+    of parts 97, 194, ... are malformed, dates of suppliers 89, 178, ... unreadable; coordinates
+    are missing (quantity 1), (0,0) (line 7) or run out of the box with the tax."""
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    j = li.join(p, li["l_partkey"] == p["p_partkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
+
+    def number(c):
+        return F.concat(c.cast("string"), F.lit(".0"))
+
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    later = F.when(F.col("l_orderkey") % 2 == 0, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL -1 DAY"))
+    zero, gone = F.col("l_linenumber") == 7, F.col("l_quantity") == 1
+
+    def landed(again: bool) -> DataFrame:
+        updated = F.col("l_shipdate") + later if again else F.col("l_shipdate")
+        return j.select(
+            F.concat(key, F.when(F.col("l_partkey") % 97 == 0, "x").otherwise(".0")).alias("id"),
+            F.concat(F.lit("again " if again else "L"), key).alias("case_number"),
+            F.when(F.col("l_suppkey") % 89 == 0, "bad").otherwise(F.date_format("l_shipdate", TS_FMT)).alias("date"),
+            F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("block"),
+            F.when(F.col("p_size") != 1, F.expr("' ' || substr(p_brand, 7)")).alias("iucr"),
+            F.concat(F.lit(" "), "p_type").alias("primary_type"), F.lower("p_type").alias("description"),
+            place_text().alias("location_description"),
+            F.when(F.col("l_returnflag") == "R", "True").when(F.col("l_returnflag") == "N", "False").alias("arrest"),
+            F.when(F.col("l_linestatus") == "F", "True").otherwise("False").alias("domestic"),
+            number(F.col("l_suppkey")).alias("beat"), number(F.col("s_nationkey")).alias("district"),
+            number(F.col("l_linenumber")).alias("ward"),
+            number(F.when(F.col("s_nationkey") == 24, 99).otherwise(F.col("s_nationkey"))).alias("community_area"),
+            F.expr("substr(p_brand, 7)").alias("fbi_code"), F.lit(None).cast("string").alias("x_coordinate"),
+            F.lit(None).cast("string").alias("y_coordinate"), number(F.year("l_shipdate")).alias("year"),
+            F.date_format(updated, TS_FMT).alias("updated_on"),
+            F.when(zero, "0.0").when(~gone, (F.lit(41.55) + F.col("l_tax") * 8).cast("string")).alias("latitude"),
+            F.when(zero, "0.0").when(~gone, "-87.7").alias("longitude"), F.lit(None).cast("string").alias("location"))
+
+    return landed(False).unionByName(landed(True))

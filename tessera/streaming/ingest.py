@@ -5,7 +5,8 @@ every run. This is the same ingest as a file-source stream: each run picks up on
 files that arrived since the last one (the checkpoint records which files were committed),
 stamps them and appends them to the bronze parquet folder. Run with the ``availableNow``
 trigger it behaves as an incremental batch job that stops when the backlog is done; a
-failed run restarts from the checkpoint without duplicating rows.
+failed run restarts from the checkpoint without duplicating rows. The checkpoint belongs to
+the target, not to the application: a later application goes on where the last one stopped.
 """
 
 from __future__ import annotations
@@ -15,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.session import ensure_checkpoint_dir
-from tessera.sources.files import _header, normalize_name
+from tessera.sources.files import headers, normalize_name
 
 
 def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, source: str, *,
@@ -26,12 +26,15 @@ def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, sour
     """Append new CSV files of ``landing_dir`` to the parquet folder ``target_path``.
 
     Columns are all strings named by :func:`normalize_name` (from ``columns`` or the header
-    of a landed file); ``_ingested_at`` is the micro-batch time and ``_source`` the given
-    label. ``checkpoint`` defaults to a folder under the session's checkpoint directory
-    named after the target.
+    of the landed files); ``_ingested_at`` is the micro-batch time and ``_source`` the given
+    label. ``checkpoint`` defaults to ``<target_path>.checkpoint``, next to the target. A
+    stream reads all files by one header, so a landed file with another one is an error.
     """
-    names = columns or _header(spark, f"{landing_dir.rstrip('/')}/{pattern}", ",", "UTF-8")
-    names = [n if n.strip() else f"_c{i}" for i, n in enumerate(names)]
+    found = headers(spark, f"{landing_dir.rstrip('/')}/{pattern}")
+    names = columns or next(iter(found.values()), [])
+    for file, have in found.items():
+        if have != names:
+            raise ValueError(f"{file} has the columns {have}, not {names}")
     schema = T.StructType([T.StructField(f"_col{i}", T.StringType()) for i in range(len(names))])
     reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
               .option("escape", '"').option("pathGlobFilter", pattern))
@@ -40,8 +43,7 @@ def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, sour
     raw = reader.csv(landing_dir)
     out = raw.toDF(*[normalize_name(n) for n in names]).withColumns(
         {"_ingested_at": F.current_timestamp(), "_source": F.lit(source)})
-    ckpt = checkpoint or (ensure_checkpoint_dir(spark).rstrip("/") + "/stream-"
-                          + target_path.rstrip("/").replace("/", "_").replace(":", "_"))
+    ckpt = checkpoint or target_path.rstrip("/") + ".checkpoint"
     q = (out.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start(target_path))
     if wait:

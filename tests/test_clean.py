@@ -101,3 +101,23 @@ def test_save_all_writes_side_by_side_and_raises(spark):
     assert set(out) == {"scratch_t.a", "scratch_t.b"}
     with _pt.raises(Exception):
         save_all({"scratch_t.c": lambda: spark.range(1).selectExpr("missing_column")})
+
+
+def test_csv_files_of_other_column_orders_and_malformed_records(spark, tmp_path):
+    import pytest
+    from tessera.sources.files import malformed
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n2\n3,y,z\n")
+    (tmp_path / "b.csv").write_text("name,id\n w ,4\n")
+    df = read_raw_csv(spark, str(tmp_path / "*.csv"), columns=["id", "name"], corrupt="bad")
+    got = {r.id: (r.name, r.bad) for r in df.collect()}
+    assert got == {"1": ("x", None), "2": (None, "2"), "3": ("y", "3,y,z"), "4": (" w ", None)}
+    assert tuple(malformed(df.checkpoint(), "bad").first()) == (4, 2)
+    (tmp_path / "c.csv").write_text("id,title\n5,q\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        read_raw_csv(spark, str(tmp_path / "*.csv"))
+
+
+def test_written_csv_keeps_outer_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", "b"), ("", "c")], "x string, y string")
+    back = read_raw_csv(spark, write_csv(df, str(tmp_path / "o")))
+    assert sorted((r.x or "", r.y) for r in back.collect()) == [("", "c"), (" a ", "b")]

@@ -1,6 +1,5 @@
 """Plan shape checks: what reaches the scans, which joins, how many jobs."""
 
-import math
 import os
 
 import pytest
@@ -63,13 +62,49 @@ def test_profile_job_count(spark):
     QL.profile(occ).collect()
     jobs = len(st.getJobIdsForGroup(None)) - before
     ncols = len(occ.columns)
-    # the reference runs 1 + 2 * ncols jobs; ours is a few stages per chunk of 8 columns
-    assert jobs <= 3 * math.ceil(ncols / 8) + 1 < 1 + 2 * ncols
+    assert jobs <= 4 < 1 + 2 * ncols
     occ.unpersist()
 
 
 def test_no_python_evaluation_in_any_query(spark):
-    import __spark_entry__ as E
-    for name, fn in E.queries().items():
+    from tessera.plans import entry_queries
+    for name, fn in entry_queries.QUERIES.items():
         text = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in text and "PythonUDF" not in text, name
+
+
+def fact_scans(df, path):
+    """Scans of a written table in the plan that ran."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return sum("FileScan" in ln and f"/{path}]" in ln for ln in text.splitlines())
+
+
+def test_one_fact_scan_per_answer(spark, star):
+    from tessera.operators.fact import integrity
+    from tessera.plans import crimes as C
+    assert fact_scans(Q.bq7(star), "fact_crime") == 1
+    assert fact_scans(Q.rate_extremes(star, 10, 2), "fact_crime") == 1
+    assert fact_scans(QL.value_counts(star.fact, "beat", 5), "fact_crime") == 1
+    assert fact_scans(QL.coverage(star.fact, star.dim_area, "community_area_key"), "fact_crime") == 1
+    assert fact_scans(integrity(star.fact, {"location_key": (star.dim_location, "location_key")}), "fact_crime") == 1
+    assert fact_scans(QL.profile(star.fact), "fact_crime") == 1
+    bronze = spark.createDataFrame([("1",), ("1",), ("x",)], "id string")
+    audit = spark.createDataFrame([], "table string, step_order int, step string, removed long, flagged long")
+    silver = spark.createDataFrame([("12345",)], "iucr string")
+    assert fact_scans(C.report(bronze, audit, star, silver), "fact_crime") == 1
+
+
+def test_no_job_decides_a_broadcast(spark, star):
+    st = spark.sparkContext.statusTracker()
+    before = len(st.getJobIdsForGroup(None))
+    for fn in (Q.bq1, Q.bq4a, Q.bq5, Q.bq6a, Q.bq7):
+        fn(star)
+    assert len(st.getJobIdsForGroup(None)) == before
+
+
+def test_a_side_of_unknown_size_is_not_hinted(spark, star):
+    from tessera.operators.fact import broadcast_checked, fits_broadcast
+    wide = spark.range(10**9).selectExpr("id", "repeat('x', 100) AS t")
+    assert not fits_broadcast(wide) and broadcast_checked(wide) is wide
+    assert fits_broadcast(star.dim_date)

@@ -17,11 +17,10 @@ SETTINGS = settings(max_examples=8, deadline=None,
 
 @SETTINGS
 @given(st.lists(st.one_of(st.none(), st.text("abc", min_size=0, max_size=4)), min_size=1,
-                max_size=60, unique=True),
-       st.sampled_from([0, 10_000]))
-def test_position_equals_row_number(spark, values, small_rows):
+                max_size=60, unique=True))
+def test_position_equals_row_number(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "t string").repartition(3)
-    got = with_position(df, ["t"], "p", total="n", small_rows=small_rows)
+    got = with_position(df, ["t"], "p", total="n")
     want = df.withColumn("p", F.row_number().over(Window.orderBy(F.col("t").asc_nulls_first())))
     assert sorted((r.t or "", r.p) for r in got.collect()) == \
         sorted((r.t or "", r.p) for r in want.collect())
@@ -30,10 +29,10 @@ def test_position_equals_row_number(spark, values, small_rows):
 
 @SETTINGS
 @given(st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=50),
-       st.integers(2, 5), st.sampled_from([0, 10_000]))
-def test_ntile_equals_window(spark, vals, n, small_rows):
+       st.integers(2, 5))
+def test_ntile_equals_window(spark, vals, n):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k int, v int")
-    got = with_ntiles(df, {"q": (n, ["v", "k"])}, small_rows=small_rows)
+    got = with_ntiles(df, {"q": (n, ["v", "k"])})
     want = df.withColumn("q", F.ntile(n).over(Window.orderBy(F.col("v").asc_nulls_first(), "k")))
     assert sorted(got.collect()) == sorted(want.collect())
 

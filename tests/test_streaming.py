@@ -45,3 +45,39 @@ def test_cli_build(spark, landing, capsys):
     printed = capsys.readouterr().out.split()
     assert "gold.fact_crime" in printed and "silver.clean_audit" in printed
     assert spark.table("gold.fact_crime").count() == 33
+
+
+APP = """
+import sys
+from pyspark.sql import SparkSession
+from tessera.streaming import ingest_landing
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", sys.argv[3]).getOrCreate())
+ingest_landing(spark, sys.argv[1], sys.argv[2], "test")
+print("rows", spark.read.parquet(sys.argv[2]).count())
+"""
+
+
+def test_two_applications_share_the_default_checkpoint(tmp_path):
+    import os
+    import subprocess
+    import sys
+    landing, target = tmp_path / "landing", tmp_path / "bronze"
+    landing.mkdir()
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    env.pop("PYSPARK_GATEWAY_PORT", None)
+    seen = []
+    for name, ids in (("a", "12"), ("b", "34")):
+        _write(landing / f"{name}.csv", [[i, f"HX{i}", "A ST"] for i in ids])
+        out = subprocess.run([sys.executable, "-c", APP, str(landing), str(target), str(tmp_path / "shared")],
+                             env=env, capture_output=True, text=True, timeout=180)
+        seen += [ln for ln in out.stdout.splitlines() if ln.startswith("rows")]
+    assert seen == ["rows 2", "rows 4"]
+
+
+def test_landed_file_with_another_header_is_an_error(spark, tmp_path):
+    import pytest
+    _write(tmp_path / "a.csv", [["1", "HX1", "A ST"]])
+    (tmp_path / "b.csv").write_text("Block,ID,Case Number\nB ST,2,HX2\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        ingest_landing(spark, str(tmp_path), str(tmp_path / "t"), "test")
