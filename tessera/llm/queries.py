@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, decontaminate, languages, mixing, near, pages, quality, substrings, tokens, toxicity
+from tessera.llm import ann, decontaminate, languages, mixing, near, pages, quality, sql, substrings, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of every document with the benchmark."""
     return decontaminate.annotate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
-                                  keep=["doc_id"])
+                                  keep=["doc_id"]).drop("longest_match")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE_SQL,
+    "op4_decontaminate": sql.DECONTAMINATE,
+    "op5_substring_dedup": sql.SUBSTRINGS,
+    "op6_ngram_jaccard": sql.NEAR,
 }
