@@ -181,6 +181,9 @@ def fit(x: np.ndarray, y: np.ndarray, settings: Settings = Settings()) -> Model:
             leaf[at] = (y[at] - p[at]).sum() / h
         margin = margin + settings.shrink * leaf
     rules = sorted(set(rules))
+    if not rules:  # too few rows for any split
+        p = float(np.clip(y.mean(), 0.01, 0.99))
+        return Model(float(np.log(p / (1 - p))), [])
     hold = np.stack([_holds(r, x) for r in rules], axis=1).astype(np.float64)
     spread = hold.std(axis=0)
     use = spread > 0
