@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tessera.llm.ship import ship
 from tessera.llm.words import column
 
-SHARE, SAMPLE, SHARD, BLOCK, SEED = 0.6, 20_000, 8192, 2048, 3
+SHARE, SAMPLE, SHARD, BLOCK, SEED = 0.7, 20_000, 8192, 2048, 3
 
 
 @dataclass
