@@ -7,8 +7,8 @@ set share of all vectors. Their entries are reranked by the exact distance.
 
 Codebooks are fitted on a bounded sample; every vector is indexed. Entries are dealt into
 shards by a hash of their id, so a cell that many equal vectors share is spread evenly;
-queries go to every shard in blocks, with the list of cells to visit, and a shard returns
-its nearest entries only.
+queries go to every shard in blocks, each with the summed distance at which its walk
+stopped, which tells the cells it visits; a shard returns its nearest entries only.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tessera.llm.ship import ship
 from tessera.llm.words import column
 
-SHARE, SAMPLE, SHARD, BLOCK, SEED = 0.7, 20_000, 8192, 2048, 3
+SHARE, SAMPLE, SHARD, BLOCK, SEED = 0.7, 20_000, 8192, 16_384, 3
 
 
 @dataclass
@@ -60,13 +60,14 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = SEED) -> np.ndar
     return c
 
 
-def visit(a: np.ndarray, b: np.ndarray, count: np.ndarray, enough: int) -> list[int]:
-    """Cells in the order of summed distance until they hold ``enough`` entries."""
+def visit(a: np.ndarray, b: np.ndarray, count: np.ndarray, enough: int) -> tuple[list[int], float]:
+    """Cells in the order of summed distance until they hold ``enough`` entries, and the last
+    of these distances."""
     by_a, by_b, width = np.argsort(a, kind="stable"), np.argsort(b, kind="stable"), len(b)
     sa, sb = a[by_a].tolist(), b[by_b].tolist()
-    heap, out, have = [(sa[0] + sb[0], 0, 0)], [], 0
+    heap, out, have, reach = [(sa[0] + sb[0], 0, 0)], [], 0, 0.0
     while heap and have < enough:
-        _, i, j = heapq.heappop(heap)
+        reach, i, j = heapq.heappop(heap)
         cell = int(by_a[i]) * width + int(by_b[j])
         if count[cell]:
             out.append(cell)
@@ -76,7 +77,7 @@ def visit(a: np.ndarray, b: np.ndarray, count: np.ndarray, enough: int) -> list[
             heapq.heappush(heap, (sa[i] + sb[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(sa):
             heapq.heappush(heap, (sa[i + 1] + sb[0], i + 1, 0))
-    return out
+    return out, reach
 
 
 def usable(vector: Column, dimensions: int | None = None) -> Column:
@@ -145,12 +146,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "
         for batch in batches:
             x = _matrix(batch.column(1))
             a, b = shipped.value.distances(x) if len(x) else ([], [])
-            lists = [visit(p, q, counts.value, enough) for p, q in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))],
-                                             names=["query_id", "q", "cells"])
+            reach = [visit(p, q, counts.value, enough)[1] for p, q in zip(a, b, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(reach, pa.float64())],
+                                             names=["query_id", "q", "reach"])
 
     n_shards, n_blocks = -(-n // shard), -(-asked.count() // block) or 1
-    planned = asked.mapInArrow(plan, f"query_id long, q {kind}, cells array<int>")
+    planned = asked.mapInArrow(plan, f"query_id long, q {kind}, reach double")
     left = (indexed.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
     right = (planned.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
@@ -159,17 +160,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "
     def rerank(own: pa.Table, asking: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
         if own.num_rows and asking.num_rows:
-            ids, cell, x = own["vec_id"].to_numpy(), own["cell"].to_numpy(), _matrix(own["v"])
+            books, ids, cell, x = shipped.value, own["vec_id"].to_numpy(), own["cell"].to_numpy(), _matrix(own["v"])
             order = np.lexsort((ids, cell))
             ids, cell, x = ids[order], cell[order], x[order]
-            begin = np.searchsorted(cell, np.arange(len(counts.value) + 1))
-            q = _matrix(asking["q"])
-            cells = asking["cells"].combine_chunks()
-            flat, offs = cells.flatten().to_numpy(), np.append(0, np.cumsum(cells.value_lengths().to_numpy()))
+            first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            last = np.append(first[1:], len(cell))
+            rows, columns = np.divmod(cell[first], len(books.right))
+            q, reach = _matrix(asking["q"]), asking["reach"].to_numpy()
+            a, b = books.distances(q)
             for i, query in enumerate(asking["query_id"].to_pylist()):
-                mine = flat[offs[i]:offs[i + 1]]
-                size = begin[mine + 1] - begin[mine]
-                at = np.repeat(begin[mine] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                # cells within reach, with room for how sums are rounded
+                mine = np.flatnonzero(a[i, rows] + b[i, columns] <= reach[i] + 1e-9 * (1 + abs(reach[i])))
+                size = last[mine] - first[mine]
+                at = np.repeat(first[mine] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 at = at[ids[at] != query]
                 if not len(at):
                     continue

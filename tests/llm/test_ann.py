@@ -62,6 +62,7 @@ def test_tables_without_answers(frame, spark, rows):
 def test_visit_walks_pairs_by_summed_distance():
     rng = np.random.default_rng(1)
     a, b = rng.random(7), rng.random(5)
-    cells = ann.visit(a, b, np.ones(35, int), 35)
+    cells, reach = ann.visit(a, b, np.ones(35, int), 35)
     sums = [a[c // 5] + b[c % 5] for c in cells]
     assert sorted(cells) == list(range(35)) and sums == sorted(sums)
+    assert reach == sums[-1] and ann.visit(a, b, np.ones(35, int), 9) == (cells[:9], sums[8])
