@@ -33,6 +33,10 @@ BROADCAST_BYTES = 16 << 20
 CONSTANT, PAGES = 0.98, 10
 #: Share of a node's varying text that a child must hold to be the content slot.
 FOLLOW = 0.75
+#: Deepest nesting; what is nested deeper hangs at this depth, as browsers do it.
+DEPTH = 256
+#: Largest table of the matching of two rows of children.
+CELLS = 1_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -120,7 +124,7 @@ def parse(text: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
             at = end.end() if end else n
             continue
-        if not m[3].endswith("/") or tag in _BLOCK or tag == "a":
+        if (not m[3].endswith("/") or tag in _BLOCK or tag == "a") and len(stack) < DEPTH:
             stack.append(node)
             articles += tag in ("article", "main")
     return root
@@ -173,18 +177,39 @@ class Matcher:
             return 0
         got = self.scores.get((a, b))
         if got is None:
-            got = self.scores[a, b] = 1 + self._table(a, b)[-1][-1]
+            left, right = self.shapes[a][1], self.shapes[b][1]
+            got = self.scores[a, b] = 1 + sum(
+                min(left[i][1], right[j][1]) * self.score(left[i][0], right[j][0]) for i, j in self._pairs(left, right))
         return got
 
-    def _table(self, a: int, b: int) -> list[list[int]]:
-        left, right = self.shapes[a][1], self.shapes[b][1]
-        table = [[0] * (len(right) + 1)]
-        for sig, times in left:
-            above, row = table[-1], [0]
-            for j, (other, n) in enumerate(right):
-                row.append(max(above[j + 1], row[j], above[j] + min(times, n) * self.score(sig, other)))
-            table.append(row)
-        return table
+    def _pairs(self, left, right) -> list[tuple[int, int]]:
+        """Matched runs of two rows of children, from the last to the first. Equal runs at both
+        ends are matched at once, what is between them by dynamic programming; between rows
+        that differ in more than ``CELLS`` places nothing is matched."""
+        begin, end_l, end_r = 0, len(left), len(right)
+        while begin < min(end_l, end_r) and left[begin] == right[begin]:
+            begin += 1
+        out = []
+        while min(end_l, end_r) > begin and left[end_l - 1] == right[end_r - 1]:
+            end_l, end_r = end_l - 1, end_r - 1
+            out.append((end_l, end_r))
+        if (end_l - begin) * (end_r - begin) <= CELLS:
+            table = [[0] * (end_r - begin + 1)]
+            for sig, times in left[begin:end_l]:
+                above, row = table[-1], [0]
+                for j, (other, n) in enumerate(right[begin:end_r]):
+                    row.append(max(above[j + 1], row[j], above[j] + min(times, n) * self.score(sig, other)))
+                table.append(row)
+            i, j = end_l - begin, end_r - begin
+            while i and j:
+                if table[i][j] == table[i - 1][j]:
+                    i -= 1
+                elif table[i][j] == table[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((begin + i, begin + j))
+        return out + [(i, i) for i in reversed(range(begin))]
 
     def align(self, page: Node, ref: Node) -> list[tuple[Node, Node]]:
         """Matched nodes of two trees with equal roots."""
@@ -198,17 +223,10 @@ class Matcher:
             if p.sig == r.sig:
                 todo.extend(zip(mine, theirs, strict=True))
                 continue
-            left, right, table = self.shapes[p.sig][1], self.shapes[r.sig][1], self._table(p.sig, r.sig)
-            i, j = len(left), len(right)
+            left, right = self.shapes[p.sig][1], self.shapes[r.sig][1]
             ends_p, ends_r = _ends(left), _ends(right)
-            while i and j:
-                if table[i][j] == table[i - 1][j]:
-                    i -= 1
-                elif table[i][j] == table[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    todo.extend(zip(mine[ends_p[i]:ends_p[i + 1]], theirs[ends_r[j]:ends_r[j + 1]], strict=False))
+            for i, j in self._pairs(left, right):
+                todo.extend(zip(mine[ends_p[i]:ends_p[i + 1]], theirs[ends_r[j]:ends_r[j + 1]], strict=False))
         return out
 
     def trim(self) -> None:
@@ -356,7 +374,8 @@ def references(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame
     rows = rows.where("__host is not null and __ref is not null and __id is not null")
     first = checkpointed(rows.groupBy("__host").agg(F.min("__id").alias("__id")))
     first = F.broadcast(first) if first.count() * 64 <= BROADCAST_BYTES else first
-    return checkpointed(rows.join(first, ["__host", "__id"]).drop("__id").dropDuplicates(["__host"]))
+    found = rows.join(first, ["__host", "__id"])  # repeated rows of an id: the smallest text
+    return checkpointed(found.groupBy("__host").agg(F.min("__ref").alias("__ref")))
 
 
 def templates(pages: DataFrame, url: str, html: str, refs: DataFrame) -> DataFrame:

@@ -63,3 +63,14 @@ def test_matching_score_is_the_largest_match():
     b = m.number(P.parse("<div><ul><li>x<li>y<li>z</ul><p>3</p><h2>t</h2></div>"))
     assert m.score(a.sig, b.sig) == 6  # root, div, ul, two li, p
     assert [(p.tag, r.tag) for p, r in m.align(a, b)].count(("li", "li")) == 2
+
+
+def test_deep_and_wide_pages(frame):
+    deep = "<b>" * 5000 + "deep" + "<div>" * 5000 + "deeper"
+    wide = "<main>" + "".join(f"<p>{i}</p><h2>h{i}</h2>" for i in range(3000)) + "</main>"
+    other = "<main>" + "".join(f"<h2>h{i}</h2><ul><li>{i}</ul>" for i in range(3000)) + "</main>"
+    rows = [(i, f"http://{h}/{i}", t) for i, (h, t) in enumerate([("a", deep), ("a", deep + "x"), ("b", wide), ("b", other), ("b", wide)])]
+    got = {r.page_id: r.text for r in P.extract(frame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "deep\ndeeper" and got[1] == "deep\ndeeperx"
+    assert got[2].split("\n") == [x for i in range(3000) for x in (str(i), f"h{i}")]
+    assert got[3].split("\n") == [x for i in range(3000) for x in (f"h{i}", str(i))]
