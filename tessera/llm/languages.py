@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.graph import checkpointed
 from tessera.llm.ship import ship
 from tessera.llm.words import add_columns, column, slices
 
 DIMENSIONS, N, MAX_ROWS_PER_LANG, SEED = 1024, 3, 5000, 2024
+BROADCAST_LANGS = 100_000
 
 
 @dataclass
@@ -128,7 +130,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     ship(docs.sparkSession)
     rows = docs.select(column(text).alias("text"), column(lang).alias("lang"), column(key).cast("string").alias("key"))
     rows = rows.where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count()
+    counts = checkpointed(rows.groupBy("lang").count())
+    # one row a language: shipped to the texts as long as there are few, so that these are not
+    # shuffled by so skewed a key
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_LANGS else counts
     share = F.least(F.lit(1.0), F.lit(float(max_rows_per_lang)) / F.col("count"))
     chosen = (rows.join(counts, "lang")
               .where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30) < share))
