@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.graph import checkpointed, components, join_ids
 from tessera.llm.ship import ship
-from tessera.llm.words import ALNUM, Sequences, Words, column, find_words, mix, slices
+from tessera.llm.words import ALNUM, Sequences, Words, column, find_words, mix, release, slices
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SMALL, BLOCK = 64, 512
@@ -91,6 +91,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, doc_id: str, text
                 else:
                     out += [pa.array([], pa.int64())] * 3 + [pa.array([], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(out, names=["doc", "s1", "s2", "size", "bands"])
+        release()
 
     return source.mapInArrow(run, "doc long, s1 long, s2 long, size long, bands array<long>")
 
@@ -105,6 +106,7 @@ def gram_lists(docs: DataFrame, n: int) -> DataFrame:
                 offsets = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([_column(part, "doc"), lists], names=["doc", "grams"])
+        release()
 
     return docs.mapInArrow(run, "doc long, grams array<long>")
 
@@ -239,7 +241,8 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     it, copies included.
 
     A document without words (or a null text) is linked to nothing: its class is itself. A
-    row without an id gets nulls and no links. Rows that repeat an id are one document.
+    row without an id gets nulls and no links. Rows that repeat an id are copies of each other if
+    their texts are; else one document that is linked by either.
     """
     members, classes, degree, edges = links(docs, n, threshold, recall, doc_id, text, small, block)
     roots = components(edges)

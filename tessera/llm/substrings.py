@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.ship import ship
-from tessera.llm.words import SPACED, Sequences, Words, column, find_words, mix, slices, without
+from tessera.llm.words import SPACED, Sequences, Words, column, find_words, mix, release, slices, without
 
 WIDTH = 50
 _U = np.uint64
@@ -115,6 +115,7 @@ def node_rows(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)) for x in (nodes.k1[take], k2, doc[nodes.row[take]], prev[take], nxt[take])],
                     names=["k1", "k2", "doc", "prev", "next"])
+        release()
 
     return source.mapInArrow(run, _NODE)
 
@@ -191,6 +192,7 @@ def window_rows(joined: DataFrame, width: int, doc_id: str, text: str) -> DataFr
                 w2 = nodes.seq[1].of(at[by], width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.view(np.int64)) for x in (w1[by], w2, doc[row[by]])], names=["w1", "w2", "doc"])
+        release()
 
     return joined.mapInArrow(run, _WINDOW)
 
@@ -224,12 +226,12 @@ def _cut(words: Words, gone: np.ndarray, texts: list[bytes | None], offsets: np.
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text",
-                   joined: bool = False) -> DataFrame:
+                   joined: bool = False, counts: tuple[str, str] = ("n_words", "n_removed")) -> DataFrame:
     """Cut from each text the words of windows that also start in a document of smaller id.
 
     A window is ``width`` consecutive words (``[^\\x20\\x09-\\x0D]+``); windows are judged on
-    the input. All columns are kept; ``text`` is replaced and n_words and n_removed are
-    added (columns of these names give way). ``joined`` gives the kept words joined by one
+    the input. All columns are kept; ``text`` is replaced and n_words and n_removed (or the names
+    in ``counts``) are added; columns of these names give way. ``joined`` gives the kept words joined by one
     space; else the text between kept words stays as it is.
 
     ``doc_id`` is an integer. A null text stays null and has no words; a text shorter than a
@@ -237,7 +239,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id",
     ids only; a document without an id keeps all its words and is nobody's source.
     """
     ship(docs.sparkSession)
-    docs = without(docs, ["n_words", "n_removed", "__nodes", "__windows", "__doc", "__doc2"])
+    docs = without(docs, [*counts, "__nodes", "__windows", "__doc", "__doc2"])
     nodes = node_rows(docs, width, doc_id, text)
     stats = (nodes.groupBy("k1", "k2")
              .agg(F.min("doc").alias("low"), F.max("doc").alias("high"),
@@ -258,7 +260,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id",
 
     names = docs.columns
     schema = T.StructType([docs.schema[c] for c in names]
-                          + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+                          + [T.StructField(c, T.LongType()) for c in counts])
 
     def run(batches):
         for batch in batches:
@@ -282,6 +284,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id",
                 new = {text: pa.array(cut, pa.binary()).cast(pa.string())}
                 yield pa.RecordBatch.from_arrays(
                     [new[c] if c == text else _text(part, c) for c in names] + [pa.array(sizes), pa.array(lost)],
-                    names=[*names, "n_words", "n_removed"])
+                    names=[*names, *counts])
+        release()
 
     return ready.mapInArrow(run, schema)

@@ -92,11 +92,6 @@ def _presence(words: Words, settings: Settings, only: np.ndarray | None = None):
 def ftrl(examples: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Model:
     """FTRL-proximal over binary features; the last coordinate is the (unpenalized) bias."""
     size = 1 << settings.bits
-    times = np.zeros(size, np.int64)
-    for x in examples:
-        times[x] += 1
-    often = times >= settings.least
-    examples = [x[often[x]] for x in examples]
     l1 = settings.l1 * min(1.0, np.sqrt(len(examples) / 3000))  # fewer rows gather smaller gradients
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     order = np.arange(len(examples))
@@ -158,17 +153,26 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
                                                  names=["id", "label", "features"])
 
     def fit(batches):
-        ids, ys, xs = [], [], []
+        ids, ys, sizes, flats = [], [], [], []
+        times = np.zeros(1 << settings.bits, np.int64)
         for batch in batches:
-            ids += batch.column(0).to_pylist()
-            ys += batch.column(1).to_pylist()
             lists = batch.column(2)
-            flat, offs = lists.values.to_numpy(), lists.offsets.to_numpy()
-            xs += [flat[a:b].copy() for a, b in zip(offs[:-1], offs[1:], strict=True)]
+            ids.append(batch.column(0).to_numpy())
+            ys.append(batch.column(1).to_numpy())
+            sizes.append(lists.value_lengths().to_numpy())
+            flats.append(lists.flatten().to_numpy())
+            times += np.bincount(flats[-1], minlength=len(times))
         if not ids:
             return
-        by = np.lexsort((ys, [len(x) for x in xs], ids))  # the same order wherever rows came from
-        model = ftrl([xs[i] for i in by], np.array(ys)[by], settings)
+        # a few long arrays, not one small array for each text
+        ids, ys, sizes, flat = (np.concatenate(x) for x in (ids, ys, sizes, flats))
+        flats.clear()
+        often = (times >= settings.least)[flat]
+        ends = np.concatenate([[0], np.cumsum(often)])[np.cumsum(sizes)]
+        begins = np.append(0, ends[:-1])
+        flat = flat[often]
+        by = np.lexsort((ys, sizes, ids))  # the same order wherever rows came from
+        model = ftrl([flat[begins[i]:ends[i]] for i in by], ys[by], settings)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(model.index, -1)), pa.array(np.append(model.weight, model.bias))],
                                          names=["index", "weight"])
 

@@ -156,6 +156,11 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
         at = upto
 
 
+def release() -> None:
+    """Give a finished task's buffers back: the worker process goes on with other tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -192,5 +197,6 @@ def add_columns(df: DataFrame, rows_of, fields: list, keep: list[str] | None = N
                 if len(found) > len(fields):
                     out = out.filter(found[len(fields)])
                 yield out
+        release()
 
     return source.mapInArrow(run, schema)
