@@ -46,8 +46,8 @@ def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     A document that loses every word goes; one that had no words stays as it is.
     """
-    cut = substrings.remove_repeats(docs).where("n_removed = 0 or n_removed < n_words")
-    changed = F.col("n_removed") > 0
+    cut = substrings.remove_repeats(docs, counts=("__words", "__removed")).where("__removed = 0 or __removed < __words")
+    changed = F.col("__removed") > 0
     if "n_chars" in docs.columns:
         size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
