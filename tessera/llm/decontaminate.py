@@ -29,7 +29,7 @@ from tessera.llm.words import ALNUM, add_columns, column, find_words
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
 #: Text of a shard: larger ones share a search among more suffixes, and take 40 times as much memory.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 RESULT = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
           T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()),
