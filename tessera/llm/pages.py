@@ -2,15 +2,17 @@
 
 One page of every host is its reference. Every page's DOM tree is aligned with it by simple
 tree matching (the largest order-keeping match of equally labelled nodes; runs of equal
-siblings count as one repeated node). Nodes of the reference gather how many pages match
-them, how often the text is the same, and how much text varies below them. Constant text is
-template; the content slot is found by following the varying text down from the root, past
-regions that are marked as menus, adverts and the like. A page's text is what stands in the
-node aligned with that slot.
-
-The counts are added up by Spark per host and node, pre-aggregated in every task, so a host
-with a third of all pages costs no more than its share; references are joined to pages, by
-broadcast only while they are small.
+siblings count as one repeated node). Nodes of the reference gather how many distinct pages
+match them, how often the text is the same, and how much text varies below them. Text that is
+the same on nearly all distinct pages of the host is template; the content slot is found by
+following the varying text down from the root, past regions that are marked as menus, adverts
+and the like. A page's text is what stands in the node aligned with that slot, without the
+text that equals the template's.
+
+Copies of a page are reduced to one by a hash, pre-aggregated in every task. The counts are
+added up by Spark per host and node, pre-aggregated too, so a host with a third of all pages
+costs no more than its share; references are joined to pages, by broadcast only while they
+are small.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tessera.llm.words import add_columns, column, without
 
 #: Reference pages and templates up to this many bytes are broadcast.
 BROADCAST_BYTES = 16 << 20
-#: Text is template if it is the same on this share of at least so many matching pages.
+#: Text is template if it is the same on this share of a host's distinct pages, if there are at least so many.
 CONSTANT, PAGES = 0.98, 10
 #: Share of a node's varying text that a child must hold to be the content slot.
 FOLLOW = 0.75
@@ -337,6 +339,15 @@ def _slot(ref: Node, stats: dict[int, tuple[int, int, int, int]]) -> int:
         node = best
 
 
+def _constant(ref: Node, stats: dict[int, tuple[int, int, int, int]]) -> set[int]:
+    """Nodes of the reference whose text is template: the same on nearly all distinct pages of the
+    host, which all match the root. Where nothing varies at all, nothing tells template from content."""
+    pages, _, _, size = stats.get(ref.at, (0, 0, 0, 0))
+    if pages < PAGES or not size:
+        return set()
+    return {at for at, (_, same, _, _) in stats.items() if same >= CONSTANT * pages}
+
+
 def host_of(url: Column) -> Column:
     """Host of a URL in lower case; null if there is none."""
     found = F.regexp_extract(F.lower(url), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1)
@@ -380,8 +391,11 @@ def references(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame
 
 def templates(pages: DataFrame, url: str, html: str, refs: DataFrame) -> DataFrame:
     """(__host, __stats): what the host's pages have in common with its reference."""
-    source = _joined(pages.select(host_of(column(url)).alias("__host"), column(html).alias("__html"))
-                     .where("__host is not null and __html is not null"), refs, F.octet_length("__ref"))
+    rows = pages.select(host_of(column(url)).alias("__host"), column(html).alias("__html"))
+    rows = rows.where("__host is not null and __html is not null")
+    # copies are one page: of each hash one stays in every task, and one of those after the shuffle
+    rows = rows.groupBy("__host", F.md5(F.col("__html").cast("binary")).alias("__hash")).agg(F.first("__html").alias("__html"))
+    source = _joined(rows.select("__host", "__html"), refs, F.octet_length("__ref"))
 
     def run(batches):
         keep = _References()
@@ -417,12 +431,11 @@ def main_text(text: str | None, host: str | None, source: str | None, stats, kee
         ref = keep.get(host, source)
         keep.matcher.number(root)
         table = {s["at"]: (s["pages"], s["same"], s["texts"], s["size"]) for s in stats}
-        slot = _slot(ref, table)
+        slot, constant = _slot(ref, table), _constant(ref, table)
         for p, r in keep.matcher.align(root, ref):
             if r.at == slot and p.tag != "#root" and p.tag != "html":
                 regions.append(p)
-            pages, same, texts, _ = table.get(r.at, (0, 0, 0, 0))
-            if pages >= PAGES and texts and same >= CONSTANT * pages:
+            if r.at in constant and own_text(p) == own_text(r):
                 template.add(id(p))
     regions = regions or _body(root)
     return "\n".join(t for region in regions for t in blocks(region, template))
@@ -434,8 +447,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     A null or empty page has an empty text. A page without a host, or whose tree has no node
     at the host's content slot, is read by its own marks (article, main, else body); so is the
-    only page of a host in effect, as nothing varies there. Repeated pages are pages of their
-    own. Columns of ``pages`` named text or n_chars give way.
+    only page of a host in effect, as nothing varies there, and a host of one page in many
+    copies. Every row of a repeated page has its text, but copies of a page count as one when a
+    host's template is learned. Columns of ``pages`` named text or n_chars give way.
     """
     ship(pages.sparkSession)
     pages = without(pages, ["__host", "__ref", "__stats"])

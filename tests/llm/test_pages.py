@@ -74,3 +74,38 @@ def test_deep_and_wide_pages(frame):
     assert got[0] == "deep\ndeeper" and got[1] == "deep\ndeeperx"
     assert got[2].split("\n") == [x for i in range(3000) for x in (str(i), f"h{i}")]
     assert got[3].split("\n") == [x for i in range(3000) for x in (f"h{i}", str(i))]
+
+
+def texts_of(frame, rows):
+    return {r.page_id: r.text for r in P.extract(frame(rows, "page_id long, url string, html string")).collect()}
+
+
+def plain(*parts):
+    return "<html><body><div class=top><p>Site name</p></div><div class=mid>" + "".join(f"<p>{x}</p>" for x in parts) + "</div></body></html>"
+
+
+def test_copies_of_one_page_keep_their_text(frame):
+    one = page("<article><h1>Title</h1><p>All <b>of</b> it</p></article>")
+    copies = [(i, f"http://a.example/{i}", one) for i in range(30)]
+    same_text = [(100 + i, f"http://b.example/{i}", one.replace("<p>", f"<p data-n={i}>")) for i in range(30)]
+    assert set(texts_of(frame, copies + same_text).values()) == {"Title\nAll of it"}
+
+
+def test_a_copied_long_reference_keeps_its_tail(frame):
+    long = [f"Long {k}" for k in range(8)]
+    rows = [(i, f"http://a.example/{i}", plain(*long)) for i in range(15)]
+    rows += [(100 + i, f"http://a.example/x{i}", plain(f"Head {i}", f"Text {i}")) for i in range(20)]
+    got = texts_of(frame, rows)
+    assert all(got[i].split("\n") == long for i in range(15))
+    assert all(got[100 + i] == f"Head {i}\nText {i}" for i in range(20))
+    # the same article under different markup is on too few of the host's pages for a template
+    rows = [(i, u, t.replace("<html>", f"<html><!-- {i} -->")) for i, u, t in rows]
+    assert texts_of(frame, rows) == got
+
+
+def test_a_page_that_differs_from_the_template_keeps_its_own_text(frame):
+    rows = [(i, f"http://a.example/{i}", plain(f"Text {i} is here", "Read more")) for i in range(100)]
+    rows[70] = (70, "http://a.example/70", plain("Text 70 is here", "An end of its own"))
+    got = texts_of(frame, rows)
+    assert got[70] == "Text 70 is here\nAn end of its own"
+    assert all(got[i] == f"Text {i} is here" for i in range(100) if i != 70)
