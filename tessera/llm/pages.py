@@ -5,9 +5,9 @@ tree matching (the largest order-keeping match of equally labelled nodes; runs o
 siblings count as one repeated node). Nodes of the reference gather how many distinct pages
 match them, how often the text is the same, and how much text varies below them. Text that is
 the same on nearly all distinct pages of the host is template; the content slot is found by
-following the varying text down from the root, past regions that are marked as menus, adverts
-and the like. A page's text is what stands in the node aligned with that slot, without the
-text that equals the template's.
+following the varying text down from the root to an article, or as long as nothing but template
+and regions marked as menus, adverts and the like stands beside it. A page's text is what
+stands in the node aligned with that slot, without the text that equals the template's.
 
 Copies of a page are reduced to one by a hash, pre-aggregated in every task. The counts are
 added up by Spark per host and node, pre-aggregated too, so a host with a third of all pages
@@ -33,8 +33,6 @@ from tessera.llm.words import add_columns, column, without
 BROADCAST_BYTES = 16 << 20
 #: Text is template if it is the same on this share of a host's distinct pages, if there are at least so many.
 CONSTANT, PAGES = 0.98, 10
-#: Share of a node's varying text that a child must hold to be the content slot.
-FOLLOW = 0.75
 #: Deepest nesting; what is nested deeper hangs at this depth, as browsers do it.
 DEPTH = 256
 #: Largest table of the matching of two rows of children.
@@ -327,18 +325,6 @@ def _measure(root: Node, pairs: list[tuple[Node, Node]]):
     return rows
 
 
-def _slot(ref: Node, stats: dict[int, tuple[int, int, int, int]]) -> int:
-    """Where the varying text is: the deepest container that still holds most of it."""
-    node = ref
-    while True:
-        have = stats.get(node.at, (0, 0, 0, 0))[3]
-        kids = [k for k in node.kids if type(k) is Node and k.tag in _CONTAINER and not k.aside]
-        best = max(kids, key=lambda k: stats.get(k.at, (0, 0, 0, 0))[3], default=None)
-        if best is None or not have or stats.get(best.at, (0, 0, 0, 0))[3] < FOLLOW * have:
-            return node.at
-        node = best
-
-
 def _constant(ref: Node, stats: dict[int, tuple[int, int, int, int]]) -> set[int]:
     """Nodes of the reference whose text is template: the same on nearly all distinct pages of the
     host, which all match the root. Where nothing varies at all, nothing tells template from content."""
@@ -348,6 +334,29 @@ def _constant(ref: Node, stats: dict[int, tuple[int, int, int, int]]) -> set[int
     return {at for at, (_, same, _, _) in stats.items() if same >= CONSTANT * pages}
 
 
+def _slot(ref: Node, stats: dict[int, tuple[int, int, int, int]], constant: set[int]) -> int:
+    """Where the text is: the first article or main on the way down, or the deepest container
+    beside which no page has any text but template and marked regions."""
+    order, todo = [], [(ref, True)]
+    while todo:
+        node, block = todo.pop()
+        order.append((node, block))
+        todo.extend((k, k.tag in _BLOCK) for k in node.kids if type(k) is Node and not k.aside)
+    own: dict[int, int] = {}  # nodes below, with text that is no template
+    for node, block in reversed(order):
+        own[node.at] = (block and node.at not in constant and bool(own_text(node))) + sum(
+            own[k.at] for k in node.kids if type(k) is Node and not k.aside)
+    node = ref
+    while node.tag not in ("article", "main"):
+        have = stats.get(node.at, (0, 0, 0, 0))[3]
+        kids = [k for k in node.kids if type(k) is Node and k.tag in _CONTAINER and not k.aside]
+        best = max(kids, key=lambda k: stats.get(k.at, (0, 0, 0, 0))[3], default=None)
+        if best is None or not have or stats.get(best.at, (0, 0, 0, 0))[3] < have or own[best.at] < own[node.at]:
+            break
+        node = best
+    return node.at
+
+
 def host_of(url: Column) -> Column:
     """Host of a URL in lower case; null if there is none."""
     found = F.regexp_extract(F.lower(url), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1)
@@ -362,17 +371,33 @@ class _References:
     """Parsed reference pages of the hosts last seen, for one matcher."""
 
     def __init__(self):
-        self.matcher, self.kept = Matcher(), {}
+        self.matcher, self.kept, self.plans = Matcher(), {}, {}
 
     def get(self, host: str, source: str) -> Node:
         if len(self.matcher.shapes) > 100_000 or len(self.kept) > 200:
             self.matcher.trim()
             self.kept.clear()
+            self.plans.clear()
         root = self.kept.get(host)
         if root is None:
             root = self.kept[host] = self.matcher.number(parse(source))
         return root
 
+    def plan(self, host: str, ref: Node, stats) -> tuple[int | None, dict[int, str]]:
+        """Content slot of a host, none if nothing varies, and the text of its template nodes."""
+        found = self.plans.get(host)
+        if found is None:
+            table = {s["at"]: (s["pages"], s["same"], s["texts"], s["size"]) for s in stats}
+            constant, texts, todo = _constant(ref, table), {}, [ref]
+            while todo:
+                node = todo.pop()
+                if node.at in constant:
+                    texts[node.at] = own_text(node)
+                todo.extend(k for k in node.kids if type(k) is Node)
+            varies = table.get(ref.at, (0, 0, 0, 0))[3] > 0
+            found = self.plans[host] = _slot(ref, table, constant) if varies else None, texts
+        return found
+
 
 def _joined(pages: DataFrame, side: DataFrame, size: Column) -> DataFrame:
     small = (side.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
@@ -430,12 +455,11 @@ def main_text(text: str | None, host: str | None, source: str | None, stats, kee
     if source is not None and stats:
         ref = keep.get(host, source)
         keep.matcher.number(root)
-        table = {s["at"]: (s["pages"], s["same"], s["texts"], s["size"]) for s in stats}
-        slot, constant = _slot(ref, table), _constant(ref, table)
+        slot, constant = keep.plan(host, ref, stats)
         for p, r in keep.matcher.align(root, ref):
-            if r.at == slot and p.tag != "#root" and p.tag != "html":
+            if r.at == slot:
                 regions.append(p)
-            if r.at in constant and own_text(p) == own_text(r):
+            if r.at in constant and own_text(p) == constant[r.at]:
                 template.add(id(p))
     regions = regions or _body(root)
     return "\n".join(t for region in regions for t in blocks(region, template))

@@ -109,3 +109,24 @@ def test_a_page_that_differs_from_the_template_keeps_its_own_text(frame):
     got = texts_of(frame, rows)
     assert got[70] == "Text 70 is here\nAn end of its own"
     assert all(got[i] == f"Text {i} is here" for i in range(100) if i != 70)
+
+
+@pytest.mark.parametrize("n", [3, 40])
+@pytest.mark.parametrize("tag", ["article", "div class=post"])
+def test_title_lead_and_end_beside_an_inner_body_stay(frame, n, tag):
+    def parts(i):
+        return [f"Title {i}", f"Lead {i}", f"Long {i} " + "x" * 900 + "y" * i, f"End {i}"]
+
+    def whole(title, lead, long, end):
+        return page(f"<{tag}><h1>{title}</h1><p>{lead}</p><div class=body><div><p>{long}</p></div></div><p>{end}</p></{tag.split()[0]}>")
+
+    got = texts_of(frame, [(i, f"http://a.example/{i}", whole(*parts(i))) for i in range(n)])
+    assert all(got[i].split("\n") == parts(i) for i in range(n))
+
+
+def test_text_beside_the_article_stays_where_any_page_has_it(frame):
+    rows = [(i, f"http://a.example/{i}", page(f"<p>Site name</p><article><p>Text {i} {'x' * i}</p></article>")) for i in range(60)]
+    rows[9] = (9, "http://a.example/9", page("<p>Site name</p><p>Correction</p><article><p>Text 9</p></article>"))
+    got = texts_of(frame, rows)
+    assert got[9] == "Correction\nText 9"
+    assert all(got[i] == f"Text {i} {'x' * i}".strip() for i in range(60) if i != 9)
