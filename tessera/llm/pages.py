@@ -33,8 +33,6 @@ from tessera.llm.words import add_columns, column, without
 BROADCAST_BYTES = 16 << 20
 #: Text is template if it is the same on this share of a host's distinct pages, if there are at least so many.
 CONSTANT, PAGES = 0.98, 10
-#: Deepest nesting; what is nested deeper hangs at this depth, as browsers do it.
-DEPTH = 256
 #: Largest table of the matching of two rows of children.
 CELLS = 1_000_000
 
@@ -48,6 +46,11 @@ _CLOSES_P = _BLOCK - frozenset("body html caption dd dt li option tbody td tfoot
 _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
          "tr": (("tr",), ("table", "tbody", "thead", "tfoot")), "td": (("td", "th"), ("tr", "table")),
          "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select", "datalist"))}
+#: Tags that such searches for an open element look at, and those that make a header an article's.
+_GROUPS = (("p",), ("td", "th", "table", "button", "object")), *dict.fromkeys(_ENDS.values())
+_GROUP_OF = {tag: _GROUPS.index(found) for tag, found in _ENDS.items()}
+_ARTICLE = ("article", "main")
+_SEARCHED = frozenset(t for group in _GROUPS for tags in group for t in tags).union(_ARTICLE)
 _CONTAINER = frozenset("html body main article section div center table tbody tr td figure details".split())
 #: Elements, roles and class or id words whose text is not an article's.
 _ASIDE = frozenset("head nav footer aside form script style textarea title noscript iframe xmp noembed noframes svg button "
@@ -90,11 +93,42 @@ def _open(tag: str, raw: str, in_article: bool) -> Node:
     return Node(tag, label, aside)
 
 
+class _Stack:
+    """Open elements, of any depth. ``near`` has, for every element, where the nearest open one of
+    each group is (0: none, or behind a border), and last the number of articles around."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.near = [root], [(0,) * len(_GROUPS) + (0,)]
+        self.open: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        tag, near, at = node.tag, self.near[-1], len(self.nodes)
+        if tag in _SEARCHED:
+            near = (*(at if tag in tags else 0 if tag in borders else was for (tags, borders), was in zip(_GROUPS, near, strict=False)),
+                    near[-1] + (tag in _ARTICLE))
+        self.nodes.append(node)
+        self.near.append(near)
+        self.open.setdefault(tag, []).append(at)
+
+    def cut(self, at: int) -> None:
+        """Close the element at this place and those in it."""
+        for node in self.nodes[at:]:
+            self.open[node.tag].pop()
+        del self.nodes[at:], self.near[at:]
+
+    def end(self, tag: str) -> None:
+        if self.open.get(tag):
+            self.cut(self.open[tag][-1])
+
+    def close(self, group: int) -> None:
+        if self.near[-1][group]:
+            self.cut(self.near[-1][group])
+
+
 def parse(text: str) -> Node:
     """DOM tree of a page; whatever is not well formed is closed where HTML would close it."""
     root = Node("#root", "#root", False)
-    stack, at, n = [root], 0, len(text)
-    articles = 0
+    stack, at, n = _Stack(root), 0, len(text)
     while at < n:
         m = _TOKEN.match(text, at)
         at = m.end()
@@ -102,49 +136,36 @@ def parse(text: str) -> Node:
         if tag is None:
             piece = m[0]
             if piece[0] != "<" or piece == "<":
-                stack[-1].kids.append(piece)
+                stack.nodes[-1].kids.append(piece)
             continue
         tag = tag.lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    articles -= sum(x.tag in ("article", "main") for x in stack[i:])
-                    del stack[i:]
-                    break
+            stack.end(tag)
             continue
         if tag in _CLOSES_P:
-            _close(stack, ("p",), ("td", "th", "table", "button", "object"))
+            stack.close(0)
         if tag in _ENDS:
-            _close(stack, *_ENDS[tag])
-        node = _open(tag, m[3], articles > 0)
-        stack[-1].kids.append(node)
+            stack.close(_GROUP_OF[tag])
+        node = _open(tag, m[3], stack.near[-1][-1] > 0)
+        stack.nodes[-1].kids.append(node)
         if tag in _VOID:
             continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
             at = end.end() if end else n
             continue
-        if (not m[3].endswith("/") or tag in _BLOCK or tag == "a") and len(stack) < DEPTH:
-            stack.append(node)
-            articles += tag in ("article", "main")
+        if not m[3].endswith("/") or tag in _BLOCK or tag == "a":
+            stack.push(node)
     return root
 
 
-def _close(stack: list, tags, borders) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in borders:
-            return
-
-
 class Matcher:
     """Simple tree matching with scores kept by shape; shapes are numbered on first sight."""
 
     def __init__(self):
         self.numbers: dict = {}
         self.shapes: list = []
+        self.sizes: list = []
         self.scores: dict = {}
 
     def number(self, root: Node) -> Node:
@@ -168,31 +189,47 @@ class Matcher:
             if sig is None:
                 sig = self.numbers[shape] = len(self.shapes)
                 self.shapes.append(shape)
+                self.sizes.append(1 + sum(times * self.sizes[kid] for kid, times in shape[1]))
             node.sig = sig
         return root
 
     def score(self, a: int, b: int) -> int:
         """Nodes in the largest match of two shapes (0 if the labels differ)."""
+        if a == b:
+            return self.sizes[a]
         if self.shapes[a][0] != self.shapes[b][0]:
             return 0
         got = self.scores.get((a, b))
-        if got is None:
+        if got is not None:
+            return got
+        todo = [(a, b, False)]  # shapes may be nested deeper than calls can be
+        while todo:
+            a, b, ready = todo.pop()
+            if (a, b) in self.scores:
+                continue
             left, right = self.shapes[a][1], self.shapes[b][1]
+            missing = () if ready else self._unknown(left, right)
+            if missing:
+                todo.append((a, b, True))
+                todo.extend(missing)
+                continue
             got = self.scores[a, b] = 1 + sum(
                 min(left[i][1], right[j][1]) * self.score(left[i][0], right[j][0]) for i, j in self._pairs(left, right))
         return got
 
+    def _unknown(self, left, right) -> list[tuple[int, int, bool]]:
+        """Pairs of children's shapes that may match and have no score yet."""
+        begin, end_l, end_r = _between(left, right)
+        mine, theirs = {sig for sig, _ in left[begin:end_l]}, {sig for sig, _ in right[begin:end_r]}
+        return [(a, b, False) for a in mine for b in theirs
+                if a != b and self.shapes[a][0] == self.shapes[b][0] and (a, b) not in self.scores]
+
     def _pairs(self, left, right) -> list[tuple[int, int]]:
         """Matched runs of two rows of children, from the last to the first. Equal runs at both
         ends are matched at once, what is between them by dynamic programming; between rows
         that differ in more than ``CELLS`` places nothing is matched."""
-        begin, end_l, end_r = 0, len(left), len(right)
-        while begin < min(end_l, end_r) and left[begin] == right[begin]:
-            begin += 1
-        out = []
-        while min(end_l, end_r) > begin and left[end_l - 1] == right[end_r - 1]:
-            end_l, end_r = end_l - 1, end_r - 1
-            out.append((end_l, end_r))
+        begin, end_l, end_r = _between(left, right)
+        out = [(len(left) - k, len(right) - k) for k in range(1, len(left) - end_l + 1)]
         if (end_l - begin) * (end_r - begin) <= CELLS:
             table = [[0] * (end_r - begin + 1)]
             for sig, times in left[begin:end_l]:
@@ -234,6 +271,16 @@ class Matcher:
             self.__init__()
 
 
+def _between(left, right) -> tuple[int, int, int]:
+    """Where two rows of children begin to differ, and where each ends to."""
+    begin, end_l, end_r = 0, len(left), len(right)
+    while begin < min(end_l, end_r) and left[begin] == right[begin]:
+        begin += 1
+    while min(end_l, end_r) > begin and left[end_l - 1] == right[end_r - 1]:
+        end_l, end_r = end_l - 1, end_r - 1
+    return begin, end_l, end_r
+
+
 def _ends(runs) -> list[int]:
     out = [0]
     for _, times in runs:
@@ -247,8 +294,16 @@ def own_text(node: Node) -> str:
 
 
 def _inline(node: Node) -> str:
-    return "".join(k if type(k) is str else " " if k.tag == "br" else "" if k.aside or k.tag in _BLOCK else _inline(k)
-                   for k in node.kids)
+    out, todo = [], list(reversed(node.kids))
+    while todo:
+        k = todo.pop()
+        if type(k) is str:
+            out.append(k)
+        elif k.tag == "br":
+            out.append(" ")
+        elif not k.aside and k.tag not in _BLOCK:
+            todo.extend(reversed(k.kids))
+    return "".join(out)
 
 
 def blocks(node: Node, template: frozenset | set = frozenset()) -> list[str]:

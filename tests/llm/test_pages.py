@@ -130,3 +130,25 @@ def test_text_beside_the_article_stays_where_any_page_has_it(frame):
     got = texts_of(frame, rows)
     assert got[9] == "Correction\nText 9"
     assert all(got[i] == f"Text {i} {'x' * i}".strip() for i in range(60) if i != 9)
+
+
+@pytest.mark.parametrize("deep", ["<div>" * 300 + "in" + "</div>" * 300, "<b>" * 300 + "in" + "</b>" * 300, "<div><b>" * 150_000 + "in" + "</b></div>" * 150_000])
+def test_closed_deep_nesting_closes_nothing_else(deep):
+    source = page(f"<div class=wrap><article><p>before</p>{deep}<p>after</p></article></div>")
+    assert P.main_text(source, None, None, None, P._References()) == "before\nin\nafter"
+
+
+def test_marks_and_order_below_deep_nesting():
+    inner = "<p>one <b>bold</b> x</p><aside><p>not <b>this</b></p></aside><div class=comment><p>nor this</p></div>mid<div>two</div>three<nav>menu</nav>"
+    for text in (inner, f"<article>{inner}</article>"):
+        source = page("<main>" + "<div>" * 400 + text + "</div>" * 400 + "<p>end</p></main>")
+        want = ["one bold x", "mid", "two", "three"] + ([] if "<article>" in text else ["end"])
+        assert P.main_text(source, None, None, None, P._References()) == "\n".join(want)
+
+
+def test_deep_pages_of_a_host(frame):
+    def nested(i):
+        return page("<article><p>Title</p>" + "<div>" * (2000 + i) + f"<p>Deep {i}</p>" + "</div>" * (2000 + i) + f"<p>End {i}</p></article>")
+
+    got = texts_of(frame, [(i, f"http://a.example/{i}", nested(i)) for i in range(4)])
+    assert all(got[i] == f"Title\nDeep {i}\nEnd {i}" for i in range(4))
