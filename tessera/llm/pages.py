@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from tessera.llm.words import add_columns, column, without
 BROADCAST_BYTES = 16 << 20
 #: Text is template if it is the same on this share of a host's distinct pages, if there are at least so many.
 CONSTANT, PAGES = 0.98, 10
-#: Largest table of the matching of two rows of children.
+#: Largest table of the matching of two rows of children; larger ones are matched in halves.
 CELLS = 1_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -199,6 +200,8 @@ class Matcher:
             return self.sizes[a]
         if self.shapes[a][0] != self.shapes[b][0]:
             return 0
+        if not self.shapes[a][1] or not self.shapes[b][1]:
+            return 1
         got = self.scores.get((a, b))
         if got is not None:
             return got
@@ -222,12 +225,13 @@ class Matcher:
         begin, end_l, end_r = _between(left, right)
         mine, theirs = {sig for sig, _ in left[begin:end_l]}, {sig for sig, _ in right[begin:end_r]}
         return [(a, b, False) for a in mine for b in theirs
-                if a != b and self.shapes[a][0] == self.shapes[b][0] and (a, b) not in self.scores]
+                if a != b and self.shapes[a][0] == self.shapes[b][0] and self.shapes[a][1] and self.shapes[b][1]
+                and (a, b) not in self.scores]
 
     def _pairs(self, left, right) -> list[tuple[int, int]]:
         """Matched runs of two rows of children, from the last to the first. Equal runs at both
-        ends are matched at once, what is between them by dynamic programming; between rows
-        that differ in more than ``CELLS`` places nothing is matched."""
+        ends are matched at once, what is between them by dynamic programming: over one table
+        of up to ``CELLS`` places, else in halves, which takes the memory of a few rows."""
         begin, end_l, end_r = _between(left, right)
         out = [(len(left) - k, len(right) - k) for k in range(1, len(left) - end_l + 1)]
         if (end_l - begin) * (end_r - begin) <= CELLS:
@@ -246,8 +250,48 @@ class Matcher:
                 else:
                     i, j = i - 1, j - 1
                     out.append((begin + i, begin + j))
+        elif end_l - begin > end_r - begin:
+            out += [(i, j) for j, i in self._halves(right[begin:end_r], left[begin:end_l], begin)]
+        else:
+            out += self._halves(left[begin:end_l], right[begin:end_r], begin)
         return out + [(i, i) for i in reversed(range(begin))]
 
+    def _halves(self, left, right, begin: int) -> list[tuple[int, int]]:
+        """The same largest match: the upper and the lower half of ``left`` are each scored
+        against all beginnings and ends of ``right``, which is cut where the sum is largest."""
+        number = {sig: i for i, sig in enumerate(dict.fromkeys(sig for sig, _ in right))}
+        which, times = np.array([number[sig] for sig, _ in right]), np.array([n for _, n in right])
+        scores: dict = {}
+
+        def gains(i, j0, j1):
+            sig, n = left[i]
+            if sig not in scores:
+                scores[sig] = np.array([self.score(sig, other) for other in number], np.int32)
+            return np.minimum(n, times[j0:j1]) * scores[sig][which[j0:j1]]
+
+        def best(rows, j0, j1, step):
+            row = np.zeros(j1 - j0 + 1, np.int64)
+            for i in rows:
+                row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + gains(i, j0, j1)[::step]))
+            return row
+
+        out, todo = [], [(0, len(left), 0, len(right))]
+        while todo:
+            i0, i1, j0, j1 = todo.pop()
+            if i0 == i1 or j0 == j1:
+                continue
+            if i1 - i0 == 1:
+                gain = gains(i0, j0, j1)
+                j = int(gain.argmax())
+                if gain[j] > 0:
+                    out.append((begin + i0, begin + j0 + j))
+                continue
+            half = (i0 + i1) // 2
+            upper, lower = best(range(i0, half), j0, j1, 1), best(range(i1 - 1, half - 1, -1), j0, j1, -1)
+            j = j0 + int((upper + lower[::-1]).argmax())
+            todo += [(i0, half, j0, j), (half, i1, j, j1)]
+        return out
+
     def align(self, page: Node, ref: Node) -> list[tuple[Node, Node]]:
         """Matched nodes of two trees with equal roots."""
         out, todo = [], [(page, ref)]
@@ -267,9 +311,12 @@ class Matcher:
         return out
 
     def trim(self) -> None:
-        if len(self.shapes) > 100_000:
+        if self.full():
             self.__init__()
 
+    def full(self) -> bool:
+        return len(self.shapes) > 100_000 or len(self.scores) > 1_000_000
+
 
 def _between(left, right) -> tuple[int, int, int]:
     """Where two rows of children begin to differ, and where each ends to."""
@@ -429,7 +476,7 @@ class _References:
         self.matcher, self.kept, self.plans = Matcher(), {}, {}
 
     def get(self, host: str, source: str) -> Node:
-        if len(self.matcher.shapes) > 100_000 or len(self.kept) > 200:
+        if self.matcher.full() or len(self.kept) > 200:
             self.matcher.trim()
             self.kept.clear()
             self.plans.clear()

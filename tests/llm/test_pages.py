@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -152,3 +153,33 @@ def test_deep_pages_of_a_host(frame):
 
     got = texts_of(frame, [(i, f"http://a.example/{i}", nested(i)) for i in range(4)])
     assert all(got[i] == f"Title\nDeep {i}\nEnd {i}" for i in range(4))
+
+
+def test_long_rows_are_matched_whole():
+    m = P.Matcher()
+    a = m.number(P.parse("<main>" + "".join(f"<p>{i}</p><h2>h</h2>" for i in range(2000)) + "</main>"))
+    b = m.number(P.parse("<main>" + "".join(f"<h2>h</h2><ul><li>{i}</ul>" for i in range(1500)) + "</main>"))
+    assert m.score(a.sig, b.sig) == m.score(b.sig, a.sig) == 1502
+    assert [(p.tag, r.tag) for p, r in m.align(a, b)].count(("h2", "h2")) == 1500
+
+
+def test_matching_in_halves_is_as_large_as_by_table(monkeypatch):
+    rng = random.Random(3)
+    tags = ["p", "h2", "ul", "div", "b", "section"]
+
+    def tree(depth):
+        return "".join(f"<{t}>{tree(depth - 1) if depth else ''}</{t}>" for t in rng.choices(tags, k=rng.randrange(9)))
+
+    pairs = [(tree(2), tree(2)) for _ in range(150)]
+
+    def scores():
+        m = P.Matcher()
+        roots = [(m.number(P.parse(x)), m.number(P.parse(y))) for x, y in pairs]
+        found = [m.align(x, y) for x, y in roots]
+        for f in found:  # one to one
+            assert len({id(p) for p, _ in f}) == len({id(r) for _, r in f}) == len(f)
+        return [m.score(x.sig, y.sig) for x, y in roots], [len(f) for f in found]
+
+    by_table = scores()
+    monkeypatch.setattr(P, "CELLS", 0)
+    assert scores() == by_table
