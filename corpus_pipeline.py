@@ -37,8 +37,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group with 5-gram similarity >= 0.8."""
-    return near.keep_one(docs)
+    """One document, that of the smallest id, of each group with 5-gram similarity >= 0.8.
+
+    Of rows that repeat an id with the same set of 5-grams, such as rows delivered twice, one stays.
+    """
+    return near.keep_one(docs, repeats=False)
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,12 +19,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.graph import checkpointed, components, join_ids
 from tessera.llm.ship import ship
-from tessera.llm.words import ALNUM, Sequences, Words, column, find_words, mix, release, slices
+from tessera.llm.words import ALNUM, Sequences, Words, add_columns, column, find_words, mix, release, slices
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SMALL, BLOCK = 64, 512
@@ -259,8 +260,46 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     return known.unionByName(other)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    found = near_duplicates(docs, doc_id=doc_id, **options)
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", *, repeats: bool = True, n: int = NGRAM, text: str = "text",
+             **options) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Documents are told apart by their ids: rows that repeat the smallest id all stay, unless
+    ``repeats`` is false. Then of the rows that repeat an id with the same set of n-grams one
+    stays, the smallest over the columns in their order; rows of an id with other sets are
+    other texts and stay, and so do rows without an id or without words, which are copies of
+    nothing.
+    """
+    found = near_duplicates(docs, n, doc_id=doc_id, text=text, **options)
     gone = checkpointed(found.where("class_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return join_ids(docs, column(doc_id).cast("long"), gone, "left_anti")
+    kept = join_ids(docs, column(doc_id).cast("long"), gone, "left_anti")
+    return kept if repeats else _one_row(kept, n, doc_id, text)
+
+
+def _one_row(docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
+    """``docs`` without further rows of the same id and set; only rows of repeated ids are shuffled."""
+    key = column(doc_id).cast("long")
+    counts = docs.select(key.alias("__again")).where("__again is not null").groupBy("__again").count()
+    again = checkpointed(counts.where("count > 1").select("__again"))
+    if again.isEmpty():
+        return docs
+    names = docs.columns
+
+    def sets(part):
+        h, row = ngram_sets(find_words(_column(part, text), ALNUM, lower=True), n)
+        begin = np.flatnonzero(np.append([True], row[1:] != row[:-1])) if len(h) else np.zeros(0, np.int64)
+        sums, none = np.zeros((2, part.num_rows), _U), np.ones(part.num_rows, bool)
+        if len(h):
+            at = row[begin]
+            sums[0, at], sums[1, at], none[at] = np.add.reduceat(mix(h), begin), np.add.reduceat(mix(h ^ _ODD), begin), False
+        return [pa.array(s.view(np.int64), mask=none) for s in sums]
+
+    fields = [T.StructField("__s1", T.LongType()), T.StructField("__s2", T.LongType())]
+    rows = add_columns(join_ids(docs, key, again, "left_semi"), sets, fields, names, text)
+    # a window of row number 1 leaves one row of a key in every task before the shuffle
+    order = [F.to_json(F.struct(column(f.name))) if "map<" in f.dataType.simpleString() else column(f.name) for f in docs.schema]
+    first = F.row_number().over(Window.partitionBy(key, "__s1", "__s2").orderBy(*order))
+    one = rows.where("__s1 is not null").withColumn("__first", first).where("__first = 1")
+    return (join_ids(docs, key, again, "left_anti")
+            .unionByName(rows.where("__s1 is null").select(*[column(c) for c in names]))
+            .unionByName(one.select(*[column(c) for c in names])))

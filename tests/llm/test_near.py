@@ -90,3 +90,25 @@ def test_components(frame):
     edges = [edges[i] for i in rng.permutation(len(edges))]
     got = dict(graph.components(frame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, **{i: 200 for i in (200, 201, 202)}}
+
+
+def test_keep_one_leaves_one_row_of_a_repeated_id(frame, hard_docs):
+    rows = [(1, "one two three", "b", {"k": 1})] * 3 + [(1, "One, two three!", "a", {"k": 2})] + [(1, "another text", "b", None)] * 2
+    rows += [(2, "one two three", "a", None)] * 2 + [(3, "alone", "a", None), (None, "one two three", "a", None), (None, "one two three", "a", None)]
+    rows += [(4, "", "a", None)] * 2 + [(5, None, "a", None)]
+    docs = frame(rows, "doc_id long, text string, lang string, m map<string, int>")
+    kept = N.keep_one(docs, repeats=False)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.lang) for r in kept.collect())
+    assert got == [(0, "one two three", "a")] * 2 + [(1, "One, two three!", "a"), (1, "another text", "b"), (3, "alone", "a"),
+                                                    (4, "", "a"), (4, "", "a"), (5, "", "a")]
+    assert N.keep_one(docs).count() == 12
+    again = [r.doc_id for r in N.keep_one(hard_docs, repeats=False).collect()]
+    assert again.count(5) == 1 and len(again) == 7
+
+
+def test_one_row_of_an_id_is_taken_in_every_task_before_the_shuffle(frame):
+    docs = frame([(1, f"same {'words ' * 9}", i % 7) for i in range(4000)], "doc_id long, text string, n int")
+    kept = N.keep_one(docs, repeats=False)
+    assert kept.collect() == [(1, f"same {'words ' * 9}", 0)]
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()

@@ -91,3 +91,11 @@ def test_stages_take_hard_rows_and_empty_tables(spark, hard_docs, k):
     if k < len(P.STAGES) - 1:
         found = stage(spark, extra, SF)
         assert found.columns == extra.columns and {r.n_words for r in found.collect()} == {"mine"}
+
+
+def test_rows_delivered_twice_stay_once(spark, hard_docs, stages):
+    near = dict(P.STAGES)["near_duplicates"]
+    assert [r.doc_id for r in near(spark, hard_docs, SF).collect()].count(5) == 1
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60 and text rlike '[a-z]'")
+    once = near(spark, docs, SF).collect()
+    assert sorted(near(spark, docs.unionByName(docs), SF).collect()) == sorted(once)
