@@ -237,7 +237,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
 
     About ``settings.max_rows`` labelled rows at most, chosen by a hash of the id, are used:
     their statistics (20 numbers each) are what reaches the driver. An id labelled more than
-    once takes its largest label. Without labels every score is 0.5.
+    once takes its largest label, and of rows that repeat an id the smallest text is used.
+    Without labels every score is 0.5.
     """
     marked = (labels.where(column(label).isNotNull() & column(doc_id).isNotNull())
               .groupBy(column(doc_id).alias("__id")).agg(F.max(column(label)).cast("double").alias("__label")))
@@ -245,6 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     if n > settings.max_rows:
         marked = marked.where(F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1 << 30)) < int(settings.max_rows / n * (1 << 30)))
     rows = docs.select(column(doc_id).alias("__id"), column(text).alias("__text")).join(F.broadcast(marked), "__id")
+    # rows that repeat an id are reduced to one, in every task first
+    rows = rows.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
     found = with_statistics(rows, "__text", keep=["__id", "__label"]).toPandas()
     found = found.sort_values(["__id", *[f"stat_{s}" for s in STATS]], kind="stable")
     return fit(found[[f"stat_{s}" for s in STATS]].to_numpy(np.float64).reshape(len(found), len(STATS)),

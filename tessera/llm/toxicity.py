@@ -132,8 +132,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
           text: str = "text", label: str = "toxic") -> Model:
     """Fit on labelled documents: ``labels`` (doc_id, label 0/1), null ids and labels left out.
 
-    At most about ``settings.max_rows`` labelled rows are used. An id labelled more than once
-    takes its largest label. Without any labelled row every score is 0.5.
+    At most about ``settings.max_rows`` labelled documents are used. An id labelled more than
+    once takes its largest label, and of rows that repeat an id the smallest text is used.
+    Without any labelled row every score is 0.5.
     """
     ship(docs.sparkSession)
     marked = (labels.where(column(label).isNotNull() & column(doc_id).isNotNull())
@@ -141,7 +142,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     marked = sample(marked, F.col("__id"), settings.max_rows)
     source = docs.select(column(doc_id).alias("__id"), column(text).alias("__text"))
     # the sample is bounded: ids and labels of 16 bytes each
-    rows = source.join(F.broadcast(marked), "__id").select("__id", "__label", F.coalesce("__text", F.lit("")).alias("__text"))
+    rows = source.join(F.broadcast(marked), "__id")
+    # so is what is left of repeated ids, reduced in every task first
+    rows = rows.groupBy("__id", "__label").agg(F.coalesce(F.min("__text"), F.lit("")).alias("__text"))
 
     def extract(batches):
         for batch in batches:

@@ -132,3 +132,19 @@ def test_drop_keeps_columns_and_clean_rows(tables):
     kept = toxicity.score(docs, model, drop=True)
     scored = toxicity.score(docs, model)
     assert kept.columns == docs.columns and kept.count() == scored.where("predicted = 0").count()
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_a_repeated_labelled_id_is_one_row_of_the_sample(frame, monkeypatch, module):
+    label = "quality" if module is quality else "toxic"
+    rows = [(i, f"text {i % 5} of words {'good fine' if i % 2 else 'bad poor'} {i}") for i in range(60)]
+    labels = frame([(i, i % 2) for i in range(60)], f"doc_id long, {label} int")
+    often = rows + [(7, "zz " + "larger text " * (1 + k % 3)) for k in range(500)]
+    sizes = []
+    if module is quality:
+        fit = quality.fit
+        monkeypatch.setattr(quality, "fit", lambda x, y, s: sizes.append(len(y)) or fit(x, y, s))
+    docs = frame(rows, "doc_id long, text string")
+    models = [module.train(frame(r, "doc_id long, text string"), labels) for r in (rows, often)]
+    got = [sorted(module.score(docs, m, keep=["doc_id"]).select("doc_id", "score").collect()) for m in models]
+    assert got[0] == got[1] and sizes in ([], [60, 60])
