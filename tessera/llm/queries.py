@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, decontaminate, languages, mixing, near, pages, quality, sql, substrings, tokens, toxicity
+from tessera.llm import (ann, codes, decontaminate, languages, mixing, near, negatives, pages, products, quality, sql, substrings,
+                         tokens, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,14 +81,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every vector."""
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector moves to the next label."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return products.top_products(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language, op2_mix_sources, op3_inverted_multi_index, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard,
-        op7_token_counts, op8_quality, op9_page_text, op10_toxicity)}
+        op7_token_counts, op8_quality, op9_page_text, op10_toxicity, op11_vector_codes, op12_hard_negatives,
+        op13_top_products)}
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op4_decontaminate": sql.DECONTAMINATE,
     "op5_substring_dedup": sql.SUBSTRINGS,
     "op6_ngram_jaccard": sql.NEAR,
+    "op11_vector_codes": sql.CODES,
+    "op12_hard_negatives": sql.NEGATIVES,
+    "op13_top_products": sql.PRODUCTS,
 }
