@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import decontaminate as D
@@ -83,3 +84,104 @@ def test_suffix_array_is_sorted():
     order = D.suffix_array(ids, end)
     suffixes = [tuple(ids[i:end[i]]) for i in order]
     assert sorted(order) == list(range(len(ids))) and suffixes == sorted(suffixes)
+
+
+def long_text(n, seed=0):
+    rng = np.random.default_rng(seed)
+    return [f"w{v}" for v in rng.integers(0, 5_000_000, n)]
+
+
+def test_long_text_with_planted_passages():
+    """A text of 5 million words: every planted window is found, none else."""
+    text = long_text(5_000_000)
+    items = [[f"p{i}x{j}" for j in range(12)] for i in range(50)]
+    rng = np.random.default_rng(1)
+    for item, place in zip(items, np.sort(rng.choice(5_000_000 // 20, 50, replace=False)) * 20, strict=True):
+        text[place:place + 12] = item
+    shard = D.Shard(D.find_words(pa.array([" ".join(text)]), D.ALNUM, lower=True))
+    test = D.TestSet.of_rows([(i, " ".join(v)) for i, v in enumerate(items)] + [(99, "p0x0 " * 12)], 10)
+    found, lo, hi = shard.ranges(test)
+    assert len(found) == 150 and (hi - lo == 1).all()
+    which, place = shard.places(lo, hi)
+    assert all(text[p] == f"p{test.item[test.begin[found[w]]]}x{(test.begin[found[w]]) % 12}" for w, p in zip(which, place, strict=True))
+    assert sorted(n.tolist() for _, _, n in shard.maximal(test)) == [[12] * 50]
+
+
+def test_suffix_order_of_many_words():
+    rng = np.random.default_rng(2)
+    ids = np.append(rng.integers(1, 1000, 3_000_000), 0)
+    order = D.suffix_array(ids, np.full(len(ids), len(ids) - 1))
+    for i in rng.integers(0, len(ids) - 1, 5000):
+        a, b = order[i], order[i + 1]
+        assert tuple(ids[a:a + 30]) < tuple(ids[b:b + 30])
+
+
+@pytest.mark.parametrize("block", [D.BLOCK_BYTES, 300])
+def test_repeated_words_are_not_paired(frame, block):
+    docs = frame([(1, "again " * 200_000), (2, "again and again " * 5)], "doc_id long, text string")
+    bench = frame([(i, "again " * 2000) for i in range(5)] + [(9, "once " * 20)], "item_id long, text string")
+    got = {r.doc_id: r for r in D.annotate(docs, bench, block_bytes=block).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items, got[1].longest_match) == (200_000, 200_000, 5, 2000)
+    assert not got[2].contaminated and got[2].longest_match == 0
+
+
+def test_maximal_matches_of_one_word_begin_at_an_edge():
+    shard = D.Shard(D.find_words(pa.array(["a " * 50_000]), D.ALNUM, lower=True))
+    test = D.TestSet.of_rows([(0, "a " * 2000)], 10)
+    pairs = [c for c in shard.maximal(test)]
+    n = np.concatenate([c[2] for c in pairs])
+    # one match on every diagonal that holds a window
+    assert len(n) == 50_000 + 2000 - 1 - 2 * 9 and n.max() == 2000 and n.min() == 10
+
+
+def test_matches_equal_brute_force(frame):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abc"), 50)) for _ in range(12)]
+    items = [" ".join(rng.choice(list("abc"), 30)) for _ in range(6)] + ["a b"]
+    want = set()
+    for d, t in enumerate(texts):
+        for i, v in enumerate(items):
+            t_, v_ = t.split(), v.split()
+            width = min(5, len(v_))
+            for p in range(len(t_)):
+                for q in range(len(v_)):
+                    if p and q and t_[p - 1] == v_[q - 1]:
+                        continue
+                    n = 0
+                    while p + n < len(t_) and q + n < len(v_) and t_[p + n] == v_[q + n]:
+                        n += 1
+                    if n >= width:
+                        want.add((d, str(i), p, q, n))
+    docs, bench = frame(list(enumerate(texts)), "doc_id long, text string"), frame(list(enumerate(items)), "item_id long, text string")
+    assert {tuple(r) for r in D.matches(docs, bench, 5).collect()} == want
+    assert {tuple(r) for r in D.matches(docs, bench, 5, block_bytes=200).collect()} == want
+
+
+def test_blocks_give_the_same_rows_and_columns(frame):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice(list("abcd"), 40)), [i], "x", i) for i in range(40)]
+    docs = frame(rows, "doc_id long, text string, spans array<int>, all_spans string, n_words int")
+    bench = frame([(i % 15, " ".join(rng.choice(list("abcd"), 12))) for i in range(20)], "item_id long, text string")
+    one, many = D.annotate(docs, bench, 6), D.annotate(docs, bench, 6, block_bytes=64)
+    assert one.schema == many.schema and {"spans", "all_spans"} <= set(one.columns)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    kept, kept_many = D.remove_contaminated(docs, bench, width=6), D.remove_contaminated(docs, bench, width=6, block_bytes=64)
+    assert kept.columns == kept_many.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, kept_many.collect()))
+
+
+def test_one_block_is_held_at_a_time():
+    class Shipped:
+        read = 0
+
+        @property
+        def value(self):
+            if "_value" not in vars(self):
+                self._value = object()
+                Shipped.read += 1
+            return self._value
+
+    blocks = [Shipped() for _ in range(20)]
+    for _ in D._each(blocks):
+        assert sum("_value" in vars(b) for b in blocks) == 1
+    assert Shipped.read == 20 and not any("_value" in vars(b) for b in blocks)
