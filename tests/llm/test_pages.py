@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -183,3 +184,85 @@ def test_matching_in_halves_is_as_large_as_by_table(monkeypatch):
     by_table = scores()
     monkeypatch.setattr(P, "CELLS", 0)
     assert scores() == by_table
+
+
+def alone(source):
+    return P.main_text(source, None, None, None, P._References())
+
+
+@pytest.mark.parametrize("name", ['class="article-header"', 'class="related work"', 'class="share price"', 'id="ad-hoc"', 'class="widget"',
+                                  'id="menu"', 'class="notice-of-motion"', 'class="footer_notes header"'])
+def test_names_inside_an_article_keep_its_text(name):
+    assert alone(f"<article><div {name}><h1>Title</h1><p>Lead</p></div><p>Body.</p></article>") == "Title\nLead\nBody."
+
+
+@pytest.mark.parametrize("name,marked", [("site-header", True), ("cookie-banner", True), ("nav_list", True), ("reader-comments", True),
+                                         ("article-header", False), ("page-header", False), ("share-price", False), ("ad-hoc", False)])
+def test_compound_names_outside_an_article(name, marked):
+    got = alone(f"<body><div class='{name}'><p>one</p></div><p>two</p></body>")
+    assert got == ("two" if marked else "one\ntwo")
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    ("<p title=it's>First.</p><p>Don't lose.</p><p>Third.</p>", "First.\nDon't lose.\nThird."),
+    ("<p><b class=o'brien>bold</b> and it's text</p><p>x</p>", "bold and it's text\nx"),
+    ('<a href="x"">link</a>', "link"),
+    ('<p class="a>b">t</p><p class="open>u</p><p>v', "t\nu\nv"),
+    ("<p a = 'x>y' b>q</p><p =x=\"y\">z</p>", "q\nz"),
+    ("a < b <1> c <", "a < b <1> c <"),
+    ("<script>x</script foo>after</p>", "after"),
+    ("<p>text<a href='never ends", "text"),
+    ("<p>text</ x> more <!-- open", "text more"),
+])
+def test_tags_are_read_by_attribute_states(source, want):
+    assert alone(source) == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<", "</", "<script>", "</script ", '<a b="', "<a b='x\" ", "<!--", "= ", "<a x = ", "<a \"'", "<p>", "<!["])
+def test_malformed_text_is_read_in_linear_time(piece):
+    begin = time.perf_counter()
+    P.parse("<a" + piece * (200_000 // len(piece)))
+    small = time.perf_counter() - begin
+    begin = time.perf_counter()
+    P.parse("<a" + piece * (1_600_000 // len(piece)))
+    assert time.perf_counter() - begin < max(2.0, 24 * small)
+
+
+def random_article(rng, depth=3):
+    """Markup and the blocks that a reader sees."""
+    out, texts = [], []
+    for _ in range(rng.randrange(1, 5)):
+        words = " ".join(rng.choice(["alpha", "it's", "5 > 4", "q&amp;a", "caf&eacute;", "&#233;t&#xe9;", "x"]) for _ in range(rng.randrange(1, 6)))
+        seen = html.unescape(words)
+        attribute = rng.choice(["", " class=it's", " title='a > b'", ' data-x="<p>"', " id=ad-hoc hidden-x", " =y", ' a="b"c="d"'])
+        kind = rng.randrange(5 if depth else 4)
+        if kind == 0:
+            out.append(f"<p{attribute}>{words}</p>")
+            texts.append(seen)
+        elif kind == 1:
+            out.append(f"<P{attribute}>{words} <b{attribute}>{words}</B><br>\n {words}\n</P>")
+            texts.append(f"{seen} {seen} {seen}")
+        elif kind == 2:
+            out.append(f"<ul{attribute}><li>{words}<li{attribute}>{words}</ul>")
+            texts += [seen, seen]
+        elif kind == 3:
+            out.append(f"<h2{attribute}>{words}</h2><script>if (a<b) '<p>no</p>'</script><!-- <p>no -->")
+            texts.append(seen)
+        else:
+            inner, below = random_article(rng, depth - 1)
+            out.append(f"<div{attribute}>{inner}</div>")
+            texts += below
+    return "".join(out), texts
+
+
+def test_random_articles_are_read_whole():
+    rng = random.Random(11)
+    for _ in range(300):
+        inner, texts = random_article(rng)
+        assert alone(page(f"<article>{inner}</article>")).split("\n") == texts
+
+
+@pytest.mark.parametrize("n", [3, 9, 10])
+def test_a_heading_of_a_short_series_is_content(frame, n):
+    got = texts_of(frame, [(i, f"http://a.example/{i}", plain(f"Text {i} {'x' * (i + 1)}", "Series")) for i in range(n)])
+    assert all(("Series" in got[i]) == (n < P.PAGES) and f"Text {i} {'x' * (i + 1)}" in got[i] for i in range(n))
