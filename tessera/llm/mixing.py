@@ -10,6 +10,8 @@ each partition by the hash gives a global random order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +28,25 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_table(rate: Column) -> Column:
-    """Cumulative Poisson probabilities of 0, 1, ... up to where the rest is below 1e-15."""
-    most = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
-    start = F.struct(F.lit(0.0).alias("log_factorial"), F.lit(0.0).alias("total"), F.array().cast("array<double>").alias("table"))
+def poisson_count(u: Column, rate: Column) -> Column:
+    """The smallest k whose cumulative Poisson probability passes ``u``: terms are added up from
+    where they are above 0 to where the rest is below 1e-15, so it takes about as many steps as
+    it gives copies, and 50 times the root of a large rate."""
+    low = F.floor(rate - 40 * F.sqrt(rate))
+    first = F.when(low >= 256, low).otherwise(0).cast("long")
+    last = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("long")
+    x = first.cast("double")
+    # ln(first!) by Stirling's series
+    log_factorial = F.when(first > 0, x * F.ln(x) - x + 0.5 * F.ln(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x)).otherwise(0.0)
+    start = F.struct((x * F.ln(rate) - rate - log_factorial).alias("log_p"), F.lit(0.0).alias("total"), F.lit(-1).cast("long").alias("n"))
 
     def step(a, k):
-        log_factorial = a["log_factorial"] + F.when(k > 0, F.ln(k.cast("double"))).otherwise(0.0)
-        log_rate = F.when(k > 0, k * F.ln(rate)).otherwise(0.0)
-        total = a["total"] + F.exp(log_rate - rate - log_factorial)
-        return F.struct(log_factorial.alias("log_factorial"), total.alias("total"),
-                        F.concat(a["table"], F.array(total)).alias("table"))
+        # a sum is compared one step later, so that it is computed once
+        return F.struct((a["log_p"] + F.ln(rate) - F.ln((k + 1).cast("double"))).alias("log_p"), (a["total"] + F.exp(a["log_p"])).alias("total"),
+                        (a["n"] + (a["total"] <= u).cast("long")).alias("n"))
 
-    table = F.aggregate(F.sequence(F.lit(0), most), start, step)["table"]
-    return F.when(rate > 0, table).otherwise(F.array(F.lit(1.0)))
+    counted = F.aggregate(F.sequence(first, last), start, step, lambda a: a["n"] + (a["total"] <= u).cast("long"))
+    return F.when(rate > 0, first + counted).otherwise(F.lit(0).cast("long"))
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None, seed: str = SEED,
@@ -57,7 +64,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, budget: float
     an id: its rows get the same count. Rows that repeat an id are replicated alike, one by one.
     A null or negative size counts as 0; a source whose sizes sum to 0 gets nothing.
     """
-    docs = without(docs, ["copy_no", "mix_key", "__table", "__source"])
+    docs = without(docs, ["copy_no", "mix_key", "__rate", "__source", "__u", "__n"])
     mass = F.lit(1.0) if size is None else F.greatest(F.coalesce(column(size).cast("double"), F.lit(0.0)), F.lit(0.0))
     sums = docs.groupBy(column(source).alias("__source")).agg(F.sum(mass).alias("__mass"), F.count(F.lit(1)).alias("__rows"))
     if weights is None:
@@ -73,12 +80,12 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, budget: float
     target = float(total["m"] or 0.0) if budget is None else float(budget)
     rate = (F.when((F.col("__mass") > 0) & F.lit(weight > 0), F.col("__weight") * F.lit(target) / F.lit(weight or 1.0) / F.col("__mass"))
             .otherwise(0.0))
-    rates = sums.select("__source", poisson_table(rate).alias("__table"))
+    rates = sums.select("__source", rate.alias("__rate")).where("__rate > 0")
     rates = F.broadcast(rates) if total["n"] <= BROADCAST_SOURCES else rates
     u = uniform(F.coalesce(column(doc_id).cast("string"), F.lit("")), seed)
     drawn = docs.join(rates, column(source).eqNullSafe(F.col("__source"))).drop("__source")
-    count = F.size(F.filter("__table", lambda c: c <= F.col("__u")))
-    drawn = drawn.withColumn("__u", u).withColumn("__n", count).drop("__table", "__u").where("__n > 0")
+    drawn = drawn.withColumn("__u", u)
+    drawn = drawn.withColumn("__n", poisson_count(F.col("__u"), F.col("__rate")).cast("int")).drop("__rate", "__u").where("__n > 0")
     copies = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(column(doc_id).cast("string"), F.lit("")), F.col("copy_no").cast("string")).cast("binary"))
     return copies.withColumn("mix_key", key).repartition(F.col("mix_key")).sortWithinPartitions("mix_key")
@@ -89,8 +96,8 @@ WITH sums AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
 rates AS (
   SELECT source, (SELECT count(*) FROM documents)::DOUBLE / (SELECT count(*) FROM sums) / docs AS rate FROM sums),
 terms AS (
-  SELECT source, rate, k, exp(k * ln(rate) - rate - coalesce((SELECT sum(ln(j)) FROM range(1, 500) t(j) WHERE j <= k), 0.0)) AS p
-  FROM rates, range(0, 400) g(k) WHERE k <= ceil(rate + 10 * sqrt(rate) + 20)),
+  SELECT source, k, exp(sum(CASE WHEN k > 0 THEN ln(rate) - ln(k) ELSE -rate END) OVER (PARTITION BY source ORDER BY k)) AS p
+  FROM rates, LATERAL unnest(range(0, ceil(rate + 10 * sqrt(rate) + 20)::BIGINT + 1)) g(k)),
 steps AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM terms),
 drawn AS (
   SELECT d.*, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS u

@@ -48,13 +48,35 @@ def test_counts_follow_the_inverse(spark, documents, weights, budget, size):
     assert got.columns == [*documents.columns, "copy_no", "mix_key"]
 
 
-def test_large_rates_and_tails(spark):
-    rates = [1e-9, 0.3, 1.0, 30.0, 700.0, 5000.0]
-    tables = spark.createDataFrame([(r,) for r in rates], "r double").select("r", M.poisson_table(F.col("r")).alias("t")).collect()
-    for r in tables:
-        assert r.t[-1] == pytest.approx(1.0, abs=1e-9)
-        mean = sum(1 - c for c in r.t)
-        assert mean == pytest.approx(r.r, rel=1e-6, abs=1e-9)
+def inverse(u, rate):
+    """Smallest k with CDF(k) > u, terms from their logarithms."""
+    k, total = 0, 0.0
+    while True:
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        if total > u or k > rate + 10 * math.sqrt(rate) + 20:
+            return k
+        k += 1
+
+
+@pytest.mark.parametrize("rate", [1e-9, 0.3, 1.0, 30.0, 700.0, 1650.0, 2300.0, 5000.0, 40_000.0])
+def test_large_rates_and_tails(spark, rate):
+    us = [0.0, 1e-12, 0.001, 0.1, 0.37, 0.5, 0.61, 0.9, 0.9995]
+    df = spark.createDataFrame([(u, rate) for u in us], "u double, r double")
+    got = dict(df.select("u", M.poisson_count(F.col("u"), F.col("r"))).collect())
+    assert got == {u: inverse(u, rate) for u in us}
+
+
+def test_counts_of_a_large_rate_have_its_mean_and_spread(spark):
+    df = spark.range(400).select(((F.col("id") + 0.5) / 400).alias("u"), F.lit(1e6).alias("r"))
+    got = [r[0] for r in df.select(M.poisson_count(F.col("u"), F.col("r"))).collect()]
+    assert sum(got) / 400 == pytest.approx(1e6, abs=10)
+    assert math.sqrt(sum((n - 1e6) ** 2 for n in got) / 400) == pytest.approx(1000, rel=0.02)
+
+
+def test_a_source_of_one_document_among_many(spark):
+    docs = spark.range(1, 200_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, "rare").otherwise("hot").alias("source"))
+    got = dict(M.mix_sources(docs).groupBy("source").count().collect())
+    assert got["rare"] == inverse(uniform(7), 100_000.0) and abs(got["hot"] - 100_000) < 2000
 
 
 def test_weights_are_reached(documents):
