@@ -25,7 +25,8 @@ from tessera.llm.ship import ship
 from tessera.llm.words import add_columns, column, slices
 
 DIMENSIONS, N, MAX_ROWS_PER_LANG, SEED = 1024, 3, 5000, 2024
-BROADCAST_LANGS = 100_000
+#: Prototypes take 8 KB each on the driver and 4 KB in every task.
+MAX_LANGS = 10_000
 
 
 @dataclass
@@ -124,19 +125,22 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
           n: int = N, max_rows_per_lang: int = MAX_ROWS_PER_LANG, seed: int = SEED) -> Profiles:
     """Prototypes of the languages in ``lang``; rows without text or language are left out.
 
-    About ``max_rows_per_lang`` rows of a language, chosen by a hash of ``key``, are used. Each
-    text counts alike, whatever its length.
+    About ``max_rows_per_lang`` rows of a language, chosen by a hash of ``key`` and text, are used,
+    one at least. Each text counts alike, whatever its length. More than ``MAX_LANGS`` different
+    values in ``lang`` are an error: prototypes of all of them are held at once.
     """
     ship(docs.sparkSession)
     rows = docs.select(column(text).alias("text"), column(lang).alias("lang"), column(key).cast("string").alias("key"))
     rows = rows.where("text is not null and lang is not null")
-    counts = checkpointed(rows.groupBy("lang").count())
-    # one row a language: shipped to the texts as long as there are few, so that these are not
-    # shuffled by so skewed a key
-    counts = F.broadcast(counts) if counts.count() <= BROADCAST_LANGS else counts
+    rows = rows.withColumn("hash", F.pmod(F.xxhash64("key", "text", F.lit("sample")), F.lit(1 << 30)))
+    counts = checkpointed(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("hash").alias("least")))
+    n_langs = counts.count()
+    if n_langs > MAX_LANGS:
+        raise ValueError(f"{n_langs} different values in {lang}: more than {MAX_LANGS} languages are not learned")
+    # one row a language: shipped to the texts, so that these are not shuffled by so skewed a key
     share = F.least(F.lit(1.0), F.lit(float(max_rows_per_lang)) / F.col("count"))
-    chosen = (rows.join(counts, "lang")
-              .where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30) < share))
+    chosen = (rows.join(F.broadcast(counts), "lang")
+              .where((F.col("hash") / float(1 << 30) < share) | (F.col("hash") == F.col("least"))))
 
     def bundle(batches):
         encoder, sums = Encoder(dimensions, n, seed), {}

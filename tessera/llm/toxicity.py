@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.graph import checkpointed
 from tessera.llm.ship import ship
 from tessera.llm.words import ALNUM, Words, add_columns, column, find_words, mix, slices
 
@@ -24,8 +25,8 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Settings:
-    """Hash bits, FTRL rates, passes over the sample, the sample's bound in rows, the bytes
-    of word beginnings, and the sample texts that a feature must occur in to be used."""
+    """Hash bits, FTRL rates, passes over the sample, the sample's bounds in rows and in bytes of
+    text, the bytes of word beginnings, and the sample texts that a feature must occur in to be used."""
 
     bits: int = 20
     alpha: float = 0.5
@@ -34,6 +35,7 @@ class Settings:
     l2: float = 1.0
     passes: int = 4
     max_rows: int = 15_000
+    max_bytes: int = 256 << 20
     prefixes: tuple[int, ...] = (4, 5)
     least: int = 5
     seed: int = 11
@@ -132,7 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
           text: str = "text", label: str = "toxic") -> Model:
     """Fit on labelled documents: ``labels`` (doc_id, label 0/1), null ids and labels left out.
 
-    At most about ``settings.max_rows`` labelled documents are used. An id labelled more than
+    At most about ``settings.max_rows`` labelled documents are used, in the order of a hash of
+    their ids until their texts make ``settings.max_bytes``; a text of more than a 64th of that
+    teaches nothing (it is scored as any other). An id labelled more than
     once takes its largest label, and of rows that repeat an id the smallest text is used.
     Without any labelled row every score is 0.5.
     """
@@ -145,6 +149,15 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     rows = source.join(F.broadcast(marked), "__id")
     # so is what is left of repeated ids, reduced in every task first
     rows = rows.groupBy("__id", "__label").agg(F.coalesce(F.min("__text"), F.lit("")).alias("__text"))
+    # ids order the rows of the fit; those that are no numbers by a hash
+    whole = isinstance(rows.schema["__id"].dataType, T.IntegralType)
+    rows = rows.withColumn("__id", F.col("__id").cast("long") if whole else F.xxhash64("__id"))
+    rows = checkpointed(rows.withColumn("__bytes", F.octet_length("__text")).where(F.col("__bytes") <= settings.max_bytes // 64))
+    if (rows.agg(F.sum("__bytes")).first()[0] or 0) > settings.max_bytes:
+        # one window over the sample's ids, which are bounded
+        upto = F.sum("__bytes").over(Window.orderBy(F.xxhash64("__id", F.lit("size")), "__id", "__bytes"))
+        fits = rows.select("__id", "__bytes", upto.alias("__upto")).where(F.col("__upto") <= settings.max_bytes)
+        rows = rows.join(F.broadcast(fits.select("__id").distinct()), "__id", "left_semi")
 
     def extract(batches):
         for batch in batches:
@@ -152,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
                 row, feature = _presence(find_words(_column(part, "__text"), ALNUM, lower=True), settings)
                 offsets = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([_column(part, "__id").cast(pa.int64()), _column(part, "__label"), lists],
+                yield pa.RecordBatch.from_arrays([_column(part, "__id"), _column(part, "__label"), lists],
                                                  names=["id", "label", "features"])
 
     def fit(batches):

@@ -148,3 +148,41 @@ def test_a_repeated_labelled_id_is_one_row_of_the_sample(frame, monkeypatch, mod
     models = [module.train(frame(r, "doc_id long, text string"), labels) for r in (rows, often)]
     got = [sorted(module.score(docs, m, keep=["doc_id"]).select("doc_id", "score").collect()) for m in models]
     assert got[0] == got[1] and sizes in ([], [60, 60])
+
+
+@pytest.mark.parametrize("bound", [1, 30, 100])
+def test_languages_whose_rows_share_an_id_are_learned(frame, bound):
+    words = {"aa": "kalo mira tesu", "bb": "xyrg wlopt zzrk"}
+    for shared in range(4):
+        rows = [(shared, f"{words[lang]} {i} " * 3, lang) for i in range(150) for lang in words]
+        learned = languages.train(frame(rows, "doc_id long, text string, lang string"), max_rows_per_lang=bound)
+        assert learned.langs == ["aa", "bb"]
+    same = frame([(1, words[lang], lang) for _ in range(50) for lang in words], "doc_id long, text string, lang string")
+    assert languages.train(same, max_rows_per_lang=bound).langs == ["aa", "bb"]
+
+
+def test_too_many_languages_are_an_error(frame, monkeypatch):
+    monkeypatch.setattr(languages, "MAX_LANGS", 3)
+    with pytest.raises(ValueError, match="4 different values"):
+        languages.train(frame([(i, "text", f"l{i}") for i in range(4)], "doc_id long, text string, lang string"))
+
+
+def test_toxicity_of_text_ids(frame):
+    rows = [(f"doc-{i}", ("foul vile " if i % 2 else "kind fair ") * 4 + f"w{i % 7}") for i in range(80)]
+    docs = frame(rows, "doc_id string, text string")
+    labels = frame([(r[0], i % 2) for i, r in enumerate(rows)], "doc_id string, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert got == {r[0]: i % 2 for i, r in enumerate(rows)}
+
+
+def test_toxicity_sample_is_bounded_in_bytes(frame):
+    rows = [(i, ("foul vile " if i % 2 else "kind fair ") * 10) for i in range(200)] + [(999, "long " * 1000)]
+    docs = frame(rows, "doc_id long, text string")
+    labels = frame([(r[0], r[0] % 2) for r in rows], "doc_id long, toxic int")
+    settings = toxicity.Settings(max_bytes=64 * 101)
+    bounded = toxicity.train(docs, labels, settings)
+    whole = toxicity.train(docs, labels)
+    # of texts of 100 bytes 64 fit, and the long one is left out; both learn the same features
+    assert 0 < len(bounded.index) <= len(whole.index)
+    scored = {r.doc_id: r.predicted for r in toxicity.score(docs, bounded).collect()}
+    assert all(scored[i] == i % 2 for i in range(200))
