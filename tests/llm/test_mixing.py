@@ -90,7 +90,7 @@ def test_nulls_repeats_empty_and_clashing_names(spark, frame, hard_docs):
     assert dict(got.groupBy("doc_id").count().collect()) == brute([r.asDict() for r in hard_docs.collect()], budget=200)
     assert {r[0] for r in got.select("source").distinct().collect()} == {None, "a", "b"}
     assert M.mix_sources(spark.createDataFrame([], "doc_id long, source string")).count() == 0
-    docs = frame([(1, "a", "x", 4)], "doc_id long, source string, Copy_no string, __table int")
+    docs = frame([(1, "a", "x", 4)], "doc_id long, source string, Copy_no string, __rate int")
     assert M.mix_sources(docs, budget=5).columns == ["doc_id", "source", "copy_no", "mix_key"]
 
 
