@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import (clean_text, flag, in_box, null_unless, pad_code, to_double, to_int,
                                to_long, to_ts, upper_flag)
 from tessera.operators import quality as QL
+from tessera.operators import sketches as SK
 from tessera.operators.clean import audit
 from tessera.operators.fact import integrity
 from tessera.operators.keys import with_ntiles, with_surrogate_key
@@ -587,6 +588,47 @@ def _value_counts(spark, d):
     return QL.value_counts(tpch.silver_lines(spark, d), "location_description", 15)
 
 
+_FREQUENT = (("lineitem", "l_orderkey"), ("lineitem", "l_suppkey"), ("lineitem", "l_linenumber"), ("lineitem", "l_returnflag"),
+             ("events", "event_type"), ("part", "p_brand"))
+
+
+@register("frequent_values", "\nUNION ALL\n".join(f"""
+(SELECT '{c}' AS coluna, {c}::VARCHAR AS valor, count(*) AS contagem,
+        row_number() OVER (ORDER BY count(*) DESC, {c} NULLS FIRST)::INTEGER AS posicao
+ FROM {t} GROUP BY {c} QUALIFY posicao <= 15)""" for t, c in _FREQUENT))
+def _frequent_values(spark, d):
+    """Most frequent values of skewed columns (proved by a sketch) and of keys (grouped)."""
+    out = None
+    for t, c in _FREQUENT:
+        one = SK.frequent_values(tpch.table(spark, d, t), c, 15).withColumn("coluna", F.lit(c))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("value_counts_keys", """
+WITH vc AS (SELECT l_orderkey AS valor, count(*) AS contagem FROM lineitem GROUP BY l_orderkey)
+SELECT valor::VARCHAR AS valor, contagem, row_number() OVER (ORDER BY contagem DESC, valor)::INTEGER AS posicao,
+       (SELECT count(*) FROM vc) AS categorias
+FROM vc QUALIFY posicao <= 15""")
+def _value_counts_keys(spark, d):
+    """A column of as many values as there are orders."""
+    return QL.value_counts(tpch.table(spark, d, "lineitem"), "l_orderkey", 15)
+
+
+@register("profile_sketch", S.line("\nSELECT *, true AS dentro FROM (SELECT * EXCLUDE (distintos) FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS coluna, '{t}' AS tipo, count(*) AS linhas, count(*) - count({c}) AS nulos, "
+    f"CASE WHEN count(*) > 0 THEN round(100.0 * (count(*) - count({c})) / count(*), 2) ELSE 0.0 END AS pct_nulos, 0 AS distintos FROM occ"
+    for c, t in OCC_TYPES) + "))"))
+def _profile_sketch(spark, d):
+    """A sketch stored per yearly load, the stored sketches merged, the estimate held against the count."""
+    occ = tpch.silver_lines(spark, d)
+    path = scratch_path(spark, "sketches")
+    old = F.col("year") < 1998
+    SK.store_sketches(occ.where(old), path, "ate-1997")
+    SK.store_sketches(occ.where(~old | old.isNull()), path, "desde-1998")
+    return SK.sketch_error(spark.read.parquet(path), QL.profile(occ))
+
+
 GUARDS = [("area", "community_area_key"), ("local", "location_key"), ("tipo", "crime_type_key")]
 
 
