@@ -15,7 +15,7 @@ from tessera.functions import (clean_text, flag, in_box, null_unless, pad_code,
                                to_long, to_ts, upper_flag)
 from tessera.operators import quality as QL
 from tessera.operators import sketches as SK
-from tessera.operators.clean import audit
+from tessera.operators.clean import audit, drop_index_column
 from tessera.operators.fact import integrity
 from tessera.operators.keys import with_ntiles, with_surrogate_key
 from tessera.operators.marts import star_join
@@ -24,7 +24,7 @@ from tessera.plans import questions as Q
 from tessera.plans import tpch
 from tessera.plans import tpch_sql as S
 from tessera.sources.catalog import data_dictionary
-from tessera.sources.files import normalize_columns, read_raw_csv, stamp, write_csv
+from tessera.sources.files import malformed, normalize_columns, read_raw_csv, read_split_csv, stamp, write_csv
 from tessera.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -674,6 +674,78 @@ def _csv_many_files(spark, d):
     return read_raw_csv(spark, path, columns=o.columns, multi_line=False)
 
 
+_SPLIT = """
+SELECT o_orderkey::VARCHAR AS o_orderkey,
+       concat('line one of ', o_orderkey, chr(10), 'said "', o_orderpriority, '",', chr(10), chr(10), o_orderstatus) AS note,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus FROM orders"""
+
+
+def _noted_orders(spark, d):
+    """Orders with a text of several lines, quotes and separators."""
+    key, br = F.col("o_orderkey").cast("string"), F.lit("\n")
+    note = F.concat(F.lit("line one of "), key, br, F.lit('said "'), "o_orderpriority", F.lit('",'), br, br, "o_orderstatus")
+    return tpch.table(spark, d, "orders").select(
+        key.alias("o_orderkey"), note.alias("note"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
+
+
+@register("csv_split_multiline", _SPLIT)
+def _csv_split_multiline(spark, d):
+    """One file whose fields hold line breaks, read in byte ranges side by side."""
+    path = scratch_path(spark, "notes-csv")
+    write_csv(_noted_orders(spark, d).coalesce(1), path)
+    return read_split_csv(spark, path)
+
+
+@register("csv_200_files", _SPLIT)
+def _csv_200_files(spark, d):
+    """The same rows as 200 files of two column orders; no job reads their headers."""
+    o = _noted_orders(spark, d)
+    path = scratch_path(spark, "notes-files")
+    odd = F.col("o_orderkey").cast("long") % 2 == 1
+    write_csv(o.where(odd).repartition(100, "o_orderkey"), f"{path}/a")
+    write_csv(o.where(~odd).select("note", "o_orderkey", "o_orderstatus").repartition(100, "o_orderkey"), f"{path}/b")
+    return read_raw_csv(spark, path, columns=o.columns)
+
+
+@register("malformed_records", """
+SELECT way, count(*) AS records, count(*) FILTER (o_orderkey % 11 < 2) AS malformed,
+       count(DISTINCT o_orderkey) FILTER (o_orderkey % 11 >= 2) AS whole_orders
+FROM orders, (VALUES ('split'), ('whole')) t(way) GROUP BY way""")
+def _malformed_records(spark, d):
+    """Landed lines with too few or too many fields are marked and counted by both readers."""
+    key = F.col("o_orderkey").cast("string")
+    k = F.col("o_orderkey") % 11
+    text = F.when(k == 0, key).when(k == 1, F.concat_ws(",", key, "o_orderstatus", F.lit("x"), F.lit("y"))).otherwise(
+        F.concat_ws(",", key, "o_orderstatus"))
+    path = scratch_path(spark, "orders-lines")
+    lines = tpch.table(spark, d, "orders").select(text.alias("value")).repartition(3, "value")
+    header = spark.createDataFrame([("key,status",)], "value string")
+    for i in range(3):  # three files, each with its header first
+        part = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == i)
+        header.withColumn("n", F.lit(0)).unionByName(part.withColumn("n", F.lit(1))).coalesce(1).sortWithinPartitions(
+            "n").select("value").write.text(f"{path}/f{i}")
+    out = None
+    for way, reader in (("split", read_split_csv), ("whole", read_raw_csv)):
+        found = reader(spark, path, corrupt="raw_record").checkpoint()
+        whole = found.where(F.col("raw_record").isNull()).agg(F.countDistinct("key").alias("whole_orders"))
+        one = malformed(found, "raw_record").crossJoin(whole).select(F.lit(way).alias("way"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("indexed_file", "WITH" + S.CODE_LIST + "\nSELECT * FROM code_list")
+def _indexed_file(spark, d):
+    """A code list landed with a first column of row numbers without a name, cleaned without it."""
+    codes = tpch.codes_raw(spark, d)
+    path = scratch_path(spark, "codes-csv")
+    indexed = codes.withColumn("n", F.monotonically_increasing_id().cast("string")).select(F.col("n").alias(" "), *codes.columns)
+    write_csv(indexed, path)
+    landed = normalize_columns(read_raw_csv(spark, path))
+    if landed.columns[0] != "_c0" or drop_index_column(landed).columns != codes.columns:
+        raise ValueError(f"the index column was not recognised in {landed.columns}")
+    return C.clean_iucr(drop_index_column(landed))
+
+
 @register("normalize_columns", """
 SELECT n_nationkey, n_name, n_regionkey AS n_region_key FROM nation""")
 def _normalize(spark, d):

@@ -11,12 +11,13 @@ the target, not to the application: a later application goes on where the last o
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.sources.files import headers, normalize_name
+from tessera.sources.files import _files, headers, normalize_name
 
 
 def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, source: str, *,
@@ -27,16 +28,19 @@ def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, sour
 
     Columns are all strings named by :func:`normalize_name` (from ``columns`` or the header
     of the landed files); ``_ingested_at`` is the micro-batch time and ``_source`` the given
-    label. ``checkpoint`` defaults to ``<target_path>.checkpoint``, next to the target. A
-    stream reads all files by one header, so a landed file with another one is an error.
+    label. ``checkpoint`` defaults to ``<target_path>.checkpoint``, next to the target. The names
+    are ``columns``, or the header of the first landed file. Every file is compared with them as
+    it is read, so also one that lands during the run: another header fails its batch, of
+    which nothing is added. Headers of files that were ingested before are not read again.
     """
-    found = headers(spark, f"{landing_dir.rstrip('/')}/{pattern}")
-    names = columns or next(iter(found.values()), [])
-    for file, have in found.items():
-        if have != names:
-            raise ValueError(f"{file} has the columns {have}, not {names}")
-    schema = T.StructType([T.StructField(f"_col{i}", T.StringType()) for i in range(len(names))])
-    reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
+    names = columns
+    if names is None:
+        listed = _files(spark, f"{landing_dir.rstrip('/')}/{pattern}")
+        names = next((h for f in listed for h in headers(spark, landing_dir, files=[f]).values()), [])
+    # an empty header cell has no name that could be compared
+    compared = not any(n.startswith("_c") and n[2:].isdigit() for n in names)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("enforceSchema", not compared)
               .option("escape", '"').option("pathGlobFilter", pattern))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -47,5 +51,12 @@ def ingest_landing(spark: SparkSession, landing_dir: str, target_path: str, sour
     q = (out.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start(target_path))
     if wait:
-        q.awaitTermination()
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as failed:
+            # tell which file has another header, if that is the reason
+            for file, have in headers(spark, f"{landing_dir.rstrip('/')}/{pattern}").items():
+                if have != names:
+                    raise ValueError(f"{file} has the columns {have}, not {names}") from failed
+            raise
     return q

@@ -81,3 +81,30 @@ def test_landed_file_with_another_header_is_an_error(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Block,ID,Case Number\nB ST,2,HX2\n")
     with pytest.raises(ValueError, match="b.csv"):
         ingest_landing(spark, str(tmp_path), str(tmp_path / "t"), "test")
+
+
+def test_a_file_of_another_header_that_lands_later_adds_nothing(spark, tmp_path):
+    import pytest
+    landing, target = tmp_path / "l", str(tmp_path / "t")
+    landing.mkdir()
+    _write(landing / "a.csv", [["1", "HX1", "A ST"]])
+    ingest_landing(spark, str(landing), target, "test")
+    (landing / "b.csv").write_text("Block,ID,Case Number\nB ST,2,HX2\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        ingest_landing(spark, str(landing), target, "test")
+    assert spark.read.parquet(target).count() == 1
+    _write(landing / "b.csv", [["2", "HX2", "B ST"]])
+    ingest_landing(spark, str(landing), target, "test")
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["1", "2"]
+
+
+def test_headers_of_ingested_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    from tessera.streaming import ingest
+    read = []
+    plain = ingest.headers
+    monkeypatch.setattr(ingest, "headers", lambda *a, **k: read.append(k.get("files")) or plain(*a, **k))
+    for i in range(5):
+        _write(tmp_path / f"{i}.csv", [[str(i), "HX", "A ST"]])
+        ingest_landing(spark, str(tmp_path), str(tmp_path / "t"), "test")
+    assert all(f is not None and len(f) == 1 for f in read)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
