@@ -17,6 +17,10 @@ from tessera.functions.dates import date_key
 BROADCAST_MAX_BYTES = 64 << 20
 
 
+# Share of the rows from which a value is hot: a shuffle partition of its own.
+HOT_SHARE = 0.005
+
+
 _SIZES: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
 
 
@@ -68,15 +72,36 @@ def broadcast_checked(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
     return F.broadcast(dim) if fits_broadcast(basis if basis is not None else dim, max_bytes) else dim
 
 
+def hot_values(df: DataFrame, col: str, share: float = HOT_SHARE) -> list:
+    """Values of ``col`` that hold at least about ``share`` of the rows: one aggregate, and at
+    most ``2 / share`` values, whatever the data."""
+    most = int(2 / share)
+    one = df.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{col}`, {most}, {max(10_000, 10 * most)})").alias("top")).first()
+    return [i["item"] for i in one["top"] if i["item"] is not None and i["count"] >= share * one["n"]]
+
+
 def lookup_key(df: DataFrame, dim: DataFrame, natural: str, key: str, unknown: int = -1,
-               broadcast: bool = True, basis: DataFrame | None = None) -> DataFrame:
+               broadcast: bool = True, basis: DataFrame | None = None,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Add ``key`` by a left join of ``df`` to ``dim`` on ``natural``; no match (and any null
     natural value) -> ``unknown``. ``dim`` must be unique on ``natural`` and must not hold the
-    unknown member (a real value equal to its label would otherwise double facts)."""
+    unknown member (a real value equal to its label would otherwise double facts).
+
+    A dimension that is not known to take at most ``max_bytes`` is joined in two parts: rows
+    without a value or with a hot one (:func:`hot_values`) look it up in the few dimension rows
+    of those, which are broadcast; only the others, none of which is frequent, are shuffled.
+    """
     side = dim.select(natural, key)
-    side = broadcast_checked(side, basis=basis if basis is not None else dim) if broadcast else side
-    return (df.join(side, natural, "left")
-            .withColumn(key, F.coalesce(F.col(key), F.lit(unknown)).cast("int")))
+    if not broadcast:
+        joined = df.join(side, natural, "left")
+    elif fits_broadcast(basis if basis is not None else dim, max_bytes):
+        joined = df.join(F.broadcast(side), natural, "left")
+    else:
+        hot = hot_values(df, natural)
+        is_hot = F.col(natural).isNull() | F.col(natural).isin(hot) if hot else F.col(natural).isNull()
+        few = df.where(is_hot).join(F.broadcast(side.where(F.col(natural).isin(hot) if hot else F.lit(False))), natural, "left")
+        joined = few.unionByName(df.where(~is_hot).join(side, natural, "left"))
+    return joined.withColumn(key, F.coalesce(F.col(key), F.lit(unknown)).cast("int"))
 
 
 def known(dim: DataFrame, key: str, unknown: int = -1) -> DataFrame:
@@ -91,15 +116,17 @@ FACT_COLUMNS = ["id", "date_key", "time_key", "crime_type_key", "community_area_
 
 def build_fact(occ: DataFrame, *, type_dim: DataFrame, location_dim: DataFrame,
                area_dim: DataFrame, ts: str = "occurred_at", unknown: int = -1,
-               columns: Mapping[str, Column | str] | None = None) -> DataFrame:
+               columns: Mapping[str, Column | str] | None = None,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Fact rows, one per occurrence: date and time keys from the timestamp (no join), type
-    and location keys looked up (broadcast, size-checked), area key = the area when it is a
-    member of the area dimension, else ``unknown``. No shuffle of the fact."""
+    and location keys looked up, area key = the area when it is a member of the area dimension,
+    else ``unknown``. No shuffle of the fact while the dimensions are known to take at most
+    ``max_bytes``; beyond it, none of hot keys (:func:`lookup_key`)."""
     out = occ.withColumns({"date_key": date_key(F.col(ts)), "time_key": F.hour(F.col(ts))})
     out = lookup_key(out, known(type_dim, "crime_type_key", unknown), "iucr", "crime_type_key",
-                     unknown, basis=type_dim)
+                     unknown, basis=type_dim, max_bytes=max_bytes)
     out = lookup_key(out, known(location_dim, "location_key", unknown), "location_description",
-                     "location_key", unknown, basis=location_dim)
+                     "location_key", unknown, basis=location_dim, max_bytes=max_bytes)
     areas = known(area_dim, "community_area_key", unknown).select(
         F.col("community_area").alias("_area"), F.col("community_area_key").alias("_ak"))
     out = (out.join(broadcast_checked(areas, basis=area_dim), out["community_area"] == F.col("_area"), "left")

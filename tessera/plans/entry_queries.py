@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 
 from tessera.functions import (clean_text, flag, in_box, null_unless, pad_code, to_double, to_int,
                                to_long, to_ts, upper_flag)
+from tessera.operators import increment as IN
 from tessera.operators import quality as QL
 from tessera.operators import sketches as SK
-from tessera.operators.clean import audit, drop_index_column
-from tessera.operators.fact import integrity
+from tessera.operators.clean import audit, drop_index_column, drop_rows, null_columns, survivors_of
+from tessera.operators.dims import place_dim, type_dim
+from tessera.operators.fact import build_fact, integrity, measured
 from tessera.operators.keys import with_ntiles, with_surrogate_key
 from tessera.operators.marts import star_join
 from tessera.plans import crimes as C
 from tessera.plans import questions as Q
 from tessera.plans import tpch
 from tessera.plans import tpch_sql as S
-from tessera.sources.catalog import data_dictionary
+from tessera.sources.catalog import data_dictionary, ensure_layers, list_tables, save, save_partitions, table_comment
 from tessera.sources.files import malformed, normalize_columns, read_raw_csv, read_split_csv, stamp, write_csv
 from tessera.session import scratch_path
 
@@ -651,6 +653,158 @@ def _quality_report(spark, d):
     return QL.quality_report({"fact": s.fact, "socio_raw": tpch.indicators_raw(spark, d)}, checks, [extra])
 
 
+# ---- joins above the broadcast bound, bucketed tables ------------------------------------------
+
+@register("fact_build_skewed", S.line("\nSELECT * FROM fact"))
+def _fact_skewed(spark, d):
+    """The fact against dimensions taken as too large to broadcast: hot keys looked up apart."""
+    s = line(spark, d)
+    return build_fact(tpch.silver_lines(spark, d), type_dim=s.dim_type, location_dim=s.dim_location, area_dim=s.dim_area,
+                      max_bytes=0)
+
+
+def _layer(spark, kind: str) -> str:
+    """A new schema in the shared folder."""
+    path = scratch_path(spark, kind)
+    return ensure_layers(spark, [f"{kind}_{path[-12:]}"], location=path)[0]
+
+
+@register("bucketed_integrity", ORACLE["star_integrity"])
+def _bucketed_integrity(spark, d):
+    """The star's checks over a fact written in buckets of its grain: no exchange of the fact."""
+    s = line(spark, d)
+    name = save(s.fact, f"{_layer(spark, 'bucketed')}.fact_crime", bucket_by=(8, ["id"]))
+    return integrity(spark.table(name), _fks(s, stale=False))
+
+
+@register("bucketed_dup_keys", ORACLE["dup_keys"])
+def _bucketed_dup_keys(spark, d):
+    name = save(tpch.table(spark, d, "lineitem"), f"{_layer(spark, 'bucketed')}.lines", bucket_by=(8, tpch.LINE_KEYS))
+    return QL.duplicate_keys(spark.table(name), tpch.LINE_KEYS)
+
+
+# ---- increments ----------------------------------------------------------------------------------
+
+def _two_loads(spark, d):
+    """Typed rows of two loads that hold every landed row once: orders that are only in the base,
+    that the increment brings a newer or an older version of, and that are new in it."""
+    raw = tpch.crimes_raw(spark, d)
+    order = F.floor(F.regexp_extract("case_number", "([0-9]+)", 1).cast("long") / 10)
+    again = F.col("case_number").startswith("again")
+    base = F.when(again, order % 3 == 0).otherwise(order % 3 != 1)
+    return C.typed_crimes(raw.where(base), _CFG), C.typed_crimes(raw.where(~base), _CFG)
+
+
+def _merged(spark, d):
+    base, increment = _two_loads(spark, d)
+    spec = C.crimes_spec(_CFG)
+    before = survivors_of(base, spec).checkpoint()
+
+    def kept(rows):
+        return null_columns(drop_rows(rows, spec.post), spec).select(*C.SILVER_CRIMES)
+    return before, IN.merge_versions(before, increment, spec), kept
+
+
+@register("mart_increment", "WITH" + CRIMES + """
+SELECT year, primary_type, count(*) AS total, count(*) FILTER (arrest)::BIGINT AS prisoes FROM kept GROUP BY ALL""")
+def _mart_increment(spark, d):
+    """A mart of the base load, kept up to date by the increment alone, equals the mart of both."""
+    before, merged, kept = _merged(spark, d)
+    by, sums = ["year", "primary_type"], {"prisoes": F.col("arrest").cast("int")}
+    mart = IN.additive(kept(before), by, sums).checkpoint()
+    return IN.maintain(mart, kept(merged.old), kept(merged.new), by, sums).withColumnRenamed("n", "total")
+
+
+@register("fact_increment", "WITH" + CRIMES + "," + S.INDICATORS + """
+SELECT id, 10000 * year(occurred_at)::INTEGER + 100 * month(occurred_at)::INTEGER + day(occurred_at)::INTEGER AS date_key,
+       coalesce(iucr, 'XXXX') AS iucr, CASE WHEN trim(location_description) <> '' THEN trim(location_description) ELSE 'DESCONHECIDO' END
+         AS location_description, coalesce(a.community_area, -1) AS community_area_key, arrest AS is_arrest,
+       if(inside, latitude, NULL) AS latitude
+FROM boxed LEFT JOIN areas a USING (community_area)""")
+def _fact_increment(spark, d):
+    """Facts of the base load with those of touched ids replaced, dimensions extended by new members."""
+    before, merged, kept = _merged(spark, d)
+    socio = tpch.clean_indicators(tpch.indicators_raw(spark, d))
+    codes = C.clean_iucr(tpch.codes_raw(spark, d))
+    base = C.gold(spark, kept(before), socio, codes)
+    dims = {n: measured(f.checkpoint()) for n, f in (("type", base.dim_type), ("place", base.dim_location), ("area", base.dim_area))}
+    fact = build_fact(kept(before), type_dim=dims["type"], location_dim=dims["place"], area_dim=dims["area"]).checkpoint()
+    new = kept(merged.new)
+    types = measured(IN.extend_dim(dims["type"], type_dim(new, codes), "iucr", "crime_type_key").checkpoint())
+    places = measured(IN.extend_dim(dims["place"], place_dim(new), "location_description", "location_key").checkpoint())
+    merged_fact = IN.replace_facts(fact, merged.old, build_fact(new, type_dim=types, location_dim=places, area_dim=dims["area"]))
+    out = merged_fact.join(F.broadcast(types.select("crime_type_key", "iucr")), "crime_type_key")
+    out = out.join(F.broadcast(places), "location_key")
+    return out.select("id", "date_key", "iucr", "location_description", "community_area_key", "is_arrest", "latitude")
+
+
+# ---- catalog and the whole run -------------------------------------------------------------------
+
+@register("catalog_roundtrip", """
+WITH t AS (SELECT o_orderkey, o_orderstatus, o_custkey * if(o_orderstatus = 'F', 3, 1) AS v FROM orders)
+SELECT 'replaced partition' AS passo, 'pedidos' AS tabela, 'o_orderkey,v,o_orderstatus' AS colunas, count(*) AS linhas, sum(v)::BIGINT AS soma,
+       'orders by status' AS comentario FROM t
+UNION ALL SELECT 'replaced schema', 'clientes', 'o_custkey,n', count(*), sum(n)::BIGINT, 'orders of a customer'
+FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+UNION ALL SELECT 'listed', 'clientes,pedidos', '', 2, 0, 'round trip'""")
+def _catalog_roundtrip(spark, d):
+    """Layers, tables and comments written to the session catalog and read back from it: one
+    partition replaced, another table replaced with another schema."""
+    path = scratch_path(spark, "roundtrip")
+    layer = f"roundtrip_{path[-12:]}"
+    ensure_layers(spark, [layer], {layer: "round trip"}, location=path)
+    ensure_layers(spark, [layer])  # again: nothing changes
+    o = tpch.table(spark, d, "orders")
+    first = o.select("o_orderkey", F.col("o_custkey").alias("v"), "o_orderstatus")
+    orders = save(first, f"{layer}.pedidos", partition_by=["o_orderstatus"], comments={"table": "orders by status", "columns": {"v": "a value"}})
+    save_partitions(o.where("o_orderstatus = 'F'").select("o_orderstatus", (F.col("o_custkey") * 3).alias("v"), "o_orderkey"), orders)
+    customers = save(o.select("o_orderkey", "o_orderpriority"), f"{layer}.clientes")
+    save(o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")), customers, comments={"table": "orders of a customer"})
+    out = None
+    for step, name, column in (("replaced partition", orders, "v"), ("replaced schema", customers, "n")):
+        t = spark.table(name)
+        one = t.agg(F.count(F.lit(1)).alias("linhas"), F.sum(column).cast("long").alias("soma")).select(
+            F.lit(step).alias("passo"), F.lit(name.split(".")[1]).alias("tabela"), F.lit(",".join(t.columns)).alias("colunas"), "linhas", "soma",
+            F.lit(table_comment(spark, name)).alias("comentario"))
+        out = one if out is None else out.unionByName(one)
+    listed = sorted(r["tableName"] for r in list_tables(spark, layer).collect())
+    told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE SCHEMA {layer}").collect()}
+    return out.unionByName(spark.createDataFrame([("listed", ",".join(listed), "", len(listed), 0, told.get("Comment"))],
+                                                 "passo string, tabela string, colunas string, linhas long, soma long, comentario string"))
+
+
+_BUILT = {
+    "bronze.crimes": "SELECT count(*) FROM landed", "bronze.socioeconomic": "SELECT count(*) FROM landed_areas",
+    "bronze.iucr_codes": "SELECT count(*) FROM part", "silver.crimes": "SELECT count(*) FROM kept",
+    "silver.crimes_checked": "SELECT count(*) FROM last_of", "silver.socioeconomic": "SELECT count(*) FROM areas",
+    "silver.iucr_codes": "SELECT count(*) FROM code_list", "gold.fact_crime": "SELECT count(*) FROM kept",
+    "gold.dim_crime_type": "SELECT count(DISTINCT iucr) + 1 FROM kept",
+    "gold.dim_location": "SELECT count(DISTINCT location_description) FILTER (location_description <> '') + 1 FROM kept",
+    "gold.dim_community_area": "SELECT count(*) + 1 FROM areas", "gold.dim_date": "SELECT count(DISTINCT occurred_at::DATE) FROM kept",
+    "gold.dim_time": "SELECT 24", "gold.mart_bq2": "SELECT count(DISTINCT domestic) FROM kept",
+    "gold.mart_bq4": f"SELECT count(DISTINCT year) FROM kept WHERE year < {_YEARS[1]}",
+    "gold.data_quality_report": "SELECT 17"}
+
+
+@register("build_run", "WITH" + CRIMES + "," + S.INDICATORS + "," + S.CODE_LIST + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS tabela, ({q})::BIGINT AS linhas, true AS comentada" for t, q in _BUILT.items()))
+def _build_run(spark, d):
+    """The whole run from landed files to the written, commented layers, in buckets of the id."""
+    path = scratch_path(spark, "build")
+    landing = {n: write_csv(df, f"{path}/landing/{n}") for n, df in {
+        "crimes": tpch.crimes_raw(spark, d), "iucr_codes": tpch.codes_raw(spark, d),
+        "socioeconomic": tpch.indicators_raw(spark, d).select(*[F.col(k).alias(v) for k, v in C.SOCIO.items()])}.items()}
+    layers = tuple(f"{layer}_{path[-12:]}" for layer in ("bronze", "silver", "gold"))
+    C.build(spark, landing, C.Config(year_window=_YEARS, layers=layers, location=path, buckets=4))
+    out = None
+    for t in _BUILT:
+        layer, name = t.split(".")
+        full = f"{layer}_{path[-12:]}.{name}"
+        one = spark.table(full).agg(F.count(F.lit(1)).alias("linhas")).select(
+            F.lit(t).alias("tabela"), "linhas", F.lit(bool(table_comment(spark, full))).alias("comentada"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
 # ---- sources and catalog -----------------------------------------------------------------------
 
 @register("csv_roundtrip", """
