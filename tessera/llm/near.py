@@ -6,9 +6,11 @@
 2. Band hashes are shuffled; buckets with one class are dropped.
 3. Buckets of up to ``small`` classes give candidate pairs, distinct over the bands, with
    sizes that allow the threshold. Their full sets are joined and the similarity computed.
-4. Larger buckets are never expanded into pairs: members are dealt into blocks, each pair of
-   blocks is one group of at most ``2 * block`` sets, and a matrix product counts what all
-   its pairs share. A pair in several large buckets counts in the first one only. A group
+4. Larger buckets are never expanded into pairs: members are dealt into blocks by the size of
+   their sets. Sets whose sizes differ by more than the threshold cannot be linked, so a block
+   meets only those of its own and the next size band; a block is bounded in members and in
+   bytes. Each such pair of blocks is one group, and a matrix product counts what all its
+   pairs share. A pair in several large buckets counts in the first one only. A group
    returns one row per member (its links and the smallest class it hangs together with).
 5. Links give the number of links of every document and, by star contraction, its component.
 """
@@ -29,6 +31,8 @@ from tessera.llm.words import ALNUM, Sequences, Words, add_columns, column, find
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SMALL, BLOCK = 64, 512
+#: Grams of a block take at most so many bytes (one larger set is a block of its own).
+BLOCK_BYTES = 16 << 20
 _U = np.uint64
 _ODD = _U(0x9FB21C651E98DF25)
 
@@ -166,6 +170,31 @@ def _block_links(frame: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"doc": doc[linked], "n": (link @ copies)[linked], "root": root[linked]})
 
 
+def block_pairs(large: DataFrame, threshold: float, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc, bucket, block, i, j): the groups (bucket, i, j) in which a member of a large bucket is
+    compared; i and j are blocks, ``block`` its own. ``large`` has (doc, bucket, size)."""
+    # sizes that allow the threshold differ by one band at most, against rounding too
+    band = F.col("size") if threshold >= 1 else F.floor(F.ln(F.col("size").cast("double")) / (math.log(1 / threshold) * (1 + 1e-9)))
+    banded = large.select("doc", "bucket", "size", band.cast("long").alias("band"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("size") * 8 / block_bytes))
+    # a few dozen bands a bucket
+    per = (banded.groupBy("bucket", "band").agg(blocks.cast("long").alias("blocks")).groupBy("bucket")
+           .agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks")))
+    here = F.col("band")
+
+    def number(of):
+        return F.coalesce(F.try_element_at("blocks", of), F.lit(0).cast("long"))
+
+    def codes(of):
+        none = F.array().cast("array<long>")
+        return F.when(number(of) > 0, F.transform(F.sequence(F.lit(0).cast("long"), number(of) - 1), lambda b: of * (1 << 24) + b)).otherwise(none)
+
+    own = here * (1 << 24) + F.pmod(F.xxhash64("doc"), number(here))
+    others = codes(here) if threshold >= 1 else F.concat(codes(here - 1), codes(here), codes(here + 1))
+    dealt = banded.join(per, "bucket").select("doc", "bucket", own.alias("block"), F.explode(others).alias("other"))
+    return dealt.select("doc", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def links(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
           doc_id: str = "doc_id", text: str = "text", small: int = SMALL, block: int = BLOCK):
     """(members, per_class, edges): documents with their class, links of classes, and edges that span them.
@@ -218,10 +247,7 @@ def links(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall:
     edges = verified.select("a", "b")
 
     if not large.isEmpty():
-        n_blocks = F.ceil(F.col("members") / block).cast("int")
-        mine = F.pmod(F.xxhash64("doc"), n_blocks).cast("int")
-        dealt = large.select("doc", "bucket", mine.alias("block"), F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
-        dealt = dealt.select("doc", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        dealt = block_pairs(large, threshold, block)
         full = dealt.join(sets, "doc")
         found = checkpointed(full.groupBy("bucket", "i", "j").applyInArrow(
             lambda frame: _block_links(frame, threshold), "doc long, n long, root long"))

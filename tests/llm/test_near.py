@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import numpy as np
@@ -112,3 +113,70 @@ def test_one_row_of_an_id_is_taken_in_every_task_before_the_shuffle(frame):
     kept = N.keep_one(docs, repeats=False)
     assert kept.collect() == [(1, f"same {'words ' * 9}", 0)]
     assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def groups(large, **options):
+    """Members of each block within each group."""
+    found = N.block_pairs(large, 0.8, **options).groupBy("bucket", "i", "j", "block").count().collect()
+    out = {}
+    for r in found:
+        out.setdefault((r.bucket, r.i, r.j), {})[r.block] = r["count"]
+    return out
+
+
+def compared(found):
+    return sum(n[i] * (n[i] - 1) // 2 if i == j else n.get(i, 0) * n.get(j, 0) for (_, i, j), n in found.items())
+
+
+def test_large_bucket_of_mixed_sizes_compares_a_fraction_of_its_pairs(spark):
+    # sizes from 20 to 20,000, evenly over their logarithm
+    size = F.floor(20 * F.pow(F.lit(1000.0), F.col("id") / 20_000)).cast("long")
+    large = spark.range(20_000).select(F.col("id").alias("doc"), F.lit(7).cast("long").alias("bucket"), size.alias("size"))
+    found = groups(large)
+    assert compared(found) < 0.1 * 20_000 * 19_999 / 2
+    assert max(max(n.values()) for n in found.values()) < 2 * N.BLOCK
+    # every pair whose sizes allow the threshold is compared once
+    sizes = sorted((r.doc, r.size) for r in large.where("doc % 400 = 0").collect())
+    at = {}
+    for r in N.block_pairs(large, 0.8).where("doc % 400 = 0").collect():
+        at.setdefault(r.doc, (r.block, set()))[1].add((r.i, r.j))
+    for k, (a, x) in enumerate(sizes):
+        for b, y in sizes[k + 1:]:
+            both = {g for g in at[a][1] & at[b][1] if set(g) == {at[a][0], at[b][0]}}
+            assert len(both) <= 1 and (both or min(x, y) < 0.8 * max(x, y))
+
+
+def test_blocks_are_bounded_in_bytes(spark):
+    large = spark.range(400).select(F.col("id").alias("doc"), F.lit(1).cast("long").alias("bucket"), F.lit(100_000).cast("long").alias("size"))
+    most = max(max(n.values()) for n in groups(large, block_bytes=8 << 20).values())
+    assert most * 100_000 * 8 < 3 * (8 << 20)
+
+
+@pytest.mark.parametrize("ratio", [(4, 5), (8, 10), (80, 100), (12, 15), (400, 500), (1, 1), (799, 1000)])
+def test_sizes_at_the_threshold_share_a_group(spark, ratio):
+    large = spark.createDataFrame([(i, 1, s) for i, s in enumerate(ratio)], "doc long, bucket long, size long")
+    met = [n for n in groups(large).values() if sum(n.values()) == 2]
+    assert len(met) == 1 or ratio == (799, 1000)
+
+
+@pytest.mark.parametrize("block", [5, 512])
+def test_mixed_sizes_in_large_buckets_equal_brute_force(frame, block):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(90):
+        words = base[:rng.choice([30, 36, 44, 60, 75, 200, 250, 390])]
+        if i % 3:
+            words = [w if rng.random() > 0.02 else "z" for w in words]
+        rows.append((i, " ".join(words)))
+    df = frame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in N.near_duplicates(df, small=3, block=block).collect()}
+    grams = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    links = {i: [j for j in grams if j != i and len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])] for i in grams}
+    root = {i: i for i in grams}
+    while True:
+        new = {i: min([root[i]] + [root[j] for j in links[i]]) for i in grams}
+        if new == root:
+            break
+        root = new
+    assert got == {i: (root[i], len(links[i])) for i in grams}
