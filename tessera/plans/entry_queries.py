@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import (clean_text, flag, in_box, null_unless, pad_code, to_double, to_int,
@@ -20,7 +20,7 @@ from tessera.operators.clean import audit, drop_index_column, drop_rows, null_co
 from tessera.operators.dims import place_dim, type_dim
 from tessera.operators.fact import build_fact, integrity, measured
 from tessera.operators.keys import with_ntiles, with_surrogate_key
-from tessera.operators.marts import star_join
+from tessera.operators.marts import preview, star_join
 from tessera.plans import crimes as C
 from tessera.plans import questions as Q
 from tessera.plans import tpch
@@ -507,7 +507,7 @@ def _audit_sql(table: str, counts: list[tuple[str, str, str]], start: str) -> st
         FROM (VALUES (0, 'input', {start}, NULL::BIGINT), {values}) t(step_order, step, n, flagged)))"""
 
 
-@register("crimes_audit", "WITH" + CRIMES + "\nSELECT * FROM " + _audit_sql("crimes", [
+_CRIMES_AUDIT = "SELECT * FROM " + _audit_sql("crimes", [
     ("id nulo ou malformado", "", "(SELECT count(id) FROM landed)"),
     ("duplicidade de id", "", "(SELECT count(DISTINCT id) FROM landed)"),
     ("data nula ou malformada", "", "(SELECT count(occurred_at) FROM last_of)"),
@@ -515,7 +515,10 @@ def _audit_sql(table: str, counts: list[tuple[str, str, str]], start: str) -> st
     ("coordenadas ausentes", "flag", "(SELECT count(*) FILTER (latitude IS NULL OR longitude IS NULL) FROM boxed)"),
     ("coordenadas (0,0)", "flag", "(SELECT count(*) FILTER (latitude = 0 AND longitude = 0) FROM boxed)"),
     ("coordenadas fora da caixa", "flag", "(SELECT count(*) FILTER (NOT inside AND latitude <> 0) FROM boxed)")],
-    "(SELECT count(*) FROM landed)"))
+    "(SELECT count(*) FROM landed)")
+
+
+@register("crimes_audit", "WITH" + CRIMES + "\n" + _CRIMES_AUDIT)
 def _crimes_audit(spark, d):
     return audit(C.typed_crimes(tpch.crimes_raw(spark, d), _CFG), C.crimes_spec(_CFG), C.coordinate_flags(_CFG))
 
@@ -525,13 +528,16 @@ def _clean_iucr(spark, d):
     return C.clean_iucr(tpch.codes_raw(spark, d))
 
 
-@register("reference_audit", "WITH" + S.INDICATORS + "\nSELECT * FROM " + _audit_sql("socioeconomic", [
+_REFERENCE_AUDIT = ("SELECT * FROM " + _audit_sql("socioeconomic", [
     ("linha agregada (area nula)", "", "(SELECT count(*) FROM areas)"),
     ("area repetida", "", "(SELECT count(DISTINCT community_area) FROM areas)")], "(SELECT count(*) FROM landed_areas)")
     + " UNION ALL SELECT * FROM " + _audit_sql("iucr_codes", [
         ("codigo nulo", "", "(SELECT count(*) FROM part WHERE p_brand NOT LIKE '%5')"),
         ("codigo repetido", "", "(SELECT count(DISTINCT p_brand) FROM part WHERE p_brand NOT LIKE '%5')")],
         "(SELECT count(*) FROM part)"))
+
+
+@register("reference_audit", "WITH" + S.INDICATORS + "\n" + _REFERENCE_AUDIT)
 def _reference_audit(spark, d):
     socio = tpch.indicators_raw(spark, d).select(*[F.col(k).cast("string").alias(v) for k, v in C.SOCIO.items()])
     return C.reference_audit(socio, tpch.codes_raw(spark, d))
@@ -549,6 +555,44 @@ def _gold_from_text(spark, d):
     return Q.most_frequent(star_join(star.fact, star.dim_type, "crime_type_key"), "iucr", 10)
 
 
+_REPORT_GUARDS = [("fact_crime", "area fora da dimensao ou ausente", "chave -1 na area",
+                   "(SELECT count(*) FROM kept ANTI JOIN areas USING (community_area))"),
+                  ("fact_crime", "local ausente", "chave -1 no local",
+                   "(SELECT count(*) FROM kept WHERE coalesce(trim(location_description), '') = '')"),
+                  ("fact_crime", "codigo ausente", "chave -1 no tipo", "(SELECT count(*) FROM kept WHERE iucr IS NULL)"),
+                  ("crimes", "codigo IUCR com mais de 4 caracteres", "fica como veio", "(SELECT count(*) FROM kept WHERE length(iucr) > 4)"),
+                  ("crimes", "ids repetidos", "fica a versao mais nova do id",
+                   "(SELECT count(*) FROM (SELECT id FROM landed WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1))")]
+
+
+@register("report_preset", "WITH" + CRIMES + "," + S.INDICATORS + """,
+steps AS (""" + _CRIMES_AUDIT + " UNION ALL " + _REFERENCE_AUDIT + """),
+lines AS (
+  SELECT "table" AS tabela, step AS verificacao, coalesce(flagged, removed)::BIGINT AS linhas_afetadas,
+         if(flagged IS NULL, 'linha sai', 'valor anulado, linha fica') AS tratamento FROM steps WHERE step_order > 0
+  UNION ALL """ + " UNION ALL ".join(f"SELECT '{t}', '{n}', {q}::BIGINT, '{how}'" for t, n, how, q in _REPORT_GUARDS) + """)
+SELECT *, if(linhas_afetadas > 0, 'problema real', 'guarda defensiva') AS natureza FROM lines""")
+def _report_preset(spark, d):
+    """The preset's quality report over the landed text, its audit and its star."""
+    raw = tpch.crimes_raw(spark, d)
+    typed, spec = C.typed_crimes(raw, _CFG), C.crimes_spec(_CFG)
+    socio_raw = tpch.indicators_raw(spark, d).select(*[F.col(k).cast("string").alias(v) for k, v in C.SOCIO.items()])
+    rows = audit(typed, spec, C.coordinate_flags(_CFG)).unionByName(C.reference_audit(socio_raw, tpch.codes_raw(spark, d)))
+    silver = C.clean_crimes(raw, _CFG).checkpoint()
+    star = C.gold(spark, silver, tpch.clean_indicators(tpch.indicators_raw(spark, d)), C.clean_iucr(tpch.codes_raw(spark, d)))
+    return C.report(raw, rows, star, silver)
+
+
+@register("preview", """
+SELECT least(count(*), 5) AS linhas, true AS da_tabela FROM orders""")
+def _preview(spark, d):
+    """A look at a table: its number of rows, all of them rows of the table."""
+    o = tpch.table(spark, d, "orders")
+    some = preview(o, 5).checkpoint()
+    return some.join(o, o.columns, "left_semi").agg(F.count(F.lit(1)).alias("linhas")).crossJoin(
+        some.agg(F.count(F.lit(1)).alias("n"))).select("linhas", (F.col("linhas") == F.col("n")).alias("da_tabela"))
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 OCC_TYPES = [("id", "bigint"), ("case_number", "string"), ("occurred_at", "timestamp_ntz"),
@@ -631,6 +675,25 @@ def _profile_sketch(spark, d):
     return SK.sketch_error(spark.read.parquet(path), QL.profile(occ))
 
 
+_LOADED = ["block", "iucr", "district", "arrest", "ward"]
+
+
+@register("frequent_values_loads", S.line("\n" + "\nUNION ALL ".join(
+    f"(SELECT '{c}' AS coluna, {c}::VARCHAR AS valor, count(*) AS contagem, true AS dentro FROM occ WHERE {c} IS NOT NULL GROUP BY {c} "
+    f"ORDER BY contagem DESC, valor LIMIT 5)" for c in _LOADED)))
+def _frequent_values_loads(spark, d):
+    """Frequent-items sketches stored per yearly load and merged; what they name is counted in one scan."""
+    occ = tpch.silver_lines(spark, d)
+    path = scratch_path(spark, "frequent")
+    for load in range(4):
+        SK.store_sketches(occ.where(F.pmod(F.coalesce("year", F.lit(0)), F.lit(4)) == load), path, f"ano-{load}", _LOADED, tracked=1000)
+    named = SK.sketched_values(spark.read.parquet(path), 60).checkpoint()
+    counted = SK.count_values(occ, named).join(named, ["coluna", "valor"])
+    place = F.row_number().over(Window.partitionBy("coluna").orderBy(F.desc("contagem"), "valor"))
+    within = F.col("estimativa").between(F.col("contagem"), F.col("contagem") + F.col("erro"))
+    return counted.withColumn("p", place).where("p <= 5").select("coluna", "valor", "contagem", within.alias("dentro"))
+
+
 GUARDS = [("area", "community_area_key"), ("local", "location_key"), ("tipo", "crime_type_key")]
 
 
