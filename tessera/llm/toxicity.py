@@ -12,13 +12,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.graph import checkpointed
 from tessera.llm.ship import ship
-from tessera.llm.words import ALNUM, Words, add_columns, column, find_words, mix, slices
+from tessera.llm.words import ALNUM, Words, add_columns, buffers, column, find_words, mix, slices
 
 _U = np.uint64
 
@@ -152,12 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     # ids order the rows of the fit; those that are no numbers by a hash
     whole = isinstance(rows.schema["__id"].dataType, T.IntegralType)
     rows = rows.withColumn("__id", F.col("__id").cast("long") if whole else F.xxhash64("__id"))
-    rows = checkpointed(rows.withColumn("__bytes", F.octet_length("__text")).where(F.col("__bytes") <= settings.max_bytes // 64))
-    if (rows.agg(F.sum("__bytes")).first()[0] or 0) > settings.max_bytes:
-        # one window over the sample's ids, which are bounded
-        upto = F.sum("__bytes").over(Window.orderBy(F.xxhash64("__id", F.lit("size")), "__id", "__bytes"))
-        fits = rows.select("__id", "__bytes", upto.alias("__upto")).where(F.col("__upto") <= settings.max_bytes)
-        rows = rows.join(F.broadcast(fits.select("__id").distinct()), "__id", "left_semi")
+    rows = rows.where(F.octet_length("__text") <= settings.max_bytes // 64)
 
     def extract(batches):
         for batch in batches:
@@ -165,13 +159,20 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
                 row, feature = _presence(find_words(_column(part, "__text"), ALNUM, lower=True), settings)
                 offsets = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([_column(part, "__id"), _column(part, "__label"), lists],
-                                                 names=["id", "label", "features"])
+                _, ends = buffers(_column(part, "__text"))
+                yield pa.RecordBatch.from_arrays([_column(part, "__id"), _column(part, "__label"), lists, pa.array(np.diff(ends))],
+                                                 names=["id", "label", "features", "bytes"])
 
     def fit(batches):
-        ids, ys, sizes, flats = [], [], [], []
+        ids, ys, sizes, flats, left = [], [], [], [], settings.max_bytes
         times = np.zeros(1 << settings.bits, np.int64)
         for batch in batches:
+            # rows come in the order of a hash; those beyond the bound are read and not kept
+            taken = int(np.searchsorted(np.cumsum(batch.column(3).to_numpy()), left, "right"))
+            left = left - int(batch.column(3).to_numpy()[:taken].sum()) if taken == batch.num_rows else 0
+            batch = batch.slice(0, taken)
+            if not taken:
+                continue
             lists = batch.column(2)
             ids.append(batch.column(0).to_numpy())
             ys.append(batch.column(1).to_numpy())
@@ -192,8 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
         yield pa.RecordBatch.from_arrays([pa.array(np.append(model.index, -1)), pa.array(np.append(model.weight, model.bias))],
                                          names=["index", "weight"])
 
-    extracted = rows.mapInArrow(extract, "id long, label double, features array<int>")
-    fitted = extracted.repartition(1).mapInArrow(fit, "index long, weight double").collect()
+    extracted = rows.mapInArrow(extract, "id long, label double, features array<int>, bytes long")
+    in_order = extracted.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit("size")), "id")
+    fitted = in_order.mapInArrow(fit, "index long, weight double").collect()
     weights = {r["index"]: r["weight"] for r in fitted}
     bias = weights.pop(-1, 0.0)
     index = np.array(sorted(weights), np.int64)
