@@ -79,11 +79,23 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run in the file system that holds it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's documents. A stage's folder is removed when the next one is written; the
+    last one stays, as the result reads it."""
     docs = _table(spark, sf_dir, "documents")
     base = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _remove(spark, before)
+        before = path
     return docs
