@@ -1,5 +1,7 @@
 """The pipeline against a brute-force version of every stage on its own input."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,9 @@ def test_mixed_counts(stages):
 
 def test_run_writes_and_reads_every_stage(spark, stages):
     got = P.run(spark, SF)
+    # only the folder that the result reads is left of the run
+    last = got.inputFiles()[0].removeprefix("file://").rsplit("/", 2)
+    assert last[1] == "4-mixing" and os.listdir(last[0]) == ["4-mixing"]
     want = stages["mixing"][1]
     assert got.count() == len(want)
     assert got.agg(F.sum("doc_id")).first()[0] == sum(r["doc_id"] for r in want)
