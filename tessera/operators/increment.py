@@ -8,7 +8,8 @@ keys and numbers new members after the largest one, so facts written before stay
 
 The increment is taken to be much smaller than what it is merged into: its keys are
 broadcast while they are known to be small (:func:`tessera.operators.fact.broadcast_checked`), so
-the large side is filtered and not shuffled.
+the large side is filtered and not shuffled. Versions of a larger increment meet those they
+replace in one shuffle of both sides.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.clean import CleanSpec, survivors_of
-from tessera.operators.fact import broadcast_checked, measured
+from tessera.operators.clean import CleanSpec, dedupe, drop_rows, hashed, hot_rows, survivors_of, total_order
+from tessera.operators.fact import broadcast_checked, fits_broadcast, measured
 from tessera.operators.keys import with_position
 from tessera.session import ensure_checkpoint_dir
 
@@ -48,6 +49,9 @@ def merge_versions(survivors: DataFrame, increment: DataFrame, spec: CleanSpec)
     """
     ensure_checkpoint_dir(survivors.sparkSession)
     keys = list(spec.keys)
+    passed = drop_rows(increment, spec.pre)
+    if hashed(passed, keys) and not fits_broadcast(measured(passed.select(*keys))):
+        return _merged_at_once(survivors, passed, spec)
     landed = survivors_of(increment, spec).checkpoint()  # one version a key is enough
     touched = broadcast_checked(measured(landed.select(*keys)))
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
@@ -57,6 +61,25 @@ def merge_versions(survivors: DataFrame, increment: DataFrame, spec: CleanSpec)
     return Merged(untouched, old, survivors_of(old.unionByName(landed), spec).checkpoint())
 
 
+def _merged_at_once(survivors: DataFrame, passed: DataFrame, spec: CleanSpec) -> Merged:
+    """:func:`merge_versions` of an increment whose keys are many: all versions of a key meet in one
+    shuffle (those of a hot key of the increment are reduced before it)."""
+    keys, columns = list(spec.keys), survivors.columns
+    order = list(spec.order) if spec.order else total_order(survivors, keys)
+    hot = hot_rows(passed, keys)
+    if hot is not None:
+        passed = dedupe(passed.where(hot), keys, order).unionByName(passed.where(~hot))
+    both = survivors.withColumn("_landed", F.lit(False)).unionByName(passed.select(*columns).withColumn("_landed", F.lit(True)))
+    key = Window.partitionBy(*keys)
+    ranked = both.withColumns({"_touched": F.max("_landed").over(key), "_rank": F.row_number().over(key.orderBy(*order))})
+    kept = ranked.where(F.col("_touched") & ((F.col("_rank") == 1) | ~F.col("_landed"))).drop("_touched").checkpoint()
+    new = kept.where(F.col("_rank") == 1).select(*columns)
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    touched = broadcast_checked(measured(new.select(*keys)))
+    untouched = survivors.alias("a").join(touched.alias("b"), same, "left_anti")
+    return Merged(untouched, kept.where(~F.col("_landed")).select(*columns), new)
+
+
 def additive(rows: DataFrame, by: Sequence[str], sums: Mapping[str, Column], sign: int = 1) -> DataFrame:
     """Groups with their number of rows ``n`` and sums, all times ``sign``."""
     return rows.groupBy(*by).agg((F.count(F.lit(1)) * sign).alias("n"),
